@@ -52,5 +52,8 @@ def repeated_keys(dim: DataFrame, key: str) -> DataFrame:
 def row_parity(fact: DataFrame, borrowers: DataFrame) -> DataFrame:
     """Loans in the fact against borrowers, and the difference."""
     n = F.count(F.lit(1))
-    return fact.agg(n.alias("n_fact")).join(borrowers.agg(n.alias("n_borrower"))).select(
-        "n_fact", "n_borrower", (F.col("n_borrower") - F.col("n_fact")).alias("n_dropped"))
+    none = F.lit(0).cast("bigint")
+    both = fact.agg(n.alias("n_fact"), none.alias("n_borrower")).unionByName(
+        borrowers.agg(none.alias("n_fact"), n.alias("n_borrower")))
+    return both.agg(F.max("n_fact").alias("n_fact"), F.max("n_borrower").alias("n_borrower")) \
+        .withColumn("n_dropped", F.col("n_borrower") - F.col("n_fact"))

@@ -129,12 +129,17 @@ def el_change(loans: DataFrame, vintages: DataFrame, by: Sequence[str] = ()) ->
         F.col("total_expected_loss"), F.col("prior_total_expected_loss")))
 
 
-def latest_migration(loans: DataFrame, vintages: DataFrame) -> DataFrame:
-    """Without a vintage in the grouping, PD of the whole slice against its second-last vintage."""
-    slice_cells = evaluate(loans, ["weighted_pd"], ["vintage_key"])
-    prior_at = loans.agg((F.max("vintage_key") - 1).alias("vintage_key"))
-    prior = slice_cells.join(prior_at, "vintage_key").select(
-        F.col("weighted_pd").alias("prior"))
-    whole = evaluate(loans, ["weighted_pd"])
-    return whole.join(prior.agg(F.max("prior").alias("prior_weighted_pd"))).withColumn(
-        "pd_delta", blank_minus(F.col("weighted_pd"), F.col("prior_weighted_pd")))
+def latest_migration(loans: DataFrame) -> DataFrame:
+    """Without a vintage in the grouping: PD of the whole slice against its second-last vintage.
+
+    The slice is summed per vintage first; what remains is one short list of quarters.
+    """
+    cells = loans.groupBy("vintage_key").agg(
+        F.sum(F.col("pd") * F.col("ead")).alias("risk"), F.sum("ead").alias("ead"))
+    per_vintage = F.map_from_entries(F.collect_list(
+        F.struct("vintage_key", ratio(F.col("risk"), F.col("ead")).alias("pd"))))
+    whole = cells.agg(
+        ratio(F.sum("risk"), F.sum("ead")).alias("weighted_pd"),
+        F.try_element_at(per_vintage, F.max("vintage_key") - 1).alias("prior_weighted_pd"))
+    return whole.withColumn("pd_delta", blank_minus(
+        F.col("weighted_pd"), F.col("prior_weighted_pd")))
