@@ -12,12 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.operators import chronology, cleaning, contracts, scenarios, stability, star
+from lossledger.operators import (
+    attribution, backtest, chronology, cleaning, contracts, learners, scenarios, search,
+    stability, star)
 from lossledger.operators.discrimination import discrimination, regression_error
 from lossledger.operators.ordered import exact_quantiles
 from lossledger.operators.sampling import EXPLAIN_SAMPLE, hash_sample
-from lossledger.operators.vocabulary import vocabulary
-from lossledger.plans import measures, reports
+from lossledger.operators.vocabulary import indexer, vocabulary
+from lossledger.plans import governance, measures, reports
 from lossledger.session import once, stage, staging_path, tune
 from lossledger.sources import columns as c
 from lossledger.sources import files
@@ -588,3 +590,156 @@ def psi_flag_count(spark, folder):
     return _psi(spark, folder).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("flag") != "stable").alias("n_flagged"))
+
+
+# -- fitted models (no SQL counterpart) ------------------------------------------------------
+
+# Fewer trees than the defaults, for a run of minutes; everything else is as in production.
+QUICK = {"n_estimators": 10, "learning_rate": 0.2, "num_leaves": 16}
+QUICK_TRIALS = 3
+
+
+def _codes(spark, folder):
+    return once(spark, "codes", folder, lambda: indexer(scored_loans(spark, folder)))
+
+
+def _unscored(spark, folder):
+    return scored_loans(spark, folder).drop("pd", "lgd", "expected_loss")
+
+
+def _labelled(spark, folder):
+    return split_loans(spark, folder).drop("pd", "lgd", "expected_loss")
+
+
+def _defaulted(spark, folder):
+    loans = cleaning.with_realized_lgd(_unscored(spark, folder))
+    (test,) = once(spark, "lgd_split", folder, lambda: chronology.boundaries(
+        loans, lambda n: [chronology.holdout_rank(n)]))
+    return loans.withColumn("split", F.when(test.before(), "train").otherwise("oot"))
+
+
+def default_model(spark, folder) -> learners.DefaultModel:
+    return once(spark, "pd_model", folder, lambda: learners.fit_default_model(
+        _labelled(spark, folder), _codes(spark, folder), QUICK))
+
+
+def severity_model(spark, folder):
+    return once(spark, "lgd_model", folder, lambda: learners.fit_severity_model(
+        _defaulted(spark, folder), _codes(spark, folder), QUICK))
+
+
+@query
+def score_portfolio(spark, folder):
+    """Every loan with the fitted models' pd, lgd and expected loss."""
+    return learners.score_portfolio(
+        _unscored(spark, folder), default_model(spark, folder), severity_model(spark, folder)
+    ).select("id", "grade", "vintage", "ead", "pd", "lgd", "expected_loss")
+
+
+@query
+def score_portfolio_reloaded(spark, folder):
+    """The grade table from models saved to and loaded from the shared folder."""
+    path = staging_path(spark, "models")
+    default_model(spark, folder).save(f"{path}/pd")
+    severity_model(spark, folder).write().save(f"{path}/lgd")
+    scored = learners.score_portfolio(
+        _unscored(spark, folder), learners.DefaultModel.load(f"{path}/pd"),
+        learners.PipelineModel.load(f"{path}/lgd"))
+    return rounded(reports.grade_table(scored), **HEADLINE)
+
+
+@query
+def calibration_compare(spark, folder):
+    return rounded(governance.calibration_compare(
+        _labelled(spark, folder), default_model(spark, folder)),
+        roc_auc=6, pr_auc=6, brier_score=6)
+
+
+def _default_folds(spark, folder):
+    return once(spark, "default_folds", folder, lambda: stage(backtest.backtest_default(
+        cleaning.resolved(_unscored(spark, folder)), _codes(spark, folder), QUICK), "folds"))
+
+
+def _severity_folds(spark, folder):
+    return once(spark, "severity_folds", folder, lambda: stage(backtest.backtest_severity(
+        cleaning.with_realized_lgd(_unscored(spark, folder)), _codes(spark, folder), QUICK),
+        "folds"))
+
+
+@query
+def backtest_pd(spark, folder):
+    return days(_default_folds(spark, folder), *FOLD_DAYS)
+
+
+@query
+def backtest_lgd(spark, folder):
+    return days(_severity_folds(spark, folder), *FOLD_DAYS)
+
+
+@query
+def backtest_summary(spark, folder):
+    return backtest.backtest_summary(_default_folds(spark, folder),
+                                     _severity_folds(spark, folder))
+
+
+def _trials():
+    quick = {"n_estimators": QUICK["n_estimators"]}
+    return [{**trial, **quick} for trial in search.draw_trials(QUICK_TRIALS)]
+
+
+@query
+def tuning_trials_pd(spark, folder):
+    train = _labelled(spark, folder).where("split = 'train'").drop("split")
+    return search.tune_default(train, _codes(spark, folder), _trials())
+
+
+@query
+def tuning_trials_lgd(spark, folder):
+    train = _defaulted(spark, folder).where("split = 'train'").drop("split")
+    return search.tune_severity(train, _codes(spark, folder), _trials())
+
+
+def _reasons(spark, folder):
+    return attribution.reason_codes(cleaning.resolved(_unscored(spark, folder)),
+                                    default_model(spark, folder).trees)
+
+
+@query
+def reason_codes(spark, folder):
+    """The top five drivers of every resolved loan."""
+    return _reasons(spark, folder)
+
+
+@query
+def reason_codes_of_sample(spark, folder):
+    """The same for a reproducible sample, as for a report."""
+    sample = hash_sample(cleaning.resolved(_unscored(spark, folder)), EXPLAIN_SAMPLE)
+    return attribution.reason_codes(sample, default_model(spark, folder).trees)
+
+
+@query
+def top_drivers(spark, folder):
+    return reports.top_drivers(_reasons(spark, folder))
+
+
+def _model_risk(spark, folder):
+    return once(spark, "model_risk", folder, lambda: governance.model_risk(
+        _labelled(spark, folder), default_model(spark, folder),
+        _defaulted(spark, folder), severity_model(spark, folder)))
+
+
+@query
+def governance_summary(spark, folder):
+    record = _model_risk(spark, folder).summary.drop("generated_at")
+    return record.select(*(f"{name}.*" for name in record.columns))
+
+
+@query
+def governance_psi_report(spark, folder):
+    return _model_risk(spark, folder).psi
+
+
+@query
+def governance_reliability(spark, folder):
+    return rounded(_model_risk(spark, folder).reliability,
+                   predicted_pd=6, empirical_default_rate=6)
