@@ -37,8 +37,14 @@ def query(build: Query) -> Query:
     return run
 
 
+def settled(value: Column, digits: int) -> Column:
+    """Rounded after adding a thousandth of the last digit, so that a value exactly on a half
+    does not round by the order in which it was summed."""
+    return F.round(value + F.lit(10.0 ** -(digits + 3)), digits)
+
+
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    return df.withColumns({name: F.round(name, n) for name, n in digits.items()})
+    return df.withColumns({name: settled(F.col(name), n) for name, n in digits.items()})
 
 
 def days(df: DataFrame, *names: str) -> DataFrame:
@@ -169,7 +175,7 @@ def dim_borrower(spark, folder):
 
 @query
 def fact_loans(spark, folder):
-    return rounded(portfolio(spark, folder).fact, expected_loss=6)
+    return portfolio(spark, folder).fact
 
 
 def _dims(mart: star.Star) -> dict[str, DataFrame]:
@@ -383,7 +389,7 @@ def dim_scenario(spark, folder):
 
 @query
 def scenario_fact(spark, folder):
-    return rounded(_scenarios(spark, folder).drop("sort_order"), pd=9, lgd=9, expected_loss=4)
+    return _scenarios(spark, folder).drop("sort_order")
 
 
 @query
@@ -502,7 +508,7 @@ def ks_statistic(spark, folder):
 def brier_by_vintage(spark, folder):
     miss = F.col("pd") - F.col("default_flag")
     return resolved_loans(spark, folder).groupBy("vintage").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(miss * miss), 6).alias("brier"))
+        F.count(F.lit(1)).alias("n"), settled(F.avg(miss * miss), 6).alias("brier"))
 
 
 @query
@@ -521,9 +527,9 @@ def _fold_metrics(spark, folder):
     segments = _segments(spark, folder)
     tested = segments.where("segment > 0").withColumnRenamed("segment", "fold")
     found = discrimination(tested, "pd", "default_flag", ["fold"]).select(
-        "fold", F.round("roc_auc", 4).alias("roc_auc"),
-        F.round("average_precision", 4).alias("pr_auc"),
-        F.round("brier", 4).alias("brier_score"))
+        "fold", settled(F.col("roc_auc"), 4).alias("roc_auc"),
+        settled(F.col("average_precision"), 4).alias("pr_auc"),
+        settled(F.col("brier"), 4).alias("brier_score"))
     return chronology.fold_summary(segments).join(found, "fold")
 
 
@@ -536,7 +542,7 @@ def walk_forward_discrimination(spark, folder):
 def walk_forward_stability(spark, folder):
     return _fold_metrics(spark, folder).agg(
         F.count(F.lit(1)).alias("n_folds"),
-        *(F.round(how(m), 4).alias(f"{m}_{name}") for m in ["roc_auc", "brier_score"]
+        *(settled(how(m), 4).alias(f"{m}_{name}") for m in ["roc_auc", "brier_score"]
           for name, how in [("mean", F.avg), ("std", F.stddev_samp)]))
 
 
