@@ -20,10 +20,11 @@ def cap_at_one(value: Column) -> Column:
     return F.when(value.isNotNull(), F.least(value, F.lit(1.0)))
 
 
-def finite(value: Column) -> Column:
-    """NaN and infinities as NULL, which statistics and learners then treat as missing."""
-    odd = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
-    return F.when(~odd, value)
+def finite_sql(column: str) -> str:
+    """SQL text of a number as double; NaN and infinities as NULL, so that statistics and learners
+    see them as missing."""
+    value = f"double({column})"
+    return f"if(isnan({value}) OR abs({value}) = double('infinity'), NULL, {value})"
 
 
 def blank_minus(left: Column, right: Column) -> Column:

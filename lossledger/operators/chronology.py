@@ -58,16 +58,31 @@ def boundaries(df: DataFrame, ranks_for: Callable[[int], Sequence[int]], when: s
     if not wanted:
         return [Boundary(r) for r in ranks]
     hit = _holding(dates, F.array(*map(F.lit, wanted)), [when]).collect()
+    found = {row["rank"]: (row[when], "", row["rank"] - row["n_before"]) for row in hit}
+    found = _to_full_digest(df.select(when, digest(key).alias("digest")), when, found,
+                            max(row["n"] for row in hit), rows_per_sort)
+    return [Boundary(r, *found[r][:2]) if r in found else Boundary(r) for r in ranks]
+
+
+def digest_at(df: DataFrame, rank: int, key: str,
+              rows_per_sort: int = ROWS_PER_SORT) -> str | None:
+    """The digest below which exactly ``rank`` rows lie, or None if there are no more rows."""
+    total = df.count()
+    if rank >= total:
+        return None
+    keys = df.select(F.lit(0).alias("all"), digest(key).alias("digest"))
+    return _to_full_digest(keys, "all", {rank: (0, "", rank)}, total, rows_per_sort)[rank][1]
+
+
+def _to_full_digest(loans: DataFrame, when: str, found: dict, most: int,
+                    rows_per_sort: int) -> dict:
+    """Via a prefix that leaves at most ``rows_per_sort`` of the ``most`` rows of a date."""
     digits = 0
-    while max(row["n"] for row in hit) / 16 ** digits > rows_per_sort:
+    while most / 16 ** digits > rows_per_sort:
         digits += 1
-    found = {row["rank"]: (row[when], "", row["rank"] - row["n_before"]) for row in hit}
-    loans = df.select(when, digest(key).alias("digest"))
     if digits:
-        prefix = F.substring("digest", 1, digits)
-        found = _narrow(loans, when, prefix, found)
-    found = _narrow(loans, when, F.col("digest"), found)
-    return [Boundary(r, *found[r][:2]) if r in found else Boundary(r) for r in ranks]
+        found = _narrow(loans, when, F.substring("digest", 1, digits), found)
+    return _narrow(loans, when, F.col("digest"), found)
 
 
 def _holding(totals: DataFrame, ranks: Column, keep: list[str]) -> DataFrame:

@@ -16,15 +16,15 @@ def typed_loans(raw: DataFrame) -> DataFrame:
     One projection over the scan: Parquet reads only the listed columns, of however many the
     extract has.
     """
-    kept = raw.where(F.col("id").isNotNull() & coerce.number(F.col("loan_amnt")).isNotNull())
+    kept = raw.where(F.col("id").isNotNull() & coerce.number("loan_amnt").isNotNull())
     return kept.select(
         *c.TEXT,
-        *(coerce.number(F.col(name)).alias(name) for name in c.NUMBERS),
-        *(coerce.percent(F.col(name)).alias(name) for name in c.PERCENTS),
-        coerce.first_integer(F.col(c.TERM)).alias("term_months"),
-        coerce.employment_years(F.col(c.EMPLOYMENT)).alias("emp_length_years"),
-        coerce.month_stamp(F.col(c.ISSUED)).alias("issue_date"),
-        coerce.month_stamp(F.col(c.FIRST_CREDIT)).alias("earliest_cr_line_date"),
+        *(coerce.number(name).alias(name) for name in c.NUMBERS),
+        *(coerce.percent(name).alias(name) for name in c.PERCENTS),
+        coerce.first_integer(c.TERM).alias("term_months"),
+        coerce.employment_years(c.EMPLOYMENT).alias("emp_length_years"),
+        coerce.month_stamp(c.ISSUED).alias("issue_date"),
+        coerce.month_stamp(c.FIRST_CREDIT).alias("earliest_cr_line_date"),
     )
 
 
@@ -53,9 +53,9 @@ def derive(typed: DataFrame) -> DataFrame:
         "issue_quarter": F.quarter("issue_date").cast("bigint"),
     })
     return dated.withColumns({
-        "vintage": coerce.vintage_label(col("issue_year"), col("issue_quarter")),
-        "credit_history_months":
-            coerce.months_between(col("earliest_cr_line_date"), col("issue_date")),
+        "vintage": coerce.vintage_label("issue_year", "issue_quarter"),
+        "credit_history_months": coerce.months_between(
+            "earliest_cr_line_date", "issue_date"),
         "installment_to_income": ratio(col("installment") * 12.0, col("annual_inc")),
         "loan_to_income": ratio(col("funded_amnt"), col("annual_inc")),
         "revol_bal_to_income": ratio(col("revol_bal"), col("annual_inc")),

@@ -14,7 +14,7 @@ from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegr
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.functions.numeric import finite, unit_clip
+from lossledger.functions.numeric import finite_sql, unit_clip
 from lossledger.operators.cleaning import with_expected_loss
 from lossledger.sources.columns import NUMERIC_FEATURES, PORTFOLIO
 
@@ -53,19 +53,15 @@ def preparation(train: DataFrame, codes: StringIndexerModel,
     A missing number becomes the training median, and gets a 0/1 column where training has any,
     so that trees can still tell it apart. Medians and gaps come from one aggregation.
     """
-    stats = train.agg(
-        *(F.percentile_approx(finite(F.col(x).cast("double")), 0.5).alias(f"{x}_median")
-          for x in numeric),
-        *(F.count_if(finite(F.col(x).cast("double")).isNull()).alias(f"{x}_gaps")
-          for x in numeric),
+    known = {x: finite_sql(x) for x in numeric}
+    stats = train.selectExpr(*(f"{sql} AS {x}" for x, sql in known.items())).agg(
+        *(F.expr(f"percentile_approx({x}, 0.5) AS {x}_median") for x in numeric),
+        *(F.expr(f"count_if({x} IS NULL) AS {x}_gaps") for x in numeric),
     ).first()
     gappy = [x for x in numeric if stats[f"{x}_gaps"]]
-    filled = [
-        f"coalesce(if(isnan(double({x})) or abs(double({x})) = double('infinity'), null, "
-        f"double({x})), {stats[f'{x}_median'] or 0.0!r}D) AS {x}_filled" for x in numeric]
-    flags = [
-        f"if({x} is null or isnan(double({x})) or abs(double({x})) = double('infinity'), "
-        f"1D, 0D) AS {x}_missing" for x in gappy]
+    filled = [f"coalesce({known[x]}, {stats[f'{x}_median'] or 0.0!r}D) AS {x}_filled"
+              for x in numeric]
+    flags = [f"if({known[x]} IS NULL, 1D, 0D) AS {x}_missing" for x in gappy]
     fill = SQLTransformer(statement=f"SELECT *, {', '.join(filled + flags)} FROM __THIS__")
     assemble = VectorAssembler(
         inputCols=[*(f"{x}_filled" for x in numeric), *(f"{x}_missing" for x in gappy),

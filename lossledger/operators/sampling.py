@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.operators.chronology import boundaries
+from lossledger.operators.chronology import digest_at
 
 EXPLAIN_SAMPLE = 2_000
 PLOT_SAMPLE = 5_000
@@ -17,9 +17,10 @@ def hash_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> DataF
     The digest that bounds the sample is located first, so that taking the sample is a filter
     with a literal: no sort of the rows, and no task that gathers them.
     """
+    if n <= 0:
+        return df.limit(0)
     salted = df.withColumn("__salted", F.concat_ws("#", F.col(key).cast("string"), F.lit(seed)))
-    keys = salted.select(F.lit(0).alias("__all"), "__salted")
-    (end,) = boundaries(keys, lambda total: [n], "__all", "__salted")
-    if end.date is None:
+    end = digest_at(salted, n, "__salted")
+    if end is None:
         return df
-    return salted.where(F.md5("__salted") < end.digest).drop("__salted")
+    return salted.where(F.md5("__salted") < end).drop("__salted")

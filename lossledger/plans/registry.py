@@ -1,8 +1,8 @@
 """Named queries over a folder of the given tables.
 
-Cleaned loans and the star schema are built once per application and input state and read from
-the shared folder by every later query, as a portfolio's users would. Queries about ingestion and
-cleaning itself run from the given tables each time. Amounts are rounded in the last step only.
+The raw loans, the cleaned loans and the star schema are built once per application and input
+state and read from the shared folder by every later query, as a portfolio's users would. Queries
+about cleaning read the raw loans each time. Amounts are rounded in the last step only.
 """
 
 from __future__ import annotations
@@ -55,10 +55,15 @@ def sample_slice() -> Column:
     return measures.in_slice(["A2", "B1", "C3", "E5"], "1996Q1", "1999Q4")
 
 
+def raw_extract(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw text loans as a table of their own: the input of cleaning."""
+    return once(spark, "raw", folder, lambda: stage(raw_loans(spark, folder), "raw"))
+
+
 def scored_loans(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned loans from the shared folder, with the arithmetic scores added on the fly."""
     clean = once(spark, "clean", folder,
-                 lambda: stage(cleaning.clean_loans(raw_loans(spark, folder)), "clean"))
+                 lambda: stage(cleaning.clean_loans(raw_extract(spark, folder)), "clean"))
     return fixture_scores(clean)
 
 
@@ -90,19 +95,18 @@ def split_loans(spark: SparkSession, folder: str) -> DataFrame:
 def csv_ingest(spark, folder):
     """Raw loans written as CSV text and read back: rows, and present values per column."""
     path = staging_path(spark, "csv")
-    raw_loans(spark, folder).write.option("header", True).option("escape", '"').csv(path)
+    raw_extract(spark, folder).write.option("header", True).option("escape", '"').csv(path)
     back = files.read_text_csv(spark, path)
     return back.agg(F.count(F.lit(1)).alias("n_rows"), *(F.count(x).alias(x) for x in c.RAW))
 
 
 @query
 def clean_loans(spark, folder):
-    return days(cleaning.clean_loans(raw_loans(spark, folder)),
-                "issue_date", "earliest_cr_line_date")
+    return days(_clean(spark, folder), "issue_date", "earliest_cr_line_date")
 
 
 def _clean(spark, folder):
-    return cleaning.clean_loans(raw_loans(spark, folder))
+    return cleaning.clean_loans(raw_extract(spark, folder))
 
 
 @query
