@@ -80,11 +80,14 @@ class Star:
             table.createOrReplaceTempView(prefix + name)
 
 
-def build_star(scored: DataFrame) -> Star:
-    """The four tables. The small dimensions are staged once, since fact and views reuse them."""
+def build_star(scored: DataFrame, stage_fact: bool = False) -> Star:
+    """The four tables. The small dimensions are staged once, since fact and views reuse them;
+    ``stage_fact`` does the same for the fact where reports follow without a written mart."""
     vintages = stage(dim_vintage(scored), "dim_vintage")
     grades = stage(dim_credit_grade(scored), "dim_credit_grade")
-    return Star(fact_loans(scored, vintages, grades), dim_borrower(scored), vintages, grades)
+    fact = fact_loans(scored, vintages, grades)
+    return Star(stage(fact, "fact_loans") if stage_fact else fact, dim_borrower(scored),
+                vintages, grades)
 
 
 def write_star(star: Star, folder: str) -> None:

@@ -82,24 +82,20 @@ def beside_prior(cells: DataFrame, vintages: DataFrame, names: Sequence[str],
                  by: Sequence[str] = ()) -> DataFrame:
     """Adds ``prior_<name>``: the value of the same ``by`` one vintage earlier.
 
-    Joins cells with themselves shifted by one key, outer on both sides: a group absent in one
-    quarter has no prior there (a lag would take an older one), and a group that vanishes keeps a
-    row with only a prior. ``cells`` is aggregated, so both sides are small.
+    Every cell speaks for its own vintage and, as a prior, for the next one; regrouping brings
+    both together without joining the cells to themselves. A group absent in one quarter has no
+    prior in the next (a lag would take an older one), and a group that vanishes keeps a row with
+    only a prior.
     """
-    here = cells.select("vintage_key", *by, *names)
-    prior = cells.select(
-        (F.col("vintage_key") + 1).alias("prior_at"), *(F.col(b).alias(f"prior_of_{b}") for b in by),
-        *(F.col(n).alias(f"prior_{n}") for n in names))
-    match = F.col("vintage_key") == F.col("prior_at")
-    for b in by:
-        match = match & F.col(b).eqNullSafe(F.col(f"prior_of_{b}"))
-    joined = here.join(prior, match, "full").select(
-        F.coalesce("vintage_key", "prior_at").alias("vintage_key"),
-        *(F.when(F.col("vintage_key").isNotNull(), F.col(b)).otherwise(F.col(f"prior_of_{b}"))
-          .alias(b) for b in by),
-        *names, *(f"prior_{n}" for n in names),
-        F.col("prior_at").isNotNull().alias("has_prior"))
-    return joined.join(vintages.select("vintage_key", "vintage"), "vintage_key")
+    here = ", ".join(f"{n} AS {n}, NULL AS prior_{n}" for n in names)
+    next_one = ", ".join(f"NULL AS {n}, {n} AS prior_{n}" for n in names)
+    both = F.expr(
+        f"inline(array(struct(vintage_key AS vintage_key, {here}, false AS has_prior), "
+        f"struct(vintage_key + 1 AS vintage_key, {next_one}, true AS has_prior)))")
+    columns = [*names, *(f"prior_{n}" for n in names), "has_prior"]
+    regrouped = cells.select(*by, both).groupBy("vintage_key", *by).agg(
+        *(F.max(column).alias(column) for column in columns))
+    return regrouped.join(vintages.select("vintage_key", "vintage"), "vintage_key")
 
 
 def pd_migration(loans: DataFrame, vintages: DataFrame, by: Sequence[str] = ()) -> DataFrame:

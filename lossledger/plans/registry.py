@@ -68,7 +68,8 @@ def scored_loans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def portfolio(spark: SparkSession, folder: str) -> star.Star:
-    return once(spark, "star", folder, lambda: star.build_star(scored_loans(spark, folder)))
+    return once(spark, "star", folder, lambda: star.build_star(
+        scored_loans(spark, folder), stage_fact=True))
 
 
 def described(spark: SparkSession, folder: str) -> DataFrame:
