@@ -35,10 +35,18 @@ class Boundary:
     digest: str | None = None
 
     def before(self, when: str = "issue_date", key: str = "id") -> Column:
+        """Predicate of the loans before it. Its first term can be pushed to the scan."""
         if self.date is None:
             return F.lit(True)
         stamp = F.lit(self.date)
-        return (F.col(when) < stamp) | ((F.col(when) == stamp) & (digest(key) < self.digest))
+        return (F.col(when) <= stamp) & ((F.col(when) < stamp) | (digest(key) < self.digest))
+
+    def onwards(self, when: str = "issue_date", key: str = "id") -> Column:
+        """Predicate of the loans from it on."""
+        if self.date is None:
+            return F.lit(False)
+        stamp = F.lit(self.date)
+        return (F.col(when) >= stamp) & ((F.col(when) > stamp) | (digest(key) >= self.digest))
 
 
 def boundaries(df: DataFrame, ranks_for: Callable[[int], Sequence[int]], when: str = "issue_date",
@@ -149,21 +157,40 @@ def split_summary(df: DataFrame, when: str = "issue_date") -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(when).alias("start"), F.max(when).alias("end"))
 
 
-def label_segments(df: DataFrame, folds: int = DEFAULT_FOLDS, when: str = "issue_date",
-                   key: str = "id") -> DataFrame:
-    """Adds ``segment`` 0..folds: equal chronological parts.
+def fold_boundaries(df: DataFrame, folds: int = DEFAULT_FOLDS, when: str = "issue_date",
+                    key: str = "id") -> list[Boundary]:
+    """The boundaries between ``folds + 1`` equal chronological segments."""
+    parts = folds + 1
+    return boundaries(df, lambda n: [int(n * i / parts) for i in range(1, parts)], when, key)
+
+
+def with_segment(df: DataFrame, cuts: Sequence[Boundary], when: str = "issue_date",
+                 key: str = "id") -> DataFrame:
+    """Adds ``segment`` 0..folds.
 
     Fold i trains on the segments before i and tests on segment i, so a loan is tested at most
     once and the fold of a test loan is its segment.
     """
-    parts = folds + 1
-    cuts = boundaries(df, lambda n: [int(n * i / parts) for i in range(1, parts)], when, key)
     segment = F.lit(0)
     for cut in cuts:
         segment = segment + F.when(cut.before(when, key), 0).otherwise(1)
     return df.withColumn("segment", segment)
 
 
+def label_segments(df: DataFrame, folds: int = DEFAULT_FOLDS, when: str = "issue_date",
+                   key: str = "id") -> DataFrame:
+    return with_segment(df, fold_boundaries(df, folds, when, key), when, key)
+
+
+def fold_windows(df: DataFrame, cuts: Sequence[Boundary], fold: int) -> tuple:
+    """Training and test loans of a fold (1-based), as date ranges the scan can prune by."""
+    start = cuts[fold - 1]
+    test = df.where(start.onwards())
+    if fold < len(cuts):
+        test = test.where(cuts[fold].before())
+    return df.where(start.before()), test
+
+
 def fold_summary(segmented: DataFrame, when: str = "issue_date") -> DataFrame:
     """Per fold the size and date range of its training and test windows.
 

@@ -153,6 +153,7 @@ def test_boundaries_are_exact(hot_month, rows_per_sort):
     ranks = [0, 1, 17, 450, 599, 600, 899, 900]
     cuts = chronology.boundaries(hot_month, lambda n: ranks, rows_per_sort=rows_per_sort)
     assert [hot_month.where(cut.before()).count() for cut in cuts] == ranks
+    assert [hot_month.where(cut.onwards()).count() for cut in cuts] == [900 - r for r in ranks]
 
 
 def test_copies_of_one_id_stay_together(spark):
@@ -175,6 +176,10 @@ def test_walk_forward(spark, n, folds):
     assert [r["n_train"] for r in summary] == edges[1:-1]
     assert [r["n_test"] for r in summary] == [b - a for a, b in zip(edges[1:], edges[2:])]
     assert all(r["train_end"] < r["test_start"] for r in summary)
+    cuts = chronology.fold_boundaries(df, folds)
+    for row in summary:
+        train, test = chronology.fold_windows(df, cuts, row["fold"])
+        assert (train.count(), test.count()) == (row["n_train"], row["n_test"])
     order = [r[0] for r in segmented.orderBy("value").select("segment").collect()]
     assert order == sorted(order)
 
