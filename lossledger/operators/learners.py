@@ -55,7 +55,7 @@ def preparation(train: DataFrame, codes: StringIndexerModel,
     """
     known = {x: finite_sql(x) for x in numeric}
     stats = train.selectExpr(*(f"{sql} AS {x}" for x, sql in known.items())).agg(
-        *(F.expr(f"percentile_approx({x}, 0.5) AS {x}_median") for x in numeric),
+        *(F.expr(f"percentile_approx({x}, 0.5, 1000) AS {x}_median") for x in numeric),
         *(F.expr(f"count_if({x} IS NULL) AS {x}_gaps") for x in numeric),
     ).first()
     gappy = [x for x in numeric if stats[f"{x}_gaps"]]

@@ -370,6 +370,14 @@ def texts() -> dict[str, str]:
         for f in c.CATEGORICAL_FEATURES) + ")",
         "select *, cast(row_number() over (partition by feature order by category) - 1 as integer)"
         " as code from pairs")
+    add("scored_portfolio", SCORED, "select " + ", ".join(
+        _day(x) if x == "issue_date" else x for x in c.PORTFOLIO)
+        + ", pd, lgd, expected_loss from scored")
+    add("resolved_population", SCORED, "select cast(count(default_flag) as bigint) as n_resolved,"
+        " cast(count(actual_lgd) as bigint) as n_with_lgd, " + ", ".join(
+            _day(f"{how}(issue_date) filter ({flag} is not null)", f"{name}_{flag}")
+            for flag in ["default_flag", "actual_lgd"]
+            for name, how in [("first", "min"), ("last", "max")]) + " from scored")
     add("dim_vintage", STAR, "select * from dim_vintage")
     add("dim_credit_grade", STAR, "select * from dim_credit_grade")
     add("dim_borrower", STAR, """select id as borrower_key, home_ownership, verification_status,
@@ -415,6 +423,13 @@ def texts() -> dict[str, str]:
         cast(count(*) filter (default_flag = 1) as bigint) as n_default,
         cast(count(default_flag) as bigint) as n_resolved,
         round({_REALIZED} + 1e-9, 6) as cumulative_default_rate from loans group by vintage""")
+    add("default_rate_of_slice", STAR, f"""select vintage,
+        cast(count(*) filter (default_flag = 1) as bigint) as n_default,
+        cast(count(default_flag) as bigint) as n_resolved,
+        round({_REALIZED} + 1e-9, 6) as cumulative_default_rate from loans where {SLICE}
+        group by vintage""")
+    add("expected_loss_of_slice", STAR,
+        f"select grade, {_EL} from loans where {SLICE} group by grade")
     for by in ["grade", "sub_grade"]:
         add(f"status_mix_by_{by}", STAR, f"""select {by}, loan_status, cast(n as bigint) as n,
             round(n * 100::double / sum(n) over (partition by {by}) + 1e-9, 6) as pct
@@ -492,6 +507,8 @@ def texts() -> dict[str, str]:
     totals = f"""{_EAD}, {_PD}, {_EL}"""
     add("scenario_summary", SCENARIO,
         f"select scenario, sort_order, {totals} from scenario_loans group by all")
+    add("scenario_table_of_slice", SCENARIO,
+        f"select scenario, sort_order, {totals} from scenario_loans where {SLICE} group by all")
     add("scenario_by_grade", SCENARIO,
         f"select grade, scenario, sort_order, {totals} from scenario_loans group by all")
     for key, by in [("scenario_increment", ""), ("scenario_increment_by_grade", "grade, ")]:

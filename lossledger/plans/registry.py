@@ -160,6 +160,23 @@ def category_vocabulary(spark, folder):
     return vocabulary(scored_loans(spark, folder))
 
 
+@query
+def scored_portfolio(spark, folder):
+    """Carried columns and features beside the scores: only these are read from the table."""
+    return days(scored_loans(spark, folder).select(*c.PORTFOLIO, "pd", "lgd", "expected_loss"),
+                "issue_date")
+
+
+@query
+def resolved_population(spark, folder):
+    """Loans that train each model: outcome known, realized loss known."""
+    return scored_loans(spark, folder).agg(
+        F.count("default_flag").alias("n_resolved"), F.count("actual_lgd").alias("n_with_lgd"),
+        *(F.date_format(how(F.when(F.col(flag).isNotNull(), F.col("issue_date"))), "yyyy-MM-dd")
+          .alias(f"{name}_{flag}") for flag in ["default_flag", "actual_lgd"]
+          for name, how in [("first", F.min), ("last", F.max)]))
+
+
 # -- star schema -----------------------------------------------------------------------------
 
 
@@ -270,6 +287,18 @@ def default_rate_by_vintage(spark, folder):
                    cumulative_default_rate=6)
 
 
+@query
+def default_rate_of_slice(spark, folder):
+    return rounded(reports.default_rate_by_vintage(described(spark, folder), sample_slice()),
+                   cumulative_default_rate=6)
+
+
+@query
+def expected_loss_of_slice(spark, folder):
+    return rounded(reports.loss_by_grade(described(spark, folder), sample_slice()),
+                   total_expected_loss=2)
+
+
 @query
 def status_mix_by_grade(spark, folder):
     return rounded(reports.status_mix(described(spark, folder), "grade"), pct=6)
@@ -402,6 +431,13 @@ def scenario_summary(spark, folder):
     return rounded(scenarios.scenario_totals(_scenarios(spark, folder)), **TOTALS)
 
 
+@query
+def scenario_table_of_slice(spark, folder):
+    mart = portfolio(spark, folder)
+    view = star.describe(_scenarios(spark, folder), mart.vintages, mart.grades)
+    return rounded(reports.scenario_table(view, sample_slice()), **TOTALS)
+
+
 @query
 def scenario_by_grade(spark, folder):
     mart = portfolio(spark, folder)

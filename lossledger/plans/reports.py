@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lossledger.functions.numeric import ratio
 from lossledger.operators.sampling import PLOT_SAMPLE, hash_sample
+from lossledger.operators.scenarios import scenario_totals
 from lossledger.plans.measures import evaluate
 
 HEADLINE = ["total_ead", "weighted_pd", "total_expected_loss"]
@@ -81,6 +82,12 @@ def modeled_against_realized(loans: DataFrame) -> DataFrame:
                     ["vintage"])
 
 
+def scenario_table(scenario_loans: DataFrame, where: Column | None = None) -> DataFrame:
+    """Totals per scenario in order of severity, for a slice of the described scenario fact."""
+    sliced = scenario_loans if where is None else scenario_loans.where(where)
+    return scenario_totals(sliced).orderBy("sort_order")
+
+
 def filter_options(loans: DataFrame) -> DataFrame:
     """(option, value) lists of the slicers, from one scan."""
     pairs = F.array(*(F.struct(F.lit(o).alias("option"), F.col(o).alias("value"))

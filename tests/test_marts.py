@@ -122,3 +122,23 @@ def test_what_if_caps_at_one(mart):
     same = measures.evaluate(mart.loans, ["stress_el_delta"],
                              extra=measures.stress_measures()).first()
     assert same[0] == 0.0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, mart, tmp_path):
+    star.save_bucketed(mart, str(tmp_path), 4, "bucketed_")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        joined = spark.table("bucketed_fact_loans").join(
+            spark.table("bucketed_dim_borrower"), "borrower_key")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 5
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_plans_prune_and_push_down(mart):
+    plan = reports.loss_by_grade(mart.loans, measures.in_slice(["A1"])) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
