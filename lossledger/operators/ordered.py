@@ -87,27 +87,23 @@ def exact_quantiles(df: DataFrame, value: str, shares: Sequence[float], by: Sequ
     counted = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
                .agg(F.count(F.lit(1)).alias("n")))
     placed = running_totals(counted, value, ["n"], by, rows_per_block)
-    last = (F.col("n_total") - 1).cast("double")
-    ranks = F.array(*(
-        F.struct(F.lit(i).alias("share_index"), (last * F.lit(float(share))).alias("rank"))
-        for i, share in enumerate(shares)))
-    start, end = F.col("n_before"), F.col("n_before") + F.col("n")
-
-    def holds(rank: Column) -> Column:
-        return (rank >= start) & (rank < end)
-
-    below, above = (lambda r: F.floor(r)), (lambda r: F.least(F.floor(r) + 1, last))
-    touched = F.filter(ranks, lambda r: holds(below(r["rank"])) | holds(above(r["rank"])))
-    rows = placed.select(*by, value, "n_before", "n", "n_total", F.explode(touched).alias("r"))
-    rank = F.col("r.rank")
-    part = F.col("part")
-    step = F.col("high") - F.col("low")
+    ranks = ", ".join(f"struct({i} AS share_index, double(n_total - 1) * {float(share)!r}D AS rank)"
+                      for i, share in enumerate(shares))
+    low = _holds("floor(r.rank)")
+    high = _holds("least(floor(r.rank) + 1, n_total - 1)")
+    touched = F.expr(f"explode(filter(array({ranks}), r -> ({low}) OR ({high}))) AS r")
+    rows = placed.select(*by, value, "n_before", "n", "n_total", touched)
     return (
         rows.groupBy(*by, F.col("r.share_index").alias("share_index"))
-        .agg(F.max(F.when(holds(below(rank)), F.col(value))).alias("low"),
-             F.max(F.when(holds(above(rank)), F.col(value))).alias("high"),
-             F.max(rank - F.floor(rank)).alias("part"))
-        .select(*by, "share_index",
-                F.when(part < 0.5, F.col("low") + step * part)
-                .otherwise(F.col("high") - step * (F.lit(1.0) - part)).alias("quantile"))
+        .agg(F.expr(f"max({value}) FILTER (WHERE {low}) AS low"),
+             F.expr(f"max({value}) FILTER (WHERE {high}) AS high"),
+             F.expr("max(r.rank - floor(r.rank)) AS part"))
+        .select(*by, "share_index", F.expr(
+            "if(part < 0.5D, low + (high - low) * part, high - (high - low) * (1D - part))"
+            " AS quantile"))
     )
+
+
+def _holds(rank: str) -> str:
+    """Whether the row's run of equal values covers a 0-based rank."""
+    return f"{rank} >= n_before AND {rank} < n_before + n"

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from lossledger.sources.columns import CATEGORICAL_FEATURES
 
+MAX_CATEGORIES = 10_000
+
 
 def vocabulary(df: DataFrame, features: Sequence[str] = tuple(CATEGORICAL_FEATURES)) -> DataFrame:
     """(feature, category, code): distinct values in text order, all columns from one scan."""
@@ -24,8 +26,14 @@ def vocabulary(df: DataFrame, features: Sequence[str] = tuple(CATEGORICAL_FEATUR
 
 def indexer(df: DataFrame, features: Sequence[str] = tuple(CATEGORICAL_FEATURES),
             suffix: str = "_code") -> StringIndexerModel:
-    """Maps each feature to its code; missing and unknown values share one extra code."""
-    found = vocabulary(df, features).collect()
+    """Maps each feature to its code; missing and unknown values share one extra code.
+
+    Trees split on categories only while these are few, so a column of free text is refused
+    instead of being gathered on the driver.
+    """
+    found = vocabulary(df, features).limit(MAX_CATEGORIES + 1).collect()
+    if len(found) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {', '.join(features)}")
     labels = [[r["category"] for r in sorted(found, key=lambda r: r["code"])
                if r["feature"] == f] for f in features]
     return StringIndexerModel.from_arrays_of_labels(

@@ -52,6 +52,12 @@ def test_unknown_and_missing_categories_share_a_code(spark):
     assert [r["grade_code"] for r in found] == [0.0, 1.0, 2.0, 2.0]
 
 
+def test_free_text_is_no_category(spark):
+    df = spark.range(10_001).selectExpr("string(id) grade")
+    with pytest.raises(ValueError, match="categories"):
+        indexer(df, ["grade"])
+
+
 def test_preparation_fills_gaps(spark, codes, labelled):
     stages = learners.preparation(labelled, codes)
     odd = labelled.limit(3).withColumns({"dti": F.lit(float("nan")),
