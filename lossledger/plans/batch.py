@@ -10,10 +10,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lossledger.operators import chronology, cleaning, learners, scenarios, search, star
+from lossledger.operators import (
+    attribution, backtest, chronology, cleaning, learners, scenarios, search, star)
+from lossledger.operators.sampling import EXPLAIN_SAMPLE, hash_sample
 from lossledger.operators.vocabulary import indexer
 from lossledger.plans import governance, reports
-from lossledger.session import tune
+from lossledger.session import stage, tune
 from lossledger.sources import columns, files
 
 
@@ -108,6 +110,37 @@ def run_governance(spark: SparkSession, layout: Layout) -> None:
     governance.write_model_risk(report, layout.reports)
 
 
+def run_backtest(spark: SparkSession, layout: Layout, folds: int = chronology.DEFAULT_FOLDS,
+                 pd_params: dict | None = None, lgd_params: dict | None = None) -> dict:
+    """Walk-forward reports of both models; returns the summary record."""
+    clean = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    codes = indexer(clean)
+    default_folds = stage(backtest.backtest_default(
+        cleaning.resolved(clean), codes, _params(spark, layout.pd_params, pd_params), folds),
+        "folds")
+    severity_folds = stage(backtest.backtest_severity(
+        cleaning.with_realized_lgd(clean), codes,
+        _params(spark, layout.lgd_params, lgd_params), folds), "folds")
+    files.write_report_csv(default_folds.orderBy("fold"), f"{layout.reports}/rolling_backtest_pd")
+    files.write_report_csv(severity_folds.orderBy("fold"),
+                           f"{layout.reports}/rolling_backtest_lgd")
+    record = backtest.summary_record(
+        backtest.backtest_summary(default_folds, severity_folds), folds)
+    files.write_record_json(files.record_frame(spark, record),
+                            f"{layout.reports}/rolling_backtest_summary")
+    return record
+
+
+def run_reasons(spark: SparkSession, layout: Layout, n: int = EXPLAIN_SAMPLE) -> DataFrame:
+    """Writes the reason codes of a sample of resolved loans; returns the top drivers."""
+    clean = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    default_model, _ = load_models(layout)
+    sample = hash_sample(cleaning.resolved(clean), n)
+    files.write_table(attribution.reason_codes(sample, default_model.trees),
+                      f"{layout.reports}/loan_reason_codes")
+    return reports.top_drivers(spark.read.parquet(f"{layout.reports}/loan_reason_codes"))
+
+
 def run(spark: SparkSession, raw_path: str, folder: str, pd_params: dict | None = None,
         lgd_params: dict | None = None, with_scenarios: bool = False) -> DataFrame:
     """All stages in order; returns the grade table of the scored portfolio."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fnmatch import fnmatch
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -88,9 +88,19 @@ def write_record_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def _literal(name: str, value) -> Column:
+    if isinstance(value, dict):
+        return F.struct(*(_literal(k, v) for k, v in value.items())).alias(name)
+    return (F.lit(value).cast("double") if value is None else F.lit(value)).alias(name)
+
+
+def record_frame(spark: SparkSession, record: dict) -> DataFrame:
+    """A nested record of scalars as one row of structs."""
+    return spark.range(1).select(*(_literal(k, v) for k, v in record.items()))
+
+
 def save_params(spark: SparkSession, params: dict, path: str) -> None:
-    fields = [F.lit(value).alias(name) for name, value in params.items()]
-    write_record_json(spark.range(1).select(*fields), path)
+    write_record_json(record_frame(spark, params), path)
 
 
 def load_params(spark: SparkSession, path: str) -> dict | None:

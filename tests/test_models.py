@@ -226,8 +226,16 @@ def test_batch_end_to_end(spark, tmp_path):
     batch.run_governance(spark, layout)
     record = spark.read.json(f"{layout.reports}/model_risk_summary").first()
     assert 0 < record["pd_model"]["roc_auc"] <= 1
+    assert record["population_stability"]["report_csv"].endswith("psi_report")
     report = spark.read.option("header", True).csv(f"{layout.reports}/psi_report")
     assert set(report.columns) == {"metric", "vintage", "n", "psi", "flag"}
+    drivers = batch.run_reasons(spark, layout, 50).collect()
+    assert sum(r["n"] for r in drivers) == 50
+    summary = batch.run_backtest(spark, layout, 2, TINY, TINY)
+    written = spark.read.json(f"{layout.reports}/rolling_backtest_summary").first()
+    assert written["pd_model"].asDict() == summary["pd_model"] and written["n_folds"] == 2
+    folds = spark.read.option("header", True).csv(f"{layout.reports}/rolling_backtest_lgd")
+    assert [r["fold"] for r in folds.collect()] == ["1", "2"]
 
 
 def test_calibration_comparison(model, labelled):
