@@ -65,11 +65,14 @@ def running_total(totals: DataFrame, key: str, value: str, name: str) -> DataFra
 def unique_rows(df: DataFrame, key: str, *ties: str) -> tuple[DataFrame, bool]:
     """``df`` with ``_row``, a long that names each row and orders rows like ``key``.
 
-    It is the key itself where keys are unique and present, which one narrow aggregation finds.
+    It is the key itself where keys are whole numbers, unique and present, which one narrow
+    aggregation finds.
     Otherwise rows are ranked by key (nulls last), then by a hash of ``ties``; the flag says so.
     """
+    if df.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return ranked(df, F.col(key).asc_nulls_last(), F.xxhash64(*ties)), True
     again = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n").__gt__(1) | F.col(key).isNull()).limit(1))
+             .where((F.col("n") > 1) | F.col(key).isNull()).limit(1))
     if again.isEmpty():
         return df.withColumn(ROW, F.col(key).cast("long")), False
     return ranked(df, F.col(key).asc_nulls_last(), F.xxhash64(*ties)), True

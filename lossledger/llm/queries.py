@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lossledger.llm import substrings
+from lossledger.llm import minhash, substrings, vector_dedup
 from lossledger.llm.frames import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,64 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_CLOSURE = """
+reach as (
+    select id as node, id as least from ids
+    union
+    select l.b, r.least from reach r join links l on l.a = r.node)"""
+
+
+@query(f"""
+with recursive v as (
+    select vec_id, label, embedding::double[] as e from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+        and len(list_filter(embedding, x -> x <> 0)) > 0),
+links as materialized (
+    select p.vec_id as a, q.vec_id as b from v p join v q
+    on p.label = q.label and p.vec_id <> q.vec_id and len(p.e) = len(q.e)
+    where list_cosine_similarity(p.e, q.e) >= 0.93),
+ids as (select vec_id as id from embeddings),
+{_CLOSURE}
+select e.vec_id, (select count(*) from links l where l.a = e.vec_id)::bigint as n_links,
+    c.component_id, e.vec_id = c.component_id as kept
+from embeddings e join (select node, min(least) as component_id from reach group by node) c
+    on c.node = e.vec_id
+""")
+def op2_vector_dedup(spark, folder):
+    """Every vector with its number of near neighbours and its group."""
+    return vector_dedup.near_vectors(table(spark, folder, "embeddings")).withColumn(
+        "kept", F.col("vec_id") == F.col("component_id"))
+
+
+@query(f"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+sets as materialized (
+    select distinct doc_id, case when len(w) = 1 then w[1] else w[i] || ' ' || w[i + 1] end as s
+    from words, unnest(range(1, greatest(len(w), 2))) as t(i) where len(w) > 0),
+sizes as materialized (select doc_id, count(*) as n from sets group by doc_id),
+links as materialized (
+    select p.doc_id as a, q.doc_id as b from sets p join sets q on p.s = q.s
+        and p.doc_id <> q.doc_id join sizes m on m.doc_id = p.doc_id
+        join sizes n on n.doc_id = q.doc_id
+    where 100 * least(m.n, n.n) >= 80 * greatest(m.n, n.n)
+    group by p.doc_id, q.doc_id, m.n, n.n
+    having 100 * count(*) >= 80 * (m.n + n.n - count(*))),
+ids as (select doc_id as id from documents),
+{_CLOSURE}
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, c.component_id,
+    d.doc_id = c.component_id as kept
+from documents d left join sizes s using (doc_id)
+    join (select node, min(least) as component_id from reach group by node) c on c.node = d.doc_id
+""")
+def op3_minhash_dedup(spark, folder):
+    """Every document with its set size and its group of near duplicates."""
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=2).withColumn(
+        "kept", F.col("doc_id") == F.col("component_id"))
+
+
 @query("""
 with words as (
     select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
