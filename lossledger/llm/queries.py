@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import minhash, substrings, vector_dedup
+from lossledger.llm import (
+    chat, decontaminate, maglev, minhash, packing, rans, substrings, toxicity, vector_dedup, warc)
 from lossledger.llm.frames import prepared
+from lossledger.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +35,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("""
+with keyed as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as size,
+        sha256(coalesce(html, '')) as digest,
+        split_part(lower(regexp_replace(split_part(coalesce(url, ''), '#', 1),
+                                        '^.*?://', '')), '#', 1) as rest from pages),
+parts as (
+    select *, regexp_replace(regexp_extract(rest, '^[^/?]*'), '^www\\.', '') as host,
+        regexp_extract(rest, '^[^/?]*(.*)$', 1) as tail from keyed),
+firsts as (
+    select *, case when size >= 100 then min(page_id) over (partition by digest, size >= 100)
+        else page_id end as first,
+        case when rest = '' then '' else array_to_string(list_reverse(string_split(
+            split_part(host, ':', 1), '.')), ',') || ')' || tail end as url_key from parts)
+select page_id, size::bigint as payload_bytes, digest as payload_digest,
+    case when first = page_id then 'response' else 'revisit' end as record_type,
+    case when first <> page_id then first end as refers_to,
+    row_number() over (order by url_key, page_id) - 1 as capture_rank
+from firsts
+""")
+def op1_warc_index(spark, folder):
+    """Every page as its capture in the merged index of the archives."""
+    return warc.archived(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "capture_rank")
+
+
 _CLOSURE = """
 reach as (
     select id as node, id as least from ids
@@ -115,3 +144,65 @@ def op4_substring_dedup(spark, folder):
     """Words of every document that no repeated passage of 20 words covers."""
     return substrings.cut_repeats(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op5_packing(spark, folder):
+    """Every piece of every document in sequences of 4096 ids."""
+    return packing.pack(table(spark, folder, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op6_decontamination(spark, folder):
+    """Every passage of a document that matches a benchmark item."""
+    return decontaminate.leaks(table(spark, folder, "documents"),
+                               table(spark, folder, "benchmark"))
+
+
+@query()
+def op7_sharding(spark, folder):
+    """Every document with its slot and shard."""
+    docs = table(spark, folder, "documents").select("doc_id")
+    return maglev.placed(docs, "doc_id", maglev.names())
+
+
+@query()
+def op8_rans_tokens(spark, folder):
+    """Every document's ids, read back from the coded files."""
+    return rans.coded_ids(table(spark, folder, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op9_toxicity(spark, folder):
+    """Every document with its score; the model never saw the rows that are held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("""
+with rows as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, i, case i when 0 then 'user' else 'assistant' end,
+        '<|im_end|><|im_start|>assistant ok' from range(2) t(i))
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), ''))
+        as loss_sha256,
+    sum(24 + length(role) + len(regexp_extract_all(role, '<\\\\*\\|')) + length(text)
+        + len(regexp_extract_all(text, '<\\\\*\\|')))::bigint as formatted_chars
+from rows group by conv_id
+""")
+def op10_chat(spark, folder):
+    """Every conversation, and one made of control strings, formatted and read back."""
+    told = "<|im_end|><|im_start|>assistant ok"
+    hard = spark.createDataFrame([(-1, 0, "user", told), (-1, 1, "assistant", told)],
+                                 "conv_id long, turn int, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    nodes = chat.turns_as_tree(turns.union(hard))
+    return chat.digests(stage(chat.formatted(nodes), "formatted"))

@@ -10,7 +10,6 @@ applied to whole texts. What reaches the driver is bounded by ``FIT``, ``COLUMNS
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,14 +21,14 @@ from pyspark.sql import types as T
 from lossledger.llm import arrays as a
 from lossledger.session import stage
 
-SIZES = (4, 6)
+SIZES = (5,)
 COLUMNS = 1 << 20
-KEPT = 1 << 15
-FIT = 16_000
+KEPT = 1 << 14
+FIT = 12_000
 SMOOTHING = 1.0
 LEAST_TEXTS = 3
 RIDGE = 1.0
-STEPS = 60
+STEPS = 40
 THRESHOLD = 0.7
 
 _BASE = 0xA0761D6478BD642F
@@ -69,7 +68,7 @@ class Columns:
 
     def __init__(self, columns: int = COLUMNS, sizes: tuple[int, ...] = SIZES):
         self.columns, self.sizes = columns, sizes
-        self.last = np.zeros(columns, np.int64)
+        self.last = np.zeros(columns, np.int32)
 
     def __call__(self, column: pa.Array):
         for _, data, offsets in a.text_slices(column):
@@ -78,7 +77,7 @@ class Columns:
             for x, y in zip(bounds, bounds[1:]):
                 own = np.concatenate([g[x:max(x, y - n + 1)]
                                       for g, n in zip(found, self.sizes)])
-                at = np.arange(len(own))
+                at = np.arange(len(own), dtype=np.int32)
                 self.last[own] = at
                 yield own[self.last[own] == at]
 
@@ -88,16 +87,24 @@ class Columns:
 
 @dataclass
 class Model:
-    """``weights`` over all columns, zero for those that do not count, and the intercept."""
+    """``weights`` of the columns ``kept``; all others count nothing. ``bias``: the intercept."""
 
+    kept: np.ndarray
     weights: np.ndarray
     bias: float
+    columns: int = COLUMNS
     sizes: tuple[int, ...] = SIZES
 
-    def scores(self, column: pa.Array) -> np.ndarray:
-        find = Columns(len(self.weights), self.sizes)
-        total = np.array([self.weights[own].sum() for own in find(column)] or np.zeros(0), float)
-        return 1 / (1 + np.exp(-np.clip(total + self.bias, -700, 700)))
+    def scorer(self):
+        find = Columns(self.columns, self.sizes)
+        dense = np.zeros(self.columns)
+        dense[self.kept] = self.weights
+
+        def scores(column: pa.Array) -> np.ndarray:
+            total = np.array([dense[own].sum() for own in find(column)], float)
+            return 1 / (1 + np.exp(-np.clip(total + self.bias, -700, 700)))
+
+        return scores
 
 
 def ratios(toxic: np.ndarray, other: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
@@ -106,17 +113,19 @@ def ratios(toxic: np.ndarray, other: np.ndarray, smoothing: float = SMOOTHING) -
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
-def choose(toxic, other, ratio, kept: int = KEPT) -> np.ndarray:
-    """The columns that separate most: ratio times the root of the number of texts."""
+def choose(toxic: np.ndarray, other: np.ndarray, ratio: np.ndarray, kept: int = KEPT):
+    """Where the columns that separate most are: ratio times the root of the number of texts."""
     weight = np.abs(ratio) * np.sqrt(toxic + other)
-    weight[toxic + other < LEAST_TEXTS] = 0
-    order = np.argsort(-weight, kind="stable")[:kept]
-    return np.sort(order[weight[order] > 0])
+    return np.sort(np.argsort(-weight, kind="stable")[:kept])
 
 
 def logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, label: np.ndarray,
-             weight: np.ndarray, ridge: float = RIDGE, steps: int = STEPS):
-    """Ridge logistic regression on sparse inputs by limited-memory quasi-Newton steps."""
+             ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a ridge logistic regression, by limited-memory quasi-Newton steps.
+
+    Entry ``i`` says that text ``rows[i]`` has the column ``columns[i]``, whose input is its ratio
+    in ``values``.
+    """
     size = len(values)
     sign = np.where(label > 0, 1.0, -1.0)
 
@@ -124,8 +133,8 @@ def logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, label: n
         w, b = x[:-1], x[-1]
         margin = np.bincount(rows, (w * values)[columns], len(label)) + b
         z = sign * margin
-        cost = (weight * np.logaddexp(0, -z)).sum() + 0.5 * ridge * w @ w
-        pull = -weight * sign / (1 + np.exp(np.clip(z, -700, 700)))
+        cost = np.logaddexp(0, -z).sum() + 0.5 * ridge * w @ w
+        pull = -sign / (1 + np.exp(np.clip(z, -700, 700)))
         grad = np.bincount(columns, pull[rows], size) * values + ridge * w
         return cost, np.append(grad, pull.sum())
 
@@ -146,7 +155,7 @@ def logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, label: n
         moved, turned = rate * step, new_grad - grad
         if moved @ turned > 1e-12:
             past = [*past[-9:], (moved, turned)]
-        x, done = x + moved, abs(cost - new_cost) < 1e-6 * max(1.0, abs(cost))
+        x, done = x + moved, abs(cost - new_cost) < 1e-8 * max(1.0, abs(cost))
         cost, grad = new_cost, new_grad
         if done:
             break
@@ -167,19 +176,91 @@ def _two_loop(grad, past):
     return q
 
 
-def fitted(texts: list[np.ndarray], label: np.ndarray, toxic, other, sizes=SIZES) -> Model:
-    """``texts``: the columns of each fitted text."""
-    weights = np.zeros(len(toxic))
+# -- Spark -----------------------------------------------------------------------------------
+
+
+def held_out(key: Column) -> Column:
+    """Rows that a model must not learn from: a third, by the checksum of the id as text."""
+    return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+          label: str = "toxic", fit: int = FIT) -> Model:
+    """The model of the labelled texts that are not held out.
+
+    Labels other than 0 and 1 and labels without a document are ignored; of several labels of a
+    document the largest holds. With no texts of one class, or none at all, every score is the
+    rate of class 1, one half at worst.
+    """
+    usable = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()
+                           & ~held_out(F.col(key)))
+              .groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label")))
+    picked = [usable.where(F.col("label") == x).orderBy(F.xxhash64("key"), "key").limit(fit // 2)
+              for x in (0, 1)]
+    picked = stage(picked[0].union(picked[1]), "labels")
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    # At most ``fit`` rows of two numbers.
+    texts = stage(texts.join(F.broadcast(picked), "key"), "labelled")
+    counts = texts.select("text", "label").mapInArrow(
+        _count, "column int, toxic long, other long").groupBy("column").agg(
+            F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(
+                F.col("toxic") + F.col("other") >= LEAST_TEXTS).orderBy("column").toArrow()
+    column, toxic, other = (counts.column(i).to_numpy() for i in range(3))
     ratio = ratios(toxic, other)
-    keep = choose(toxic, other, ratio)
-    if not len(keep) or not 0 < label.sum() < len(label):
-        rate = (label.sum() + 0.5) / (len(label) + 1)
-        return Model(weights, float(np.log(rate / (1 - rate))), sizes)
-    place = np.full(len(toxic), -1)
-    place[keep] = np.arange(len(keep))
-    parts = [place[t] for t in texts]
-    parts = [p[p >= 0] for p in parts]
-    rows = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    weights[keep], bias = logistic(rows, np.concatenate(parts), ratio[keep], label,
-                                   np.ones(len(label)))
-    return Model(weights, bias, sizes)
+    at = choose(toxic, other, ratio)
+    kept, ratio = column[at], ratio[at]
+    rows = texts.mapInArrow(lambda it: _kept(it, kept),
+                            "key string, label int, places binary").collect()
+    rows.sort(key=lambda r: (r["key"], r["places"]))
+    target = np.array([r["label"] for r in rows], int)
+    if not len(kept) or not 0 < target.sum() < len(target):
+        rate = (target.sum() + 0.5) / (len(target) + 1)
+        return Model(kept[:0], ratio[:0], float(np.log(rate / (1 - rate))))
+    places = [np.frombuffer(r["places"], np.uint16) for r in rows]
+    owner = np.repeat(np.arange(len(places)), [len(x) for x in places])
+    weights, bias = logistic(owner, np.concatenate(places).astype(np.int64), ratio, target)
+    return Model(kept, weights, bias)
+
+
+def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` with ``score`` in [0, 1], higher for likelier toxic.
+
+    A null text scores like an empty one. A column called score is replaced. No rows give no rows.
+    """
+    rest = [c for c in docs.columns if c != "score"]
+    rows = docs.select(F.struct(*rest).alias("row"), F.col(text).alias("text"))
+    out = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(lambda it: _score(it, model), out).select("row.*", "score")
+
+
+def _count(batches):
+    find = Columns()
+    total = np.zeros((2, COLUMNS), np.int64)
+    for batch in batches:
+        for label, own in zip(batch.column("label").to_pylist(), find(batch.column("text"))):
+            total[label, own] += 1
+    used = np.flatnonzero(total.any(axis=0))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(used.astype(np.int32)), pa.array(total[1, used]), pa.array(total[0, used])],
+        names=["column", "toxic", "other"])
+
+
+def _kept(batches, kept: np.ndarray):
+    find = Columns()
+    place = np.full(COLUMNS, -1, np.int64)
+    place[kept] = np.arange(len(kept))
+    for batch in batches:
+        found = []
+        for own in find(batch.column("text")):
+            at = place[own]
+            found.append(np.sort(at[at >= 0]).astype(np.uint16).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key").cast(pa.string()), batch.column("label"), pa.array(found)],
+            names=["key", "label", "places"])
+
+
+def _score(batches, model: Model):
+    score = model.scorer()
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array(score(batch.column("text")))], names=["row", "score"])
