@@ -11,6 +11,16 @@ def ratio(top: Column, bottom: Column) -> Column:
     return top / F.nullif(bottom.cast("double"), F.lit(0.0))
 
 
+def exact_sum(value: Column) -> Column:
+    """A sum of doubles that does not depend on the order of the rows: terms count as decimals of
+    twelve digits after the point."""
+    return F.sum(value.cast("decimal(38,12)")).cast("double")
+
+
+def exact_avg(value: Column) -> Column:
+    return ratio(exact_sum(value), F.count(value))
+
+
 def unit_clip(value: Column) -> Column:
     """Into [0, 1]; a missing value stays missing, although least/greatest alone would fill it."""
     return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)))

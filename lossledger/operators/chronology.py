@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,26 +25,40 @@ def digest(key: str) -> Column:
     return F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
 
 
+@dataclass(frozen=True)
+class Instant:
+    """A time as microseconds of the epoch. Python's own times would pass through the time zone of
+    the driver on their way from and to Spark."""
+
+    micros: int
+
+
+def _literal(value) -> Column:
+    if isinstance(value, Instant):
+        return F.timestamp_micros(F.lit(value.micros).cast("bigint"))
+    return F.lit(value)
+
+
 @dataclass(frozen=True)
 class Boundary:
     """``rank`` loans lie before it; without a date, all loans do."""
 
     rank: int
-    date: datetime | None = None
+    date: Instant | None = None
     digest: str | None = None
 
     def before(self, when: str = "issue_date", key: str = "id") -> Column:
         """Predicate of the loans before it. Its first term can be pushed to the scan."""
         if self.date is None:
             return F.lit(True)
-        stamp = F.lit(self.date)
+        stamp = _literal(self.date)
         return (F.col(when) <= stamp) & ((F.col(when) < stamp) | (digest(key) < self.digest))
 
     def onwards(self, when: str = "issue_date", key: str = "id") -> Column:
         """Predicate of the loans from it on."""
         if self.date is None:
             return F.lit(False)
-        stamp = F.lit(self.date)
+        stamp = _literal(self.date)
         return (F.col(when) >= stamp) & ((F.col(when) > stamp) | (digest(key) >= self.digest))
 
 
@@ -65,21 +78,24 @@ def boundaries(df: DataFrame, ranks_for: Callable[[int], Sequence[int]], when: s
     wanted = sorted({r for r in ranks if r < total})
     if not wanted:
         return [Boundary(r) for r in ranks]
-    hit = _holding(dates, F.array(*map(F.lit, wanted)), [when]).collect()
-    found = {row["rank"]: (row[when], "", row["rank"] - row["n_before"]) for row in hit}
+    hit = _holding(dates, F.array(*map(F.lit, wanted)), [when]).withColumn(
+        "micros", F.unix_micros(F.col(when).cast("timestamp"))).drop(when).collect()
+    found = {row["rank"]: (Instant(row["micros"]), "", row["rank"] - row["n_before"])
+             for row in hit}
     found = _to_full_digest(df.select(when, digest(key).alias("digest")), when, found,
                             max(row["n"] for row in hit), rows_per_sort)
     return [Boundary(r, *found[r][:2]) if r in found else Boundary(r) for r in ranks]
 
 
 def digest_at(df: DataFrame, rank: int, key: str,
-              rows_per_sort: int = ROWS_PER_SORT) -> str | None:
-    """The digest below which exactly ``rank`` rows lie, or None if there are no more rows."""
+              rows_per_sort: int = ROWS_PER_SORT) -> tuple[str, int] | None:
+    """The digest of the row at a 0-based rank and how many rows of this digest come before it, or
+    None if there are no more rows."""
     total = df.count()
     if rank >= total:
         return None
     keys = df.select(F.lit(0).alias("all"), digest(key).alias("digest"))
-    return _to_full_digest(keys, "all", {rank: (0, "", rank)}, total, rows_per_sort)[rank][1]
+    return _to_full_digest(keys, "all", {rank: (0, "", rank)}, total, rows_per_sort)[rank][1:]
 
 
 def _to_full_digest(loans: DataFrame, when: str, found: dict, most: int,
@@ -105,12 +121,12 @@ def _narrow(loans: DataFrame, when: str, part: Column, found: dict) -> dict:
     here = F.lit(False)
     inner = F.array().cast("array<struct<rank:bigint,inside:bigint>>")
     for rank, (date, known, inside) in found.items():
-        place = (F.col(when) == F.lit(date)) & F.startswith(F.col("digest"), F.lit(known))
+        place = (F.col(when) == _literal(date)) & F.startswith(F.col("digest"), F.lit(known))
         here = here | place
     counts = loans.where(here).groupBy(when, part.alias("part")).agg(
         F.count(F.lit(1)).alias("n"))
     for rank, (date, known, inside) in found.items():
-        place = (F.col(when) == F.lit(date)) & F.startswith(F.col("part"), F.lit(known))
+        place = (F.col(when) == _literal(date)) & F.startswith(F.col("part"), F.lit(known))
         one = F.array(F.struct(F.lit(rank).cast("bigint").alias("rank"),
                                F.lit(inside).cast("bigint").alias("inside")))
         inner = F.when(place, F.concat(inner, one)).otherwise(inner)
@@ -122,10 +138,10 @@ def _narrow(loans: DataFrame, when: str, part: Column, found: dict) -> dict:
         .select(when, "part", "n", "n_before", F.explode(inner).alias("r"))
         .where((F.col("r.inside") >= F.col("n_before"))
                & (F.col("r.inside") < F.col("n_before") + F.col("n")))
-        .select(when, "part", F.col("r.rank").alias("rank"),
+        .select("part", F.col("r.rank").alias("rank"),
                 (F.col("r.inside") - F.col("n_before")).alias("inside")).collect()
     )
-    return {row["rank"]: (row[when], row["part"], row["inside"]) for row in rows}
+    return {row["rank"]: (found[row["rank"]][0], row["part"], row["inside"]) for row in rows}
 
 
 def holdout_rank(n: int, fraction: float = HOLDOUT) -> int:

@@ -15,7 +15,8 @@ def hash_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> DataF
     """The min(n, rows) rows with the smallest digest of key and seed.
 
     The digest that bounds the sample is located first, so that taking the sample is a filter
-    with a literal: no sort of the rows, and no task that gathers them.
+    with a literal: no sort of the rows, and no task that gathers them. Where the bound falls among
+    copies of one key, those with the smallest hash of all columns complete the sample.
     """
     if n <= 0:
         return df.limit(0)
@@ -23,4 +24,9 @@ def hash_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> DataF
     end = digest_at(salted, n, "__salted")
     if end is None:
         return df
-    return salted.where(F.md5("__salted") < end).drop("__salted")
+    digest, copies = end
+    taken = salted.where(F.md5("__salted") < digest)
+    if copies:
+        taken = taken.union(salted.where(F.md5("__salted") == digest)
+                            .orderBy(F.xxhash64(*df.columns)).limit(copies))
+    return taken.drop("__salted")

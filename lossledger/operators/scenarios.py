@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lossledger.functions.numeric import cap_at_one, expected_loss, ratio
+from lossledger.functions.numeric import cap_at_one, exact_sum, expected_loss, ratio
 
 
 @dataclass(frozen=True)
@@ -63,11 +63,11 @@ def scenario_fact(fact: DataFrame, undrawn: Column | None = None,
 
 def scenario_totals(scenarios: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Exposure, weighted PD and expected loss per scenario, in severity order."""
-    ead = F.sum("ead")
+    ead = exact_sum(F.col("ead"))
     return scenarios.groupBy(*by, "scenario", "sort_order").agg(
         ead.alias("total_ead"),
-        ratio(F.sum(F.col("pd") * F.col("ead")), ead).alias("weighted_pd"),
-        F.sum("expected_loss").alias("total_expected_loss"),
+        ratio(exact_sum(F.col("pd") * F.col("ead")), ead).alias("weighted_pd"),
+        exact_sum(F.col("expected_loss")).alias("total_expected_loss"),
     )
 
 
@@ -88,12 +88,12 @@ def what_if(loans: DataFrame, pd_multiplier: float = 1.0, lgd_multiplier: float
     ead = F.col("ead")
     pd = cap_at_one(F.col("pd") * F.lit(pd_multiplier))
     lgd = cap_at_one(F.col("lgd") * F.lit(lgd_multiplier))
-    before = F.sum(expected_loss(F.col("pd"), F.col("lgd"), ead))
-    after = F.sum(expected_loss(pd, lgd, ead))
-    pd_before = ratio(F.sum(F.col("pd") * ead), F.sum(ead))
-    pd_after = ratio(F.sum(pd * ead), F.sum(ead))
+    before = exact_sum(expected_loss(F.col("pd"), F.col("lgd"), ead))
+    after = exact_sum(expected_loss(pd, lgd, ead))
+    pd_before = ratio(exact_sum(F.col("pd") * ead), exact_sum(ead))
+    pd_after = ratio(exact_sum(pd * ead), exact_sum(ead))
     return loans.groupBy(*by).agg(
-        F.sum("ead").alias("total_ead"),
+        exact_sum(ead).alias("total_ead"),
         pd_before.alias("pd_before"), pd_after.alias("pd_after"),
         ((pd_after - pd_before) * 100.0).alias("pd_delta_pp"),
         before.alias("el_before"), after.alias("el_after"),

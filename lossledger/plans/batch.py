@@ -7,15 +7,17 @@ stage or a report reads.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lossledger.operators import (
     attribution, backtest, chronology, cleaning, learners, scenarios, search, star)
 from lossledger.operators.sampling import EXPLAIN_SAMPLE, hash_sample
 from lossledger.operators.vocabulary import indexer
 from lossledger.plans import governance, reports
-from lossledger.session import stage, tune
+from lossledger.session import clear_staged, stage, tune
 from lossledger.sources import columns, files
 
 
@@ -29,12 +31,33 @@ class Layout:
         return f"{self.folder}/{name}"
 
 
-def run_cleaning(raw: DataFrame, layout: Layout, partition_by: tuple[str, ...] = ()) -> dict:
-    """Writes the cleaned loans; returns their counts by outcome. Large books can be partitioned
-    by issue_year, which later date filters then prune."""
+def run_ingest(spark: SparkSession, source: str, layout: Layout, pattern: str = "*.csv*",
+               multiline: bool = False) -> DataFrame:
+    """The raw loans: a Parquet table as it is; a CSV file, or the first one below a folder whose
+    name matches ``pattern``, converted once."""
+    files.require(spark, source, "raw loans")
+    if fnmatch(source.rsplit("/", 1)[-1], pattern):
+        path = source
+    elif files.is_parquet(spark, source):
+        return spark.read.parquet(source)
+    else:
+        path = files.pick_source(spark, source, pattern)
+    files.csv_to_parquet(spark, path, layout.raw_loans, multiline)
+    return spark.read.parquet(layout.raw_loans)
+
+
+def run_cleaning(raw: DataFrame, layout: Layout,
+                 partition_by: tuple[str, ...] = ("issue_year",)) -> dict:
+    """Writes the cleaned loans; returns their counts by outcome. They are partitioned by year of
+    issue, which later date filters prune by."""
     files.write_table(cleaning.clean_loans(raw), layout.clean_loans, partition_by)
-    written = raw.sparkSession.read.parquet(layout.clean_loans)
-    return cleaning.load_audit(written).first().asDict()
+    return cleaning.load_audit(cleaned(raw.sparkSession, layout)).first().asDict()
+
+
+def cleaned(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The cleaned loans; a year that is a folder's name is as long as the others again."""
+    loans = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    return loans.withColumn("issue_year", F.col("issue_year").cast("bigint"))
 
 
 def _params(spark: SparkSession, path: str, given: dict | None) -> dict | None:
@@ -44,7 +67,7 @@ def _params(spark: SparkSession, path: str, given: dict | None) -> dict | None:
 
 def run_search(spark: SparkSession, layout: Layout, trials: list[dict]) -> None:
     """Searches parameters for both models and saves the best of each."""
-    clean = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    clean = cleaned(spark, layout)
     codes = indexer(clean)
     resolved = chronology.label_splits(cleaning.resolved(clean)).where("split = 'train'")
     defaulted = chronology.label_holdout(cleaning.with_realized_lgd(clean))
@@ -56,7 +79,7 @@ def run_search(spark: SparkSession, layout: Layout, trials: list[dict]) -> None:
 
 def run_training(spark: SparkSession, layout: Layout, pd_params: dict | None = None,
                  lgd_params: dict | None = None) -> None:
-    clean = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    clean = cleaned(spark, layout)
     codes = indexer(clean)
     labelled = chronology.label_splits(cleaning.resolved(clean))
     learners.fit_default_model(
@@ -73,7 +96,7 @@ def load_models(layout: Layout):
 
 
 def run_scoring(spark: SparkSession, layout: Layout) -> None:
-    clean = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    clean = cleaned(spark, layout)
     files.write_table(learners.score_portfolio(clean.select(*columns.PORTFOLIO),
                                                *load_models(layout)), layout.scored_loans)
 
@@ -102,7 +125,7 @@ def load_scenarios(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 
 def run_governance(spark: SparkSession, layout: Layout) -> None:
-    clean = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    clean = cleaned(spark, layout)
     default_model, severity_model = load_models(layout)
     report = governance.model_risk(
         chronology.label_splits(cleaning.resolved(clean)), default_model,
@@ -113,7 +136,7 @@ def run_governance(spark: SparkSession, layout: Layout) -> None:
 def run_backtest(spark: SparkSession, layout: Layout, folds: int = chronology.DEFAULT_FOLDS,
                  pd_params: dict | None = None, lgd_params: dict | None = None) -> dict:
     """Walk-forward reports of both models; returns the summary record."""
-    clean = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    clean = cleaned(spark, layout)
     codes = indexer(clean)
     default_folds = stage(backtest.backtest_default(
         cleaning.resolved(clean), codes, _params(spark, layout.pd_params, pd_params), folds),
@@ -133,7 +156,7 @@ def run_backtest(spark: SparkSession, layout: Layout, folds: int = chronology.DE
 
 def run_reasons(spark: SparkSession, layout: Layout, n: int = EXPLAIN_SAMPLE) -> DataFrame:
     """Writes the reason codes of a sample of resolved loans; returns the top drivers."""
-    clean = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    clean = cleaned(spark, layout)
     default_model, _ = load_models(layout)
     sample = hash_sample(cleaning.resolved(clean), n)
     files.write_table(attribution.reason_codes(sample, default_model.trees),
@@ -143,14 +166,15 @@ def run_reasons(spark: SparkSession, layout: Layout, n: int = EXPLAIN_SAMPLE) ->
 
 def run(spark: SparkSession, raw_path: str, folder: str, pd_params: dict | None = None,
         lgd_params: dict | None = None, with_scenarios: bool = False) -> DataFrame:
-    """All stages in order; returns the grade table of the scored portfolio."""
+    """All stages in order; returns the grade table of the scored portfolio. ``raw_path`` is a
+    Parquet table or CSV text. Intermediate tables of this application are deleted at the end."""
     tune(spark)
     layout = Layout(folder)
-    raw = spark.read.parquet(files.require(spark, raw_path, "raw loans"))
-    run_cleaning(raw, layout)
+    run_cleaning(run_ingest(spark, raw_path, layout), layout)
     run_training(spark, layout, pd_params, lgd_params)
     run_scoring(spark, layout)
     run_marts(spark, layout)
     if with_scenarios:
         run_scenarios(spark, layout)
+    clear_staged(spark)
     return reports.grade_table(load_star(spark, layout).loans)

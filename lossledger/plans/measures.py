@@ -7,20 +7,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lossledger.functions.numeric import blank_minus, cap_at_one, expected_loss, ratio
+from lossledger.functions.numeric import (
+    blank_minus, cap_at_one, exact_avg, exact_sum, expected_loss, ratio)
 
 
 def _weighted(risk: str) -> Column:
-    return ratio(F.sum(F.col(risk) * F.col("ead")), F.sum("ead"))
+    return ratio(exact_sum(F.col(risk) * F.col("ead")), exact_sum(F.col("ead")))
 
 
 def _loss(pd_by: float = 1.0, lgd_by: float = 1.0) -> Column:
-    return F.sum(expected_loss(cap_at_one(F.col("pd") * F.lit(pd_by)),
-                               cap_at_one(F.col("lgd") * F.lit(lgd_by)), F.col("ead")))
+    return exact_sum(expected_loss(cap_at_one(F.col("pd") * F.lit(pd_by)),
+                                   cap_at_one(F.col("lgd") * F.lit(lgd_by)), F.col("ead")))
 
 
 def _total_loss() -> Column:
-    return F.sum(expected_loss(F.col("pd"), F.col("lgd"), F.col("ead")))
+    return exact_sum(expected_loss(F.col("pd"), F.col("lgd"), F.col("ead")))
 
 
 def _default_rate() -> Column:
@@ -28,22 +29,22 @@ def _default_rate() -> Column:
 
 
 def _realized_loss() -> Column:
-    return F.sum(F.when(F.col("default_flag") == 1, F.col("actual_lgd") * F.col("ead")))
+    return exact_sum(F.when(F.col("default_flag") == 1, F.col("actual_lgd") * F.col("ead")))
 
 
 MEASURES: dict[str, Callable[[], Column]] = {
-    "total_ead": lambda: F.sum("ead"),
-    "total_funded_amount": lambda: F.sum("funded_amnt"),
+    "total_ead": lambda: exact_sum(F.col("ead")),
+    "total_funded_amount": lambda: exact_sum(F.col("funded_amnt")),
     "loan_count": lambda: F.nullif(F.count(F.lit(1)), F.lit(0)),
     "weighted_pd": lambda: _weighted("pd"),
     "weighted_lgd": lambda: _weighted("lgd"),
-    "average_pd": lambda: F.avg("pd"),
+    "average_pd": lambda: exact_avg(F.col("pd")),
     "total_expected_loss": _total_loss,
-    "el_rate": lambda: ratio(_total_loss(), F.sum("ead")),
+    "el_rate": lambda: ratio(_total_loss(), exact_sum(F.col("ead"))),
     "realized_default_rate": _default_rate,
     "realized_loss_amount": _realized_loss,
     "pd_calibration_gap": lambda: blank_minus(_weighted("pd"), _default_rate()),
-    "average_int_rate": lambda: F.avg("int_rate"),
+    "average_int_rate": lambda: exact_avg(F.col("int_rate")),
 }
 
 
@@ -52,7 +53,7 @@ def stress_measures(pd_by: float = 1.0, lgd_by: float = 1.0) -> dict[str, Callab
     return {
         "stressed_expected_loss": lambda: _loss(pd_by, lgd_by),
         "stress_el_delta": lambda: blank_minus(_loss(pd_by, lgd_by), _total_loss()),
-        "stress_el_rate": lambda: ratio(_loss(pd_by, lgd_by), F.sum("ead")),
+        "stress_el_rate": lambda: ratio(_loss(pd_by, lgd_by), exact_sum(F.col("ead"))),
     }
 
 
@@ -107,11 +108,18 @@ def pd_migration(loans: DataFrame, vintages: DataFrame, by: Sequence[str] = ())
                             "pd_delta_share": ratio(delta, F.col("prior_weighted_pd"))})
 
 
-def grade_mix_shift(loans: DataFrame, vintages: DataFrame, grade: str = "grade") -> DataFrame:
-    """A grade's share of its vintage's loans, and the shift in percentage points."""
-    cells = evaluate(loans, ["loan_count"], ["vintage_key", grade])
-    everyone = F.sum("loan_count").over(Window.partitionBy("vintage_key"))
-    shares = cells.withColumn("grade_mix", ratio(F.col("loan_count"), everyone))
+def grade_mix_shift(loans: DataFrame, vintages: DataFrame, grade: str = "grade",
+                    where: Column | None = None) -> DataFrame:
+    """A grade's share of its vintage's loans, and the shift in percentage points.
+
+    ``where`` is a slice by grade or sub-grade: it picks the loans that are counted, while the
+    share remains one of all loans of the vintage. Slice by anything else beforehand.
+    """
+    counted = F.lit(True) if where is None else where
+    cells = loans.groupBy("vintage_key", grade).agg(
+        F.count_if(counted).alias("n"), F.count(F.lit(1)).alias("n_all"))
+    everyone = F.sum("n_all").over(Window.partitionBy("vintage_key"))
+    shares = cells.withColumn("grade_mix", ratio(F.col("n"), everyone)).where("n > 0")
     out = beside_prior(shares, vintages, ["grade_mix"], [grade])
     return out.withColumn("mix_shift_pp", F.lit(100.0) * blank_minus(
         F.col("grade_mix"), F.col("prior_grade_mix")))
@@ -125,17 +133,18 @@ def el_change(loans: DataFrame, vintages: DataFrame, by: Sequence[str] = ()) ->
         F.col("total_expected_loss"), F.col("prior_total_expected_loss")))
 
 
-def latest_migration(loans: DataFrame) -> DataFrame:
-    """Without a vintage in the grouping: PD of the whole slice against its second-last vintage.
+def latest_migration(loans: DataFrame, vintages: DataFrame) -> DataFrame:
+    """Without a vintage in the grouping: PD of the whole slice against the vintage before the
+    last of ``vintages``. A slice by grade does not move that vintage, even where it has no loans in
+    the last one; a slice by time comes with the vintages that it leaves.
 
-    The slice is summed per vintage first; what remains is one short list of quarters.
+    One row of the dimension is looked up first; the loans are read once.
     """
-    cells = loans.groupBy("vintage_key").agg(
-        F.sum(F.col("pd") * F.col("ead")).alias("risk"), F.sum("ead").alias("ead"))
-    per_vintage = F.map_from_entries(F.collect_list(
-        F.struct("vintage_key", ratio(F.col("risk"), F.col("ead")).alias("pd"))))
-    whole = cells.agg(
-        ratio(F.sum("risk"), F.sum("ead")).alias("weighted_pd"),
-        F.try_element_at(per_vintage, F.max("vintage_key") - 1).alias("prior_weighted_pd"))
-    return whole.withColumn("pd_delta", blank_minus(
-        F.col("weighted_pd"), F.col("prior_weighted_pd")))
+    last = vintages.agg(F.max("vintage_key")).first()[0]
+    prior = F.col("vintage_key") == F.lit(last) - 1
+    risk, ead = F.col("pd") * F.col("ead"), F.col("ead")
+    return loans.agg(
+        ratio(exact_sum(risk), exact_sum(ead)).alias("weighted_pd"),
+        ratio(exact_sum(F.when(prior, risk)), exact_sum(F.when(prior, ead)))
+        .alias("prior_weighted_pd")).withColumn(
+            "pd_delta", blank_minus(F.col("weighted_pd"), F.col("prior_weighted_pd")))

@@ -1,8 +1,8 @@
 """The registered queries as plain SQL over the given tables, for a second engine to run.
 
 Each text derives the raw loans, cleans and scores them by itself, so that it shares nothing with
-the Spark plans but the definition of the derived loans. Rounding first adds a thousandth of the
-last digit: a value exactly on a half would otherwise round by the order in which it was summed.
+the Spark plans but the definition of the derived loans. Amounts and risk-weighted amounts are
+summed as decimals, so that no sum depends on the order of its rows; only results are rounded.
 """
 
 from __future__ import annotations
@@ -190,11 +190,21 @@ scenario_loans as (select *, pd * lgd * ead as expected_loss from revalued)""".f
         f"('{s.name}', {s.pd_multiplier}::double, {s.lgd_multiplier}::double, "
         f"{s.ccf_undrawn}::double, {s.sort_order})" for s in SCENARIOS))
 
+def _sum(term: str, where: str = "") -> str:
+    return f"cast(sum(cast({term} as decimal(38, 12))){where} as double)"
+
+
+def _avg(term: str) -> str:
+    return f"{_sum(term)} / nullif(cast(count({term}) as double), 0)"
+
+
 SLICE = "sub_grade in ('A2', 'B1', 'C3', 'E5') and vintage between '1996Q1' and '1999Q4'"
-_EAD = "round(sum(ead) + 1e-5, 2) as total_ead"
-_PD = "round(sum(pd * ead) / nullif(sum(ead), 0) + 1e-9, 6) as weighted_pd"
-_EL = "round(sum(pd * lgd * ead) + 1e-5, 2) as total_expected_loss"
-_RATE = "round(sum(pd * lgd * ead) / nullif(sum(ead), 0) + 1e-9, 6) as el_rate"
+_EAD = f"round({_sum('ead')}, 2) as total_ead"
+_WPD = f"{_sum('pd * ead')} / nullif({_sum('ead')}, 0)"
+_PD = f"round({_WPD}, 6) as weighted_pd"
+_LOSS = _sum("pd * lgd * ead")
+_EL = f"round({_LOSS}, 2) as total_expected_loss"
+_RATE = f"round({_LOSS} / nullif({_sum('ead')}, 0), 6) as el_rate"
 _REALIZED = ("count(*) filter (default_flag = 1) / nullif(cast(count(default_flag) as double), 0)")
 
 
@@ -289,7 +299,7 @@ index as (
         on b.metric = m.metric and b.bucket = m.bucket and b.period = '' and m.period <> ''
     group by m.metric, m.period),
 psi_report as (
-    select i.metric, i.vintage, cast(s.n as bigint) as n, round(psi + 1e-7, 4) as psi,
+    select i.metric, i.vintage, cast(s.n as bigint) as n, round(psi, 4) as psi,
            case when psi is null then 'insufficient data' when psi > 0.25 then 'significant shift'
                 when psi > 0.1 then 'moderate shift' else 'stable' end as flag
     from index i join (select metric, period, count(*) as n from cells group by all) s
@@ -326,6 +336,10 @@ _FOLD_COLUMNS = ", ".join(
      ["train_start", "train_end", "test_start", "test_end"]), "f.n_train", "f.n_test"])
 
 
+# Trials that the registered searches run.
+TRIALS = 3
+
+
 def texts() -> dict[str, str]:
     """SQL per query key."""
     q: dict[str, str] = {}
@@ -403,42 +417,49 @@ def texts() -> dict[str, str]:
     add("slice_kpis", STAR, f"select {headline} from loans where {SLICE}")
     add("grade_summary", STAR, f"select grade, {headline} from loans group by grade")
     add("expected_loss_by_grade", STAR, f"select grade, {_EL} from loans group by grade")
-    core = f"""{headline}, round(sum(funded_amnt) + 1e-5, 2) as total_funded_amount,
+    core = f"""{headline}, round({_sum('funded_amnt')}, 2) as total_funded_amount,
         cast(count(*) as bigint) as loan_count,
-        round(sum(lgd * ead) / nullif(sum(ead), 0) + 1e-9, 6) as weighted_lgd,
-        round(avg(pd) + 1e-9, 6) as average_pd, round({_REALIZED} + 1e-9, 6) as realized_default_rate,
-        round(sum(actual_lgd * ead) filter (default_flag = 1) + 1e-5, 2) as realized_loss_amount,
-        round(sum(pd * ead) / nullif(sum(ead), 0) - coalesce({_REALIZED}, 0) + 1e-9, 6)
+        round({_sum('lgd * ead')} / nullif({_sum('ead')}, 0), 6) as weighted_lgd,
+        round({_avg('pd')}, 6) as average_pd, round({_REALIZED}, 6) as realized_default_rate,
+        round({_sum('actual_lgd * ead', ' filter (default_flag = 1)')}, 2) as realized_loss_amount,
+        round({_WPD} - coalesce({_REALIZED}, 0), 6)
             as pd_calibration_gap"""
     add("core_measures_by_grade_and_vintage", STAR,
         f"select grade, vintage, {core} from loans group by grade, vintage")
     add("core_measures_total", STAR, f"select {core} from loans")
-    add("weighted_lgd_by_state", STAR, """select addr_state,
-        round(sum(lgd * ead) / nullif(sum(ead), 0) + 1e-9, 6) as weighted_lgd
+    add("weighted_lgd_by_state", STAR, f"""select addr_state,
+        round({_sum('lgd * ead')} / nullif({_sum('ead')}, 0), 6) as weighted_lgd
         from loans group by addr_state""")
-    add("realized_loss_by_sub_grade", STAR, """select sub_grade,
-        round(sum(actual_lgd * ead) filter (default_flag = 1) + 1e-5, 2) as realized_loss_amount
+    add("realized_loss_by_sub_grade", STAR, f"""select sub_grade,
+        round({_sum('actual_lgd * ead', ' filter (default_flag = 1)')}, 2) as realized_loss_amount
         from loans group by sub_grade""")
     add("default_rate_by_vintage", STAR, f"""select vintage,
         cast(count(*) filter (default_flag = 1) as bigint) as n_default,
         cast(count(default_flag) as bigint) as n_resolved,
-        round({_REALIZED} + 1e-9, 6) as cumulative_default_rate from loans group by vintage""")
+        round({_REALIZED}, 6) as cumulative_default_rate from loans group by vintage""")
     add("default_rate_of_slice", STAR, f"""select vintage,
         cast(count(*) filter (default_flag = 1) as bigint) as n_default,
         cast(count(default_flag) as bigint) as n_resolved,
-        round({_REALIZED} + 1e-9, 6) as cumulative_default_rate from loans where {SLICE}
+        round({_REALIZED}, 6) as cumulative_default_rate from loans where {SLICE}
         group by vintage""")
     add("expected_loss_of_slice", STAR,
         f"select grade, {_EL} from loans where {SLICE} group by grade")
     for by in ["grade", "sub_grade"]:
         add(f"status_mix_by_{by}", STAR, f"""select {by}, loan_status, cast(n as bigint) as n,
-            round(n * 100::double / sum(n) over (partition by {by}) + 1e-9, 6) as pct
+            round(n * 100::double / sum(n) over (partition by {by}), 6) as pct
             from (select {by}, loan_status, count(*) as n from loans group by all)""")
     add("status_matrix_by_grade", STAR, "select grade, " + ", ".join(
-        f"round(count(*) filter (loan_status = '{s}') * 100::double / count(*) + 1e-9, 6) as \"{s}\""
+        f"round(count(*) filter (loan_status = '{s}') * 100::double / count(*), 6) as \"{s}\""
         for s in ["Current", "Fully Paid", "Charged Off", c.DEFAULT_STATUSES[2]])
         + " from loans group by grade")
-    add("rate_vs_pd_by_subgrade", STAR, "select sub_grade, round(avg(int_rate) + 1e-9, 6) as "
+    add("status_matrix_of_resolved", STAR, """select sub_grade,
+        round(count(*) filter (loan_status = 'Charged Off') * 100::double / count(*), 6)
+            as "Charged Off",
+        round(count(*) filter (loan_status = 'Fully Paid') * 100::double / count(*), 6)
+            as "Fully Paid",
+        round(count(*) filter (loan_status not in ('Charged Off', 'Fully Paid')) * 100::double
+              / count(*), 6) as other from loans group by sub_grade""")
+    add("rate_vs_pd_by_subgrade", STAR, f"select sub_grade, round({_avg('int_rate')}, 6) as "
         f"average_int_rate, {_PD} from loans group by sub_grade")
     add("rate_vs_pd_sample", STAR, "select loan_id, int_rate, pd, grade from loans "
         "order by md5(loan_id || '#42') limit 5000")
@@ -449,51 +470,68 @@ def texts() -> dict[str, str]:
     add("pd_by_vintage_and_grade", STAR,
         f"select vintage, grade, {_PD} from loans group by vintage, grade")
     add("modeled_vs_realized", STAR, f"""select vintage, {_PD},
-        round({_REALIZED} + 1e-9, 6) as realized_default_rate,
-        round(sum(pd * ead) / nullif(sum(ead), 0) - coalesce({_REALIZED}, 0) + 1e-9, 6)
+        round({_REALIZED}, 6) as realized_default_rate,
+        round({_WPD} - coalesce({_REALIZED}, 0), 6)
             as pd_calibration_gap from loans group by vintage""")
     add("filter_options", STAR, "select distinct 'sub_grade' as option, sub_grade as value "
         "from loans union all select distinct 'vintage', vintage from loans")
 
-    wpd = "sum(pd * ead) / nullif(sum(ead), 0)"
+    wpd = _WPD
     add("pd_migration", STAR + f""",
         cells as (select vintage_key, {wpd} as weighted_pd from loans group by vintage_key),
         beside as (select v.vintage_key, v.vintage, a.weighted_pd, b.weighted_pd as prior_pd
             from dim_vintage v join cells a using (vintage_key)
             left join cells b on b.vintage_key = v.vintage_key - 1)""",
-        f"""select vintage_key, vintage, round(weighted_pd + 1e-9, 6) as weighted_pd,
-        round(prior_pd + 1e-9, 6) as prior_weighted_pd, prior_pd is not null as has_prior,
-        round({_minus("weighted_pd", "prior_pd")} + 1e-9, 6) as pd_delta,
-        round(({_minus("weighted_pd", "prior_pd")}) / prior_pd + 1e-9, 6) as pd_delta_share
+        f"""select vintage_key, vintage, round(weighted_pd, 6) as weighted_pd,
+        round(prior_pd, 6) as prior_weighted_pd, prior_pd is not null as has_prior,
+        round({_minus("weighted_pd", "prior_pd")}, 6) as pd_delta,
+        round(({_minus("weighted_pd", "prior_pd")}) / prior_pd, 6) as pd_delta_share
         from beside""")
     for by in ["grade", "sub_grade"]:
         add(f"pd_migration_by_{by}", STAR + f""",
             cells as (select vintage_key, {by}, {wpd} as weighted_pd from loans group by all)"""
             + _PRIOR_GRID.format(by=by, m="weighted_pd"),
-            f"""select vintage_key, vintage, {by}, round(weighted_pd + 1e-9, 6) as weighted_pd,
-            round(prior_weighted_pd + 1e-9, 6) as prior_weighted_pd, has_prior,
-            round({_minus("weighted_pd", "prior_weighted_pd")} + 1e-9, 6) as pd_delta,
-            round(({_minus("weighted_pd", "prior_weighted_pd")}) / prior_weighted_pd + 1e-9, 6)
+            f"""select vintage_key, vintage, {by}, round(weighted_pd, 6) as weighted_pd,
+            round(prior_weighted_pd, 6) as prior_weighted_pd, has_prior,
+            round({_minus("weighted_pd", "prior_weighted_pd")}, 6) as pd_delta,
+            round(({_minus("weighted_pd", "prior_weighted_pd")}) / prior_weighted_pd, 6)
                 as pd_delta_share from beside""")
         add(f"grade_mix_shift_by_{by}", STAR + f""",
             cells as (select vintage_key, {by}, count(*) / cast(sum(count(*)) over
                 (partition by vintage_key) as double) as grade_mix from loans
                 group by vintage_key, {by})""" + _PRIOR_GRID.format(by=by, m="grade_mix"),
-            f"""select vintage_key, vintage, {by}, round(grade_mix + 1e-9, 6) as grade_mix,
-            round(prior_grade_mix + 1e-9, 6) as prior_grade_mix, has_prior,
-            round(100 * ({_minus("grade_mix", "prior_grade_mix")}) + 1e-9, 6) as mix_shift_pp
+            f"""select vintage_key, vintage, {by}, round(grade_mix, 6) as grade_mix,
+            round(prior_grade_mix, 6) as prior_grade_mix, has_prior,
+            round(100 * ({_minus("grade_mix", "prior_grade_mix")}), 6) as mix_shift_pp
             from beside""")
     add("pd_migration_latest", STAR + f""",
         prior as (select {wpd} as prior_weighted_pd from loans
-                  where vintage_key = (select max(vintage_key) - 1 from loans))""",
-        f"""select round({wpd} + 1e-9, 6) as weighted_pd,
-        round(max(prior_weighted_pd) + 1e-9, 6) as prior_weighted_pd,
-        round({wpd} - max(prior_weighted_pd) + 1e-9, 6) as pd_delta from loans cross join prior""")
-    add("el_qoq", STAR + """,
-        cells as (select vintage_key, sum(pd * lgd * ead) as el from loans group by vintage_key)""",
-        f"""select v.vintage_key, v.vintage, round(a.el + 1e-5, 2) as total_expected_loss,
-        round(b.el + 1e-5, 2) as prior_total_expected_loss, b.el is not null as has_prior,
-        round({_minus("a.el", "b.el")} + 1e-5, 2) as el_delta
+                  where vintage_key = (select max(vintage_key) - 1 from dim_vintage))""",
+        f"""select round({wpd}, 6) as weighted_pd,
+        round(max(prior_weighted_pd), 6) as prior_weighted_pd,
+        round({wpd} - max(prior_weighted_pd), 6) as pd_delta from loans cross join prior""")
+    add("pd_migration_latest_of_slice", STAR + f""",
+        slice as (select * from loans where sub_grade in ('A2', 'B1') and vintage < '2001Q3'),
+        prior as (select {wpd} as prior_weighted_pd from slice
+                  where vintage_key = (select max(vintage_key) - 1 from dim_vintage))""",
+        f"""select round({wpd}, 6) as weighted_pd,
+        round(max(prior_weighted_pd), 6) as prior_weighted_pd,
+        round({_minus(wpd, "max(prior_weighted_pd)")}, 6) as pd_delta from slice cross join prior""")
+    add("grade_mix_shift_of_slice", STAR + """,
+        cells as (select vintage_key, grade, count(*) filter (sub_grade in ('A2', 'B1', 'B3'))
+            / cast(sum(count(*)) over (partition by vintage_key) as double) as grade_mix from loans
+            group by vintage_key, grade
+            qualify count(*) filter (sub_grade in ('A2', 'B1', 'B3')) > 0)"""
+        + _PRIOR_GRID.format(by="grade", m="grade_mix"),
+        f"""select vintage_key, vintage, grade, round(grade_mix, 6) as grade_mix,
+        round(prior_grade_mix, 6) as prior_grade_mix, has_prior,
+        round(100 * ({_minus("grade_mix", "prior_grade_mix")}), 6) as mix_shift_pp
+        from beside""")
+    add("el_qoq", STAR + f""",
+        cells as (select vintage_key, {_LOSS} as el from loans group by vintage_key)""",
+        f"""select v.vintage_key, v.vintage, round(a.el, 2) as total_expected_loss,
+        round(b.el, 2) as prior_total_expected_loss, b.el is not null as has_prior,
+        round({_minus("a.el", "b.el")}, 2) as el_delta
         from dim_vintage v join cells a using (vintage_key)
         left join cells b on b.vintage_key = v.vintage_key - 1""")
 
@@ -514,22 +552,23 @@ def texts() -> dict[str, str]:
     for key, by in [("scenario_increment", ""), ("scenario_increment_by_grade", "grade, ")]:
         part = f"partition by {by.rstrip(', ')}" if by else ""
         add(key, SCENARIO + f""", totals as (select {by} scenario, sort_order,
-            sum(expected_loss) as el from scenario_loans group by all)""",
-            f"""select {by} scenario, sort_order, round(el + 1e-5, 2) as total_expected_loss,
-            round(el - max(el) filter (scenario = 'Baseline') over ({part}) + 1e-5, 2) as vs_baseline,
-            round(coalesce(el - lag(el) over ({part} order by sort_order), 0) + 1e-5, 2) as vs_previous
+            {_sum('expected_loss')} as el from scenario_loans group by all)""",
+            f"""select {by} scenario, sort_order, round(el, 2) as total_expected_loss,
+            round(el - max(el) filter (scenario = 'Baseline') over ({part}), 2) as vs_baseline,
+            round(coalesce(el - lag(el) over ({part} order by sort_order), 0), 2) as vs_previous
             from totals""")
     spd, slgd = "least(pd * 1.4::double, 1::double)", "least(lgd * 1.25::double, 1::double)"
-    add("what_if_shock", STAR, f"""select round(sum(ead) + 1e-5, 2) as total_ead,
-        round({wpd} + 1e-9, 6) as pd_before, round(sum({spd} * ead) / nullif(sum(ead), 0) + 1e-9, 6) as pd_after,
-        round(100 * (sum({spd} * ead) / nullif(sum(ead), 0) - {wpd}) + 1e-9, 6) as pd_delta_pp,
-        round(sum(pd * lgd * ead) + 1e-5, 2) as el_before, round(sum({spd} * {slgd} * ead) + 1e-5, 2) as el_after,
-        round(sum({spd} * {slgd} * ead) - sum(pd * lgd * ead) + 1e-5, 2) as el_delta
+    stressed = _sum(f"{spd} * {slgd} * ead")
+    add("what_if_shock", STAR, f"""select round({_sum('ead')}, 2) as total_ead,
+        round({wpd}, 6) as pd_before, round({_sum(spd + ' * ead')} / nullif({_sum('ead')}, 0), 6) as pd_after,
+        round(100 * ({_sum(spd + ' * ead')} / nullif({_sum('ead')}, 0) - {wpd}), 6) as pd_delta_pp,
+        round({_LOSS}, 2) as el_before, round({stressed}, 2) as el_after,
+        round({stressed} - {_LOSS}, 2) as el_delta
         from loans where {SLICE}""")
     add("stress_measures_by_grade", STAR, f"""select grade,
-        round(sum({spd} * {slgd} * ead) + 1e-5, 2) as stressed_expected_loss,
-        round(sum({spd} * {slgd} * ead) - sum(pd * lgd * ead) + 1e-5, 2) as stress_el_delta,
-        round(sum({spd} * {slgd} * ead) / nullif(sum(ead), 0) + 1e-9, 6) as stress_el_rate
+        round({stressed}, 2) as stressed_expected_loss,
+        round({stressed} - {_LOSS}, 2) as stress_el_delta,
+        round({stressed} / nullif({_sum('ead')}, 0), 6) as stress_el_rate
         from loans group by grade""")
 
     add("time_split_members", SPLIT, "select id, split from split_loans")
@@ -557,17 +596,17 @@ def texts() -> dict[str, str]:
 
     resolved = SCORED + ", resolved as (select * from scored where default_flag is not null)"
     add("roc_auc_gini", resolved + _separation("resolved"), """select n, n_pos,
-        round(roc_auc + 1e-9, 6) as roc_auc, round(2 * roc_auc - 1 + 1e-9, 6) as gini from separated""")
+        round(roc_auc, 6) as roc_auc, round(2 * roc_auc - 1, 6) as gini from separated""")
     add("average_precision", resolved + _separation("resolved"),
-        "select round(average_precision + 1e-9, 6) as average_precision from separated")
+        "select round(average_precision, 6) as average_precision from separated")
     add("ks_statistic", resolved + _separation("resolved"),
-        "select round(ks + 1e-9, 6) as ks from separated")
+        "select round(ks, 6) as ks from separated")
     add("brier_by_vintage", resolved, """select vintage, cast(count(*) as bigint) as n,
-        round(avg((pd - default_flag) * (pd - default_flag)) + 1e-9, 6) as brier
+        round(avg((pd - default_flag) * (pd - default_flag)), 6) as brier
         from resolved group by vintage""")
-    separated = """n, n_pos, round(roc_auc + 1e-9, 6) as roc_auc, round(2 * roc_auc - 1 + 1e-9, 6) as gini,
-        round(average_precision + 1e-9, 6) as average_precision, round(ks + 1e-9, 6) as ks,
-        round(brier + 1e-9, 6) as brier"""
+    separated = """n, n_pos, round(roc_auc, 6) as roc_auc, round(2 * roc_auc - 1, 6) as gini,
+        round(average_precision, 6) as average_precision, round(ks, 6) as ks,
+        round(brier, 6) as brier"""
     add("discrimination_by_grade", resolved + _separation("resolved", "grade"),
         f"select grade, {separated} from separated")
     add("discrimination_by_split", SPLIT + _separation("split_loans", "split"),
@@ -576,39 +615,79 @@ def texts() -> dict[str, str]:
                    "default_flag from segmented where segment > 0)"
                    + _separation("tested", "fold"))
     add("walk_forward_discrimination", fold_scores,
-        f"""select {_FOLD_COLUMNS}, round(roc_auc + 1e-7, 4) as roc_auc,
-        round(average_precision + 1e-7, 4) as pr_auc, round(brier + 1e-7, 4) as brier_score
+        f"""select {_FOLD_COLUMNS}, round(roc_auc, 4) as roc_auc,
+        round(average_precision, 4) as pr_auc, round(brier, 4) as brier_score
         from folds f join separated s on s.fold = f.fold""")
     add("walk_forward_stability", fold_scores, """select cast(count(*) as bigint) as n_folds,
-        round(avg(round(roc_auc + 1e-7, 4)) + 1e-7, 4) as roc_auc_mean,
-        round(stddev_samp(round(roc_auc + 1e-7, 4)) + 1e-7, 4) as roc_auc_std,
-        round(avg(round(brier + 1e-7, 4)) + 1e-7, 4) as brier_score_mean,
-        round(stddev_samp(round(brier + 1e-7, 4)) + 1e-7, 4) as brier_score_std
+        round(avg(round(roc_auc, 4)), 4) as roc_auc_mean,
+        round(stddev_samp(round(roc_auc, 4)), 4) as roc_auc_std,
+        round(avg(round(brier, 4)), 4) as brier_score_mean,
+        round(stddev_samp(round(brier, 4)), 4) as brier_score_std
         from folds f join separated s on s.fold = f.fold""")
     add("lgd_error", SCORED, """select grade, cast(count(*) as bigint) as n,
-        round(sqrt(avg((lgd - actual_lgd) * (lgd - actual_lgd))) + 1e-9, 6) as rmse,
-        round(avg(abs(lgd - actual_lgd)) + 1e-9, 6) as mae
+        round(sqrt(avg((lgd - actual_lgd) * (lgd - actual_lgd))), 6) as rmse,
+        round(avg(abs(lgd - actual_lgd)), 6) as mae
         from scored where actual_lgd is not null group by grade""")
     add("walk_forward_lgd_error", _folds("actual_lgd") + """, errors as (
         select segment as fold, sqrt(avg((lgd - actual_lgd) * (lgd - actual_lgd))) as rmse,
                avg(abs(lgd - actual_lgd)) as mae from segmented where segment > 0 group by 1)""",
-        f"""select {_FOLD_COLUMNS}, round(rmse + 1e-7, 4) as rmse, round(mae + 1e-7, 4) as mae
+        f"""select {_FOLD_COLUMNS}, round(rmse, 4) as rmse, round(mae, 4) as mae
         from folds f join errors s on s.fold = f.fold""")
     add("score_quantiles", resolved + ", long as (select grade as metric, pd as value "
         "from resolved)" + _edges("long").split(",\nedges as")[0],
         """select metric as grade, cast(share_index as integer) as share_index,
         round(case when part < 0.5 then low + (high - low) * part
-              else high - (high - low) * (1 - part) end + 1e-12, 9) as quantile from bracketed""")
+              else high - (high - low) * (1 - part) end, 9) as quantile from bracketed""")
     add("reliability_curve", resolved + ", long as (select 'pd' as metric, pd as value "
         "from resolved)" + _edges("long") + """, binned as (
         select pd, default_flag, (select count(*) from edges where e > 1 and e < n_edges
                                   and pd > edge) + 1 as bin from resolved)""",
-        """select cast(bin as integer) as bin, round(avg(pd) + 1e-9, 6) as predicted_pd,
-        round(avg(default_flag) + 1e-9, 6) as empirical_default_rate, cast(count(*) as bigint) as "count"
+        """select cast(bin as integer) as bin, round(avg(pd), 6) as predicted_pd,
+        round(avg(default_flag), 6) as empirical_default_rate, cast(count(*) as bigint) as "count"
         from binned group by bin""")
     add("psi_by_vintage", PSI, "select metric, vintage, n, psi, flag from psi_report")
     add("psi_flags", PSI, "select metric, vintage, n, psi, flag from psi_report "
         "where flag <> 'stable'")
     add("psi_flag_count", PSI, "select cast(count(*) as bigint) as n_rows, "
         "cast(count(*) filter (flag <> 'stable') as bigint) as n_flagged from psi_report")
+    # What fitted models must satisfy, whatever their trees.
+    add("score_portfolio_checks", SCORED, f"""select grade, cast(count(*) as bigint) as n,
+        {_EAD}, 0::bigint as n_bad_pd, 0::bigint as n_bad_lgd, 0::bigint as n_bad_loss
+        from scored group by grade""")
+    add("score_portfolio_reloaded_checks", SCORED,
+        f"select grade, {_EAD}, true as same_loss from scored group by grade")
+    add("calibration_is_monotone", SPLIT, """select split, cast(count(*) as bigint) as n,
+        0::bigint as n_falls, 0::bigint as n_bad from split_loans group by split""")
+    add("calibration_fit_residual", SPLIT, """select cast(count(*) as bigint) as n,
+        cast(count(*) filter (default_flag = 1) as bigint) as n_default, true as keeps_mean
+        from split_loans where split = 'calibration'""")
+    add("calibration_compare_checks", SPLIT, """select model, cast(count(*) as bigint) as n,
+        true as sound from split_loans, (values ('uncalibrated'), ('calibrated')) v(model)
+        where split = 'oot' group by model""")
+    add("backtest_pd_windows", _folds("default_flag"), f"select {_FOLD_COLUMNS} from folds f")
+    add("backtest_lgd_windows", _folds("actual_lgd"), f"select {_FOLD_COLUMNS} from folds f")
+    add("backtest_summary_checks", "m as (select * from (values ('pd_model', 'roc_auc'), "
+        "('pd_model', 'brier_score'), ('lgd_model', 'rmse')) v(model, metric))",
+        "select model, metric, 5::bigint as n_folds, true as agrees from m")
+    for kind in ["pd", "lgd"]:
+        add(f"tuning_trials_{kind}_checks", f"t as (select * from range({TRIALS}) x(trial))",
+            "select count(*) as n_trials, count(distinct trial) as n_distinct, "
+            "0::bigint as n_out_of_order from t")
+    for key, limit in [("reason_codes_checks", ""),
+                       ("reason_codes_of_sample_checks", "limit 2000")]:
+        add(key, SCORED + f""", told as (select id from scored
+            where default_flag is not null order by md5(id || '#42') {limit})""",
+            """select cast(count(*) as bigint) as n_loans, cast(5 * count(*) as bigint)
+            as n_reasons, 0::bigint as n_bad_ranks, 0::bigint as n_out_of_order,
+            0::bigint as n_bad_directions from told""")
+    add("top_drivers_checks", SCORED, """select cast(count(default_flag) as bigint) as n_loans,
+        0::bigint as n_wrong, true as are_the_most_frequent from scored""")
+    add("governance_period", SPLIT, "select " + _day("min(issue_date)", "start") + ", "
+        + _day("max(issue_date)", '"end"') + ", 0.1::double as moderate_threshold, "
+        "0.25::double as significant_threshold from split_loans where split = 'oot'")
+    add("governance_psi_sizes", PSI, "select metric, vintage, n from psi_report")
+    add("governance_psi_of_inputs", PSI, "select metric, vintage, n, psi, flag from psi_report "
+        "where metric <> 'predicted_pd'")
+    add("governance_reliability_sizes", SPLIT, """select cast(count(*) as bigint) as n,
+        cast(sum(default_flag) as double) as n_default from split_loans where split = 'oot'""")
     return q

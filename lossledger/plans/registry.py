@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lossledger.functions.numeric import exact_sum
 from lossledger.operators import (
     attribution, backtest, chronology, cleaning, contracts, learners, scenarios, search,
     stability, star)
@@ -37,14 +38,8 @@ def query(build: Query) -> Query:
     return run
 
 
-def settled(value: Column, digits: int) -> Column:
-    """Rounded after adding a thousandth of the last digit, so that a value exactly on a half
-    does not round by the order in which it was summed."""
-    return F.round(value + F.lit(10.0 ** -(digits + 3)), digits)
-
-
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    return df.withColumns({name: settled(F.col(name), n) for name, n in digits.items()})
+    return df.withColumns({name: F.round(F.col(name), n) for name, n in digits.items()})
 
 
 def days(df: DataFrame, *names: str) -> DataFrame:
@@ -311,9 +306,16 @@ def status_mix_by_sub_grade(spark, folder):
 
 @query
 def status_matrix_by_grade(spark, folder):
-    statuses = ["Current", "Fully Paid", "Charged Off", c.DEFAULT_STATUSES[2]]
-    return rounded(reports.status_matrix(described(spark, folder), "grade", statuses),
-                   **dict.fromkeys(statuses, 6))
+    matrix = reports.status_matrix(described(spark, folder), "grade")
+    return rounded(matrix, **dict.fromkeys(matrix.columns[1:], 6))
+
+
+@query
+def status_matrix_of_resolved(spark, folder):
+    """Listed statuses and the rest."""
+    matrix = reports.status_matrix(described(spark, folder), "sub_grade",
+                                   ["Charged Off", "Fully Paid"])
+    return rounded(matrix, **dict.fromkeys(matrix.columns[1:], 6))
 
 
 @query
@@ -379,10 +381,29 @@ def pd_migration_by_sub_grade(spark, folder):
 
 @query
 def pd_migration_latest(spark, folder):
-    return rounded(measures.latest_migration(described(spark, folder)),
+    mart = portfolio(spark, folder)
+    return rounded(measures.latest_migration(mart.loans, mart.vintages),
                    weighted_pd=6, prior_weighted_pd=6, pd_delta=6)
 
 
+@query
+def pd_migration_latest_of_slice(spark, folder):
+    """Loans of some sub-grades with an even key in the last two vintages: the vintage before the
+    last remains that of the dimension."""
+    mart = portfolio(spark, folder)
+    loans = mart.loans.where("sub_grade in ('A2', 'B1') and vintage < '2001Q3'")
+    return rounded(measures.latest_migration(loans, mart.vintages),
+                   weighted_pd=6, prior_weighted_pd=6, pd_delta=6)
+
+
+@query
+def grade_mix_shift_of_slice(spark, folder):
+    """Shares of all loans, shown for a slice by sub-grade."""
+    mart = portfolio(spark, folder)
+    return rounded(measures.grade_mix_shift(
+        mart.loans, mart.vintages, where=F.col("sub_grade").isin("A2", "B1", "B3")), **MIX)
+
+
 @query
 def grade_mix_shift_by_grade(spark, folder):
     mart = portfolio(spark, folder)
@@ -549,7 +570,7 @@ def ks_statistic(spark, folder):
 def brier_by_vintage(spark, folder):
     miss = F.col("pd") - F.col("default_flag")
     return resolved_loans(spark, folder).groupBy("vintage").agg(
-        F.count(F.lit(1)).alias("n"), settled(F.avg(miss * miss), 6).alias("brier"))
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(miss * miss), 6).alias("brier"))
 
 
 @query
@@ -568,9 +589,9 @@ def _fold_metrics(spark, folder):
     segments = _segments(spark, folder)
     tested = segments.where("segment > 0").withColumnRenamed("segment", "fold")
     found = discrimination(tested, "pd", "default_flag", ["fold"]).select(
-        "fold", settled(F.col("roc_auc"), 4).alias("roc_auc"),
-        settled(F.col("average_precision"), 4).alias("pr_auc"),
-        settled(F.col("brier"), 4).alias("brier_score"))
+        "fold", F.round(F.col("roc_auc"), 4).alias("roc_auc"),
+        F.round(F.col("average_precision"), 4).alias("pr_auc"),
+        F.round(F.col("brier"), 4).alias("brier_score"))
     return chronology.fold_summary(segments).join(found, "fold")
 
 
@@ -583,7 +604,7 @@ def walk_forward_discrimination(spark, folder):
 def walk_forward_stability(spark, folder):
     return _fold_metrics(spark, folder).agg(
         F.count(F.lit(1)).alias("n_folds"),
-        *(settled(how(m), 4).alias(f"{m}_{name}") for m in ["roc_auc", "brier_score"]
+        *(F.round(how(m), 4).alias(f"{m}_{name}") for m in ["roc_auc", "brier_score"]
           for name, how in [("mean", F.avg), ("std", F.stddev_samp)]))
 
 
@@ -790,3 +811,175 @@ def governance_psi_report(spark, folder):
 def governance_reliability(spark, folder):
     return rounded(_model_risk(spark, folder).reliability,
                    predicted_pd=6, empirical_default_rate=6)
+
+
+# -- what does not depend on the fitted trees ------------------------------------------------
+
+
+def _unit(name: str) -> Column:
+    return F.col(name).isNotNull() & F.col(name).between(0.0, 1.0)
+
+
+@query
+def score_portfolio_checks(spark, folder):
+    """Per grade: loans, exposure, scores outside [0, 1], losses other than their product."""
+    product = F.col("pd") * F.col("lgd") * F.col("ead")
+    wrong = F.abs(F.col("expected_loss") - product) > F.lit(1e-9) * F.col("ead")
+    return QUERIES["score_portfolio"](spark, folder).groupBy("grade").agg(
+        F.count(F.lit(1)).alias("n"), F.round(exact_sum(F.col("ead")), 2).alias("total_ead"),
+        F.count_if(~_unit("pd")).alias("n_bad_pd"), F.count_if(~_unit("lgd")).alias("n_bad_lgd"),
+        F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_bad_loss"))
+
+
+@query
+def score_portfolio_reloaded_checks(spark, folder):
+    """The reloaded models give the grade table that the models in memory give."""
+    scored = learners.score_portfolio(_unscored(spark, folder), default_model(spark, folder),
+                                      severity_model(spark, folder))
+    own = rounded(reports.grade_table(scored), **HEADLINE)
+    again = QUERIES["score_portfolio_reloaded"](spark, folder)
+    return again.join(own.withColumnRenamed("total_expected_loss", "own"), "grade").select(
+        "grade", own["total_ead"], (F.abs(F.col("total_expected_loss") - F.col("own")) < 0.02)
+        .alias("same_loss"))
+
+
+@query
+def calibration_is_monotone(spark, folder):
+    """Calibrated scores rise with raw ones and stay between the smallest and largest rate."""
+    scored = stage(default_model(spark, folder).with_pd(_labelled(spark, folder)).groupBy(
+        "split", "raw_pd").agg(F.min("pd").alias("low"), F.max("pd").alias("high"),
+                               F.count(F.lit(1)).alias("n")), "calibrated")
+    order = Window.partitionBy("split").orderBy("raw_pd")
+    falls = F.col("low") < F.lag("high").over(order)
+    return scored.withColumn("falls", F.coalesce(falls, F.lit(False))).groupBy("split").agg(
+        F.sum("n").alias("n"), F.count_if("falls").alias("n_falls"),
+        F.count_if((F.col("low") != F.col("high")) | ~_unit("low")).alias("n_bad"))
+
+
+@query
+def calibration_fit_residual(spark, folder):
+    """On the slice that fits it, an isotonic map keeps the mean of the labels."""
+    fitted = default_model(spark, folder).with_pd(_labelled(spark, folder)).where(
+        "split = 'calibration'")
+    return fitted.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("default_flag") == 1).alias("n_default"),
+        (F.abs(F.avg("pd") - F.avg("default_flag")) < 1e-9).alias("keeps_mean"))
+
+
+@query
+def calibration_compare_checks(spark, folder):
+    unit = F.least("roc_auc", "pr_auc", F.lit(1.0) - F.col("brier_score")) > 0
+    return QUERIES["calibration_compare"](spark, folder).select(
+        "model", "n", (unit & (F.col("roc_auc") > 0.5)).alias("sound"))
+
+
+@query
+def backtest_pd_windows(spark, folder):
+    return QUERIES["backtest_pd"](spark, folder).drop("roc_auc", "pr_auc", "brier_score")
+
+
+@query
+def backtest_lgd_windows(spark, folder):
+    return QUERIES["backtest_lgd"](spark, folder).drop("rmse", "mae")
+
+
+@query
+def backtest_summary_checks(spark, folder):
+    """Mean and deviation, computed again from the folds by their definition."""
+    def again(folds, model, metric):
+        value, n = F.col(metric), F.count(metric)
+        mean = F.sum(value) / n
+        spread = F.sqrt((F.sum(value * value) - n * mean * mean) / (n - 1))
+        return folds.agg(F.lit(model).alias("model"), F.lit(metric).alias("metric"),
+                         mean.alias("m"), spread.alias("s"))
+
+    default, severity = _default_folds(spark, folder), _severity_folds(spark, folder)
+    own = _union([again(default, "pd_model", "roc_auc"),
+                  again(default, "pd_model", "brier_score"),
+                  again(severity, "lgd_model", "rmse")])
+    same = (F.abs(F.col("mean") - F.col("m")) < 1e-4) & (F.abs(F.col("std") - F.col("s")) < 1e-4)
+    return QUERIES["backtest_summary"](spark, folder).join(own, ["model", "metric"]).select(
+        "model", "metric", "n_folds", same.alias("agrees"))
+
+
+def _trial_checks(trials: DataFrame, metric: str, sign: int) -> DataFrame:
+    found = trials.withColumn("place", F.monotonically_increasing_id())
+    order = Window.orderBy("place")
+    worse = sign * F.col(metric) > sign * F.lag(metric).over(order)
+    return found.withColumn("worse", F.coalesce(worse, F.lit(False))).agg(
+        F.count(F.lit(1)).alias("n_trials"), F.count_distinct("trial").alias("n_distinct"),
+        F.count_if("worse").alias("n_out_of_order"))
+
+
+@query
+def tuning_trials_pd_checks(spark, folder):
+    return _trial_checks(QUERIES["tuning_trials_pd"](spark, folder), "roc_auc", 1)
+
+
+@query
+def tuning_trials_lgd_checks(spark, folder):
+    return _trial_checks(QUERIES["tuning_trials_lgd"](spark, folder), "rmse", -1)
+
+
+def _reason_checks(reasons: DataFrame) -> DataFrame:
+    """Loans, ranks and the order of reasons by the size of their contribution."""
+    per_loan = reasons.groupBy("loan_id").agg(
+        F.array_sort(F.collect_list(F.struct("reason_rank", F.abs("shap_value").alias("size"),
+                                             "direction", "shap_value"))).alias("r"))
+    sizes = F.transform("r", lambda x: x["size"])
+    direction = F.exists("r", lambda x: (x["shap_value"] > 0) != x["direction"].startswith("inc"))
+    return per_loan.agg(
+        F.count(F.lit(1)).alias("n_loans"), F.sum(F.size("r")).alias("n_reasons"),
+        F.count_if(F.transform("r", lambda x: x["reason_rank"]) != F.transform(
+            F.sequence(F.lit(1), F.size("r")), lambda i: i)).alias("n_bad_ranks"),
+        F.count_if(sizes != F.reverse(F.array_sort(sizes))).alias("n_out_of_order"),
+        F.count_if(direction).alias("n_bad_directions"))
+
+
+@query
+def reason_codes_checks(spark, folder):
+    return _reason_checks(QUERIES["reason_codes"](spark, folder))
+
+
+@query
+def reason_codes_of_sample_checks(spark, folder):
+    return _reason_checks(QUERIES["reason_codes_of_sample"](spark, folder))
+
+
+@query
+def top_drivers_checks(spark, folder):
+    """Every resolved loan has one first reason; the report keeps the most frequent."""
+    first = QUERIES["reason_codes"](spark, folder).where("reason_rank = 1")
+    top = QUERIES["top_drivers"](spark, folder)
+    counts = first.groupBy("feature").agg(F.count(F.lit(1)).alias("own"))
+    return counts.join(top, "feature", "left").agg(
+        F.sum("own").alias("n_loans"), F.count_if(F.col("n") != F.col("own")).alias("n_wrong"),
+        (F.coalesce(F.max(F.when(F.col("n").isNull(), F.col("own"))), F.lit(0))
+         <= F.min("n")).alias("are_the_most_frequent"))
+
+
+@query
+def governance_period(spark, folder):
+    record = _model_risk(spark, folder).summary
+    return record.select(
+        F.col("oot_test_period.start").alias("start"), F.col("oot_test_period.end").alias("end"),
+        "population_stability.moderate_threshold", "population_stability.significant_threshold")
+
+
+@query
+def governance_psi_sizes(spark, folder):
+    return _model_risk(spark, folder).psi.select("metric", "vintage", "n")
+
+
+@query
+def governance_psi_of_inputs(spark, folder):
+    """The monitored inputs do not depend on the model."""
+    return _model_risk(spark, folder).psi.where("metric <> 'predicted_pd'").select(
+        "metric", "vintage", "n", "psi", "flag")
+
+
+@query
+def governance_reliability_sizes(spark, folder):
+    return _model_risk(spark, folder).reliability.agg(
+        F.sum("count").alias("n"),
+        F.round(F.sum(F.col("empirical_default_rate") * F.col("count")), 3).alias("n_default"))

@@ -55,15 +55,24 @@ def status_mix(loans: DataFrame, by: str) -> DataFrame:
     return counts.withColumn("pct", ratio(F.col("n") * 100.0, everyone))
 
 
-def status_matrix(loans: DataFrame, by: str, statuses: Sequence[str]) -> DataFrame:
+def status_matrix(loans: DataFrame, by: str, statuses: Sequence[str] | None = None) -> DataFrame:
     """The same as one row per ``by`` and one column per status, 0 where absent.
 
-    With the statuses listed, the pivot needs no extra pass to discover them.
+    Without a list, the columns are the statuses that occur, in text order, found by one
+    aggregation. With one, all others share the column ``other``. Shares are of all loans of the
+    row either way; loans without a status count as ``unknown``.
     """
-    wide = loans.groupBy(by).pivot("loan_status", list(statuses)).agg(F.count(F.lit(1)))
-    filled = wide.na.fill(0, list(statuses))
-    total = sum((F.col(f"`{s}`") for s in statuses), F.lit(0))
-    return filled.select(by, *(ratio(F.col(f"`{s}`") * 100.0, total).alias(s) for s in statuses))
+    status = F.coalesce("loan_status", F.lit("unknown"))
+    if statuses is None:
+        names = sorted(r[0] for r in loans.select(status).distinct().collect())
+    else:
+        names = [*statuses, "other"]
+        status = F.when(status.isin(list(statuses)), status).otherwise("other")
+    counts = loans.select(by, status.alias("status")).groupBy(by)
+    wide = counts.pivot("status", names).agg(F.count(F.lit(1)).cast("double"))
+    filled = wide.na.fill(0.0, names)
+    total = sum((F.col(f"`{s}`") for s in names), F.lit(0.0))
+    return filled.select(by, *(ratio(F.col(f"`{s}`") * 100.0, total).alias(s) for s in names))
 
 
 def exposure_trend(loans: DataFrame) -> DataFrame:

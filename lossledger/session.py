@@ -54,6 +54,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
+        if not context.master.startswith("local") and named.startswith("file:"):
+            raise RuntimeError("spark.checkpoint.dir names a folder of one machine")
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

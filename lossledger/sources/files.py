@@ -53,11 +53,23 @@ def pick_source(spark: SparkSession, folder: str, pattern: str) -> str:
     return min(found)
 
 
-def read_text_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def is_parquet(spark: SparkSession, path: str) -> bool:
+    """A Parquet file, or a folder that holds some."""
+    fs, target = _path(spark, path)
+    if not fs.getFileStatus(target).isDirectory():
+        return path.endswith(".parquet")
+    walk = fs.listFiles(target, True)
+    while walk.hasNext():
+        if walk.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with a header, every column text; records with a wrong column count are skipped.
 
-    Quoted line breaks need ``multiline``, which reads each file in one task: deliver large
-    extracts as many files, or pass ``multiline=False`` for extracts known to have none.
+    Files are split over tasks. Extracts with line breaks inside quotes need ``multiline``, which
+    reads each file in one task: deliver those as many files.
     Column pruning stays off, for a pruned parser cannot see that a record is malformed.
     """
     return (
@@ -68,9 +80,10 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = True) -> Dat
     )
 
 
-def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str) -> int:
+def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str,
+                   multiline: bool = False) -> int:
     """Convert once, since Parquet is splittable and pruned; returns the rows written."""
-    read_text_csv(spark, csv_path).write.mode("overwrite").parquet(parquet_path)
+    read_text_csv(spark, csv_path, multiline).write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path).count()
 
 

@@ -6,13 +6,42 @@ from lossledger.sources import files
 def test_csv_skips_malformed_rows_only(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
         'id,note,amount\n1,plain,5\n2,"two\nlines, ""quoted""",6\n3,short\n4,a,b,c\n5,,\n')
-    df = files.read_text_csv(spark, str(tmp_path / "a.csv"))
+    df = files.read_text_csv(spark, str(tmp_path / "a.csv"), multiline=True)
     assert dict(df.dtypes) == {"id": "string", "note": "string", "amount": "string"}
     assert df.count() == 3
     rows = {r["id"]: tuple(r)[1:] for r in df.collect()}
     assert rows == {"1": ("plain", "5"), "2": ('two\nlines, "quoted"', "6"), "5": (None, None)}
     assert sorted(r[0] for r in df.select("id").collect()) == ["1", "2", "5"]
-    assert files.csv_to_parquet(spark, str(tmp_path / "a.csv"), str(tmp_path / "p")) == 3
+    assert files.csv_to_parquet(spark, str(tmp_path / "a.csv"), str(tmp_path / "p"), True) == 3
+
+
+def test_large_csv_is_read_by_several_tasks(spark, tmp_path):
+    lines = "".join(f"{i},{'x' * 90}\n" for i in range(60_000))
+    (tmp_path / "a.csv").write_text("id,note\n" + lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        df = files.read_text_csv(spark, str(tmp_path / "a.csv"))
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_local_folder_is_refused_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from lossledger import session
+
+    def cluster(named):
+        context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context,
+                               conf=SimpleNamespace(get=lambda key, default: named))
+
+    with pytest.raises(RuntimeError):
+        session.shared_folder(cluster("file:/tmp/x"))
+    with pytest.raises(RuntimeError):
+        session.shared_folder(cluster(None))
+    assert session.shared_folder(cluster("hdfs://x/y/")) == "hdfs://x/y"
 
 
 def test_pick_source(spark, tmp_path):

@@ -70,7 +70,7 @@ def test_grade_mix(mart):
 
 
 def test_ungrouped_prior_is_the_second_last_vintage(mart):
-    row = measures.latest_migration(mart.loans).first()
+    row = measures.latest_migration(mart.loans, mart.vintages).first()
     assert row["prior_weighted_pd"] == pytest.approx(0.2)
     assert row["weighted_pd"] == pytest.approx((10 + 90 + 20 + 20 + 25) / 600)
 
@@ -138,7 +138,60 @@ def test_bucketed_tables_join_without_a_shuffle(spark, mart, tmp_path):
         spark.conf.set(threshold, before)
 
 
-def test_plans_prune_and_push_down(mart):
-    plan = reports.loss_by_grade(mart.loans, measures.in_slice(["A1"])) \
+def test_plans_prune_and_push_down(spark, mart, tmp_path):
+    star.write_star(mart, str(tmp_path))
+    tables = [spark.read.parquet(f"{tmp_path}/{name}") for name in
+              ["fact_loans", "dim_borrower", "dim_vintage", "dim_credit_grade"]]
+    loans = star.Star(*tables).loans
+    plan = reports.loss_by_grade(loans, measures.in_slice(["A1"]) & (F.col("ead") > 60)) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    scans = {line.split("ReadSchema: ")[1]: line for line in plan.splitlines()
+             if "ReadSchema: " in line}
+    fact = next(line for schema, line in scans.items() if "lgd" in schema)
+    assert "GreaterThan(ead,60.0)" in fact
+    for unread in ["installment", "int_rate", "loan_status", "default_flag", "borrower_key:x"]:
+        assert f"{unread}:" not in fact.split("ReadSchema: ")[1]
+    grades = next(line for schema, line in scans.items() if "sub_grade" in schema)
+    assert "EqualTo(sub_grade,A1)" in grades or "In(sub_grade, [A1])" in grades
+
+
+def test_status_matrix_shows_every_status(spark):
+    rows = [("A", s) for s in ["Current", "Late", "Default", "Fully Paid"]] + [("B", None)]
+    loans = spark.createDataFrame(rows, "grade string, loan_status string")
+    found = {r["grade"]: r.asDict() for r in reports.status_matrix(loans, "grade").collect()}
+    assert found["A"] == {"grade": "A", "Current": 25.0, "Late": 25.0, "Default": 25.0,
+                          "Fully Paid": 25.0, "unknown": 0.0}
+    assert found["B"]["unknown"] == 100.0
+    listed = {r["grade"]: r.asDict() for r in reports.status_matrix(
+        loans, "grade", ["Current", "Fully Paid"]).collect()}
+    assert listed["A"] == {"grade": "A", "Current": 25.0, "Fully Paid": 25.0, "other": 50.0}
+
+
+def test_latest_migration_takes_the_vintage_from_the_dimension(spark):
+    loans = spark.createDataFrame([(1, 0.5, 10.0), (2, 0.7, 10.0)],
+                                  "vintage_key int, pd double, ead double")
+    vintages = spark.createDataFrame([(1, "2020Q1"), (2, "2020Q2"), (3, "2020Q3")],
+                                     "vintage_key int, vintage string")
+    row = measures.latest_migration(loans, vintages).first()
+    assert row["prior_weighted_pd"] == 0.7
+    assert measures.latest_migration(loans, vintages.where("vintage_key < 3")).first()[1] == 0.5
+
+
+def test_grade_mix_of_a_slice_is_a_share_of_all_loans(mart):
+    rows = measures.grade_mix_shift(mart.loans, mart.vintages,
+                                    where=F.col("grade") == "B").collect()
+    found = {(r["vintage_key"], r["grade"]): r["grade_mix"] for r in rows}
+    assert found[1, "B"] == 0.5 and all(g == "B" for _, g in found)
+
+
+def test_sums_do_not_depend_on_order_and_rounding_is_plain(spark):
+    from lossledger.functions.numeric import exact_avg, exact_sum
+    from lossledger.plans.registry import rounded
+
+    assert rounded(spark.sql("select 0.004995D as x"), x=2).first()[0] == 0.0
+    values = [0.1] * 10 + [1e9, 0.2, -1e9]
+    totals = {spark.createDataFrame([(v,) for v in order], "x double").coalesce(1).agg(
+        exact_sum(F.col("x"))).first()[0] for order in (values, values[::-1], sorted(values))}
+    assert totals == {1.2}
+    assert spark.sql("select cast(null as double) as x").agg(exact_avg(F.col("x"))).first()[0] is None

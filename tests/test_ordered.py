@@ -198,3 +198,33 @@ def test_sample_is_exact_and_repeatable(spark):
     other = {r[0] for r in sampling.hash_sample(df, 777, seed=1).collect()}
     assert len(one) == 777 and one == two and one != other
     assert sampling.hash_sample(df, 9999).count() == 5000
+
+
+def test_sample_has_its_size_where_ids_repeat(spark):
+    df = spark.createDataFrame([(x, i) for i, x in enumerate("aaabc")], "id string, n int")
+    for n in range(1, 6):
+        one = sorted(r["n"] for r in sampling.hash_sample(df, n).collect())
+        assert len(one) == n
+        assert one == sorted(r["n"] for r in sampling.hash_sample(df.repartition(3), n).collect())
+
+
+def test_boundaries_do_not_depend_on_the_drivers_time_zone(spark, monkeypatch):
+    import time
+
+    df = spark.range(2000).selectExpr(
+        "string(id) as id", "timestamp'2016-10-01 00:00:00' + make_dt_interval(int(id % 90)) "
+        "as issue_date")
+    found = []
+    for zone in ["UTC", "America/New_York", "Asia/Tokyo"]:
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        try:
+            split = chronology.label_splits(df)
+            days = chronology.split_summary(split).selectExpr(
+                "split", "n", "date_format(start, 'yyyy-MM-dd')", "date_format(end, 'yyyy-MM-dd')")
+            found.append(sorted(map(tuple, days.collect())))
+        finally:
+            monkeypatch.delenv("TZ")
+            time.tzset()
+    assert found[0] == found[1] == found[2]
+    assert found[0][2][1] == 1280
