@@ -10,8 +10,8 @@ matches an item of n words if their edit distance over words is at most (1 - sim
    length. This bound loses no match.
 3. The CGK random walk reads a window: at each of 3n steps it writes the current word, and a random
    bit that depends on step and word tells whether to move on. Few edits change few of the 3n
-   places. Each repetition has its own walk and samples ``PLACES`` places as the bucket key; the
-   number of repetitions follows from the target recall at the largest distance.
+   places. Each repetition samples ``PLACES`` places of one of ``WALKS`` walks as the bucket key;
+   the number of repetitions follows from the target recall at the largest distance.
 4. Windows and items that share a bucket are verified: exact edit distance of the item to the best
    part of the document around the window.
 """
@@ -32,6 +32,7 @@ SIMILARITY = 0.8
 # Items of fewer words are too short to tell a match from chance.
 LEAST_WORDS = 8
 PLACES = 2
+WALKS = 5
 RECALL = 0.99
 # Share of places on which window and item agree at the largest distance, as measured in tests.
 AGREEMENT = 0.4
@@ -65,37 +66,39 @@ def words_of(data: np.ndarray, offsets: np.ndarray):
 
 
 class Walk:
-    """CGK walks of windows of ``n`` words, and the keys of their sampled places."""
+    """CGK walks of windows of ``n`` words, and the keys of their sampled places.
+
+    ``WALKS`` walks share the repetitions: each walk is sampled several times.
+    """
 
     def __init__(self, n: int, count: int, places: int = PLACES):
         rng = np.random.default_rng(n)
         self.n, self.count = n, count
-        self.sampled = np.sort(rng.integers(0, 3 * n, (count, places)), axis=1)
-        self.seeds = rng.integers(0, 2 ** 64, (count, 3 * n), dtype=np.uint64)
-
-    def embed(self, windows: np.ndarray, repetition: int) -> np.ndarray:
-        """The 3n words that the walk writes; ``windows`` has one more column, the padding."""
-        rows = np.arange(len(windows))
-        at = np.zeros(len(windows), np.int64)
-        out = np.empty((len(windows), 3 * self.n), np.uint64)
+        self.walks = min(WALKS, count)
+        self.sampled = rng.integers(0, 3 * n, (count, places))
+        self.seeds = rng.integers(0, 2 ** 64, (self.walks, 3 * n), dtype=np.uint64)
+
+    def embed(self, windows: np.ndarray) -> np.ndarray:
+        """The 3n words that each walk writes; ``windows`` has one more column, the padding."""
+        rows = np.arange(len(windows))[:, None]
+        at = np.zeros((len(windows), self.walks), np.int64)
+        out = np.empty((3 * self.n, len(windows), self.walks), np.uint64)
         for step in range(3 * self.n):
-            word = windows[rows, at]
-            out[:, step] = word
-            move = a.mix(word ^ self.seeds[repetition, step]) >> np.uint64(63)
-            at = np.minimum(at + move.astype(np.int64), self.n)
+            word = out[step] = windows[rows, at]
+            at += (a.mix(word ^ self.seeds[:, step]) >> np.uint64(63)).astype(np.int64)
+            np.minimum(at, self.n, out=at)
         return out
 
-    def keys(self, windows: np.ndarray, repetition: int) -> np.ndarray:
-        rows = np.arange(len(windows))
-        at = np.zeros(len(windows), np.int64)
-        places = self.sampled[repetition]
-        key = np.full(len(windows), np.uint64(repetition + 1))
-        for step in range(places[-1] + 1):
-            word = windows[rows, at]
-            for _ in range(int((places == step).sum())):
-                key = a.mix(key * np.uint64(0x9E3779B97F4A7C15) + word)
-            move = a.mix(word ^ self.seeds[repetition, step]) >> np.uint64(63)
-            at = np.minimum(at + move.astype(np.int64), self.n)
+    def keys(self, windows: np.ndarray) -> np.ndarray:
+        """One bucket key per window and repetition."""
+        written = self.embed(windows)
+        key = np.empty((len(windows), self.count), np.uint64)
+        for r, places in enumerate(self.sampled):
+            own = np.full(len(windows), np.uint64(r + 1))
+            for place in places:
+                own = a.mix(own * np.uint64(0x9E3779B97F4A7C15)
+                            + written[place, :, r % self.walks])
+            key[:, r] = own
         return key
 
 
@@ -106,6 +109,12 @@ def padded(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> n
     return np.where(inside, words[np.minimum(at, len(words) - 1)], _PAD)
 
 
+def _densest(pairs: int, least: int) -> int:
+    """Of ``pairs`` in a row with ``least`` hits, so many hits at least lie in some ``_PROBE``."""
+    blocks, rest = divmod(pairs, _PROBE)
+    return next(c for c in range(max(least, 0) + 1) if blocks * c + min(rest, c) >= least)
+
+
 class Items:
     """A portion of the items, ready to be looked up."""
 
@@ -126,9 +135,7 @@ class Items:
         self.count = repetitions(recall)
         self.walks = {n: Walk(n, self.count) for n in self.lengths}
         self.least_pairs = {n: n - 1 - 2 * int((1 - similarity) * n + 1e-9) for n in self.lengths}
-        # A window that keeps enough pairs has a stretch of ``_PROBE`` pairs with so many of them.
-        self.probe = min((-(-m // -(-(n - 1) // _PROBE)) for n, m in self.least_pairs.items()),
-                         default=1)
+        self.probe = min((_densest(n - 1, m) for n, m in self.least_pairs.items()), default=1)
         self._pairs()
         self._buckets()
 
@@ -137,6 +144,7 @@ class Items:
         self.bit = {n: np.uint64(1 << (i * _CLASSES // len(self.lengths)))
                     for i, n in enumerate(self.lengths)}
         pairs = [a.gram_hashes(w, 2) for w in self.words]
+        self.item_pairs = [np.unique(p) for p in pairs]
         bits = [np.full(len(p), self.bit[len(p) + 1]) for p in pairs]
         pairs = np.concatenate(pairs) if pairs else np.zeros(0, np.uint64)
         bits = np.concatenate(bits) if bits else np.zeros(0, np.uint64)
@@ -156,13 +164,12 @@ class Items:
             flat = np.concatenate([self.words[i] for i in own])
             starts = np.arange(len(own)) * n
             windows = padded(flat, starts, starts + n, n)
-            keys = np.concatenate([self.walks[n].keys(windows, r) for r in range(self.count)])
+            keys = self.walks[n].keys(windows).ravel()
             order = np.argsort(keys, kind="stable")
-            self.buckets[n] = keys[order], np.tile(own, self.count)[order]
+            self.buckets[n] = keys[order], np.repeat(own, self.count)[order]
 
-    def pair_bits(self, words: np.ndarray) -> np.ndarray:
+    def pair_bits(self, pairs: np.ndarray) -> np.ndarray:
         """For each word pair the lengths of the items that have it."""
-        pairs = a.gram_hashes(words, 2)
         out = np.zeros(len(pairs), np.uint64)
         at = np.flatnonzero(self.maybe[(pairs & self.mask).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.pairs, pairs[at]), len(self.pairs) - 1)
@@ -174,58 +181,76 @@ class Items:
         """(text, item, first word, words, edits) of every match in several texts."""
         if len(words) < 2 or not self.words:
             return
-        bits = self.pair_bits(words)
+        pairs = a.gram_hashes(words, 2)
+        bits = self.pair_bits(pairs)
         inner = bounds[1:-1]
         inner = inner[(inner > 0) & (inner <= len(bits))]
         bits[inner - 1] = 0  # no pair goes from one text into the next
+        hits: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        for item, first, last in self._candidates(bounds, words, pairs, bits):
+            text = int(np.searchsorted(bounds, first, "right")) - 1
+            hits.setdefault((text, item), []).extend(
+                (edits, first - int(bounds[text]) + start, size) for start, size, edits in
+                every_part(self.words[item], words[first:last], self.edits[item]))
+        for (text, item), own in sorted(hits.items()):
+            for edits, start, size in apart(own):
+                yield text, item, start, size, edits
+
+    def _candidates(self, bounds, words, pairs, bits):
+        """(item, first word, one past the last) of the parts that share a bucket with an item;
+        parts of one item that are near one another are one."""
         some = np.append(0, np.cumsum(bits != 0))
         ends = np.minimum(np.arange(len(bits)) + _PROBE, len(bits))
         near = np.flatnonzero(some[ends] - some[:-1] >= self.probe)
         if not len(near):
             return
-        # Only texts with such a stretch are looked at further.
-        for t in np.unique(np.searchsorted(bounds, near, "right") - 1):
-            x, y = bounds[t], bounds[t + 1]
-            hits: dict[int, list[tuple[int, int, int]]] = {}
-            for item, first, last in self._candidates(words[x:y], bits[x:max(x, y - 1)]):
-                hits.setdefault(item, []).extend(
-                    (edits, int(first + start), size) for start, size, edits in every_part(
-                        self.words[item], words[x + first:x + last], self.edits[item]))
-            for item, own in hits.items():
-                for edits, start, size in apart(own):
-                    yield int(t), item, start, size, edits
-
-    def _candidates(self, words: np.ndarray, bits: np.ndarray):
-        """(item, first word, last word) of the parts of a text that share a bucket with an item;
-        parts of one item that overlap are one."""
+        # Windows that hold such a stretch begin at most a window before it.
+        wide = self.lengths[-1]
+        depth = np.zeros(len(words) + 1, np.int64)
+        np.add.at(depth, np.maximum(near - wide, 0), 1)
+        np.add.at(depth, np.minimum(near + wide + _PROBE, len(words)), -1)
+        at = np.flatnonzero(np.cumsum(depth)[:-1] > 0)
+        own_bits = bits[np.minimum(at, len(bits) - 1)]
+        own_bits[at >= len(bits)] = 0
+        after = np.searchsorted(bounds, at, "right")
+        begin, stop = bounds[after - 1], bounds[after]
         for n in self.lengths:
-            total = np.append(0, np.cumsum((bits & self.bit[n]) != 0))
-            starts = np.arange(len(words))
-            until = np.minimum(starts + n - 1, len(bits))
-            starts = starts[total[until] - total[np.minimum(starts, len(bits))]
-                            >= self.least_pairs[n]]
-            if not len(starts):
+            total = np.append(0, np.cumsum((own_bits & self.bit[n]) != 0))
+            until = np.minimum(np.arange(len(at)) + n - 1, len(at))
+            chosen = np.flatnonzero(total[until] - total[:-1] >= self.least_pairs[n])
+            for i in range(0, len(chosen), 2048):
+                part = chosen[i:i + 2048]
+                yield from self._length(n, at[part], begin[part], stop[part], words, pairs)
+
+    def _length(self, n, starts, begins, stops, words, pairs):
+        """Candidates among windows of one length."""
+        keys, owner = self.buckets[n]
+        own = self.walks[n].keys(padded(words, starts, stops, n))
+        low = np.searchsorted(keys, own)
+        high = np.searchsorted(keys, own, "right")
+        row, turn = np.nonzero(high > low)
+        low, high = low[row, turn], high[row, turn]
+        found = np.divmod(np.unique(owner[a.ranges(low, high - low)] * len(starts)
+                                    + np.repeat(row, high - low)), len(starts))
+        # Of the pairs of its own words an item keeps enough, or the bucket was chance.
+        place = starts[:, None] + np.arange(n - 1)[None, :]
+        inside = place < (stops - 1)[:, None]
+        window_pairs = pairs[np.minimum(place, len(pairs) - 1)]
+        for item in np.unique(found[0]):
+            rows = found[1][found[0] == item]
+            kept = (np.isin(window_pairs[rows], self.item_pairs[item]) & inside[rows]).sum(axis=1)
+            rows = rows[kept >= self.least_pairs[n]]
+            if not len(rows):
                 continue
-            windows = padded(words, starts, np.full(len(starts), len(words)), n)
-            keys, owner = self.buckets[n]
-            found = set()
-            for r in range(self.count):
-                own = self.walks[n].keys(windows, r)
-                low, high = np.searchsorted(keys, own), np.searchsorted(keys, own, "right")
-                hit = np.flatnonzero(high > low)
-                for i in hit:
-                    found.update((int(owner[j]), int(starts[i])) for j in range(low[i], high[i]))
-            last_item, near, first, last = -1, 0, 0, 0
-            for item, start in sorted(found):
-                slack = self.edits[item]
-                end = min(len(words), start + n + slack)
-                if item != last_item or start > near + 2 * slack:
-                    if last_item >= 0:
-                        yield last_item, first, last
-                    last_item, first = item, max(0, start - slack)
-                near, last = start, end
-            if last_item >= 0:
-                yield last_item, first, last
+            slack = self.edits[item]
+            place_of = starts[rows]
+            new = np.append(True, (np.diff(place_of) > n)
+                            | (stops[rows][1:] != stops[rows][:-1]))
+            heads = np.flatnonzero(new)
+            tails = np.append(heads[1:], len(rows)) - 1
+            for x, y in zip(heads, tails):
+                yield (int(item), max(int(begins[rows[x]]), int(place_of[x]) - slack),
+                       min(int(stops[rows[y]]), int(place_of[y]) + n + slack))
 
 
 def apart(hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -254,6 +279,12 @@ def _distances(item: np.ndarray, part: np.ndarray, free: bool) -> np.ndarray:
 def best_part(item: np.ndarray, part: np.ndarray, edits: int) -> tuple[int, int, int] | None:
     """(first word, words, edits) of the part's stretch nearest to the item, if near enough; the
     first of equal ones."""
+    # A stretch that is the item itself needs no table.
+    if len(part) >= len(item):
+        windows = np.lib.stride_tricks.sliding_window_view(part, len(item))
+        same = np.flatnonzero((windows == item).all(axis=1))
+        if len(same):
+            return int(same[0]), len(item), 0
     ends = _distances(item, part, True)
     end = int(ends.argmin())
     if ends[end] > edits:
@@ -266,9 +297,11 @@ def best_part(item: np.ndarray, part: np.ndarray, edits: int) -> tuple[int, int,
 def every_part(item: np.ndarray, part: np.ndarray, edits: int):
     """The matches of the item that do not overlap, the nearest first."""
     left = [(0, len(part))]
+    own = np.isin(a.gram_hashes(part, 2), a.gram_hashes(item, 2))
     while left:
         x, y = left.pop()
-        if y - x < len(item) - edits:
+        # Each edit breaks two pairs at most.
+        if y - x < len(item) - edits or own[x:y - 1].sum() < len(item) - 1 - 2 * edits:
             continue
         hit = best_part(item, part[x:y], edits)
         if hit:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -206,3 +207,9 @@ def op10_chat(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     nodes = chat.turns_as_tree(turns.union(hard))
     return chat.digests(stage(chat.formatted(nodes), "formatted"))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, folder):
+    """The pieces that all stages of the corpus pipeline leave."""
+    return corpus_pipeline.run(spark, folder)

@@ -75,8 +75,8 @@ def test_agreement_of_walks_at_the_largest_distance():
         other = (edited(rng, item, int(0.2 * n)) + ["z"] * n)[:n]
         hashes = [d.words_of(np.frombuffer(" ".join(x).encode(), np.uint8),
                              np.array([0, len(" ".join(x).encode())]))[1] for x in (item, other)]
-        walk = d.Walk(n, 1)
-        one, two = (walk.embed(d.padded(h, np.array([0]), np.array([n]), n), 0) for h in hashes)
+        walk = d.Walk(n, 5)
+        one, two = (walk.embed(d.padded(h, np.array([0]), np.array([n]), n)) for h in hashes)
         shares.append((one == two).mean())
     assert np.mean(shares) > d.AGREEMENT
 
