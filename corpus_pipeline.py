@@ -13,31 +13,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossledger.llm import decontaminate, minhash, packing, substrings, toxicity
-from lossledger.llm.frames import prepared, unique_rows
+from lossledger.llm.frames import ROW, prepared, unique_rows
 from lossledger.session import stage
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(doc, place): each row as a whole, and a number of its own in the order of the ids."""
+    rows, _ = unique_rows(docs.select(F.struct("*").alias("doc"), "doc_id",
+                                      F.xxhash64("text").alias("tie")), "doc_id", "tie")
+    return rows.select("doc", F.col(ROW).alias("place"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject. It is fitted on the labelled documents of
     the input that are not held out."""
     prepared(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.scored(docs.withColumn("_kept", F.lit(True)), model)
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.scored(docs.select(F.struct("*").alias("doc"), "text"), model)
+    return scored.where(F.col("score") < toxicity.THRESHOLD).select("doc.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, by sets of five words: that with the smallest
     id, and one row of it if its id comes again."""
     prepared(spark)
-    rows, again = unique_rows(docs, "doc_id", "text")
-    if again:
-        rows = rows.withColumnRenamed("_row", "_place")
-    else:
-        rows = rows.withColumn("_place", F.col("_row")).drop("_row")
-    groups = minhash.near_duplicates(rows.select(F.col("_place").alias("doc_id"), "text"))
-    gone = stage(groups.where(~F.col("kept")).select(F.col("doc_id").alias("_place")), "copies")
-    return rows.join(gone, "_place", "left_anti").select(*docs.columns)
+    rows = _numbered(docs)
+    groups = minhash.near_duplicates(rows.select("place", F.col("doc.text").alias("text")),
+                                     key="place")
+    gone = stage(groups.where(~F.col("kept")).select("place"), "copies")
+    return rows.join(gone, "place", "left_anti").select("doc.*")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,18 +50,20 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     prepared(spark)
     cut = substrings.cut_repeats(docs)
     lost = F.col("n_removed") > 0
-    return cut.withColumn("text", F.when(lost, F.col("kept_text")).otherwise(F.col("text"))
-                          ).withColumn("n_chars", F.when(lost, F.length("text"))
-                                       .otherwise(F.col("n_chars"))).select(*docs.columns)
+    new = {"text": F.when(lost, F.col("kept_text")).otherwise(F.col("text")),
+           "n_chars": F.when(lost, F.length("kept_text")).otherwise(F.col("n_chars"))}
+    return cut.select(*(new.get(c, F.col(c)).cast(docs.schema[c].dataType).alias(c)
+                        for c in docs.columns))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item."""
     prepared(spark)
-    rows, _ = unique_rows(docs, "doc_id", "text")
-    hits = decontaminate.leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="_row")
-    gone = stage(hits.select("_row").distinct(), "leaks")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    rows = _numbered(docs)
+    hits = decontaminate.leaks(rows.select("place", F.col("doc.text").alias("text")),
+                               spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="place")
+    gone = stage(hits.select("place").distinct(), "leaks")
+    return rows.join(gone, "place", "left_anti").select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
