@@ -62,8 +62,11 @@ def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     if not 1 <= anchor <= length:
         raise ValueError("an anchor is at least one word and at most a window")
-    rows, _ = unique_rows(docs, key, text)
-    texts = rows.select(F.col(ROW).alias("doc"), F.col(text).alias("text"))
+    results = ["n_words", "n_removed", "kept_sha256", "kept_text"]
+    kept = [c for c in docs.columns if c not in results or c in (key, text)]
+    rows, _ = unique_rows(docs.select(F.struct(*kept).alias("row"), F.col(key).alias("key"),
+                                      F.col(text).alias("text")), "key", "text")
+    texts = rows.select(F.col(ROW).alias("doc"), "text")
     n = partitions(docs.sparkSession)
 
     seeds = texts.mapInArrow(lambda it: _seed_tasks(it, length, anchor, n), _FOUND_SQL)
@@ -74,15 +77,11 @@ def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     extended = stage(_meet(windows, n, _window_merge), "windows")
     repeats = _by_doc(found.where(F.col("kind") == COVERED).union(extended))
 
-    results = ["n_words", "n_removed", "kept_sha256", "kept_text"]
-    rest = [c for c in docs.columns if c not in (*results, text)]
-    kept = [c for c in (*rest, text) if c in docs.columns]
-    whole = rows.select(F.struct(*kept).alias("row"), F.col(text).alias("text"),
-                        F.col(ROW).alias("doc")).join(repeats, "doc", "left")
+    whole = rows.select("row", F.col(ROW).alias("doc")).join(repeats, "doc", "left")
     row_type = whole.schema["row"].dataType
     out = T.StructType([T.StructField("row", row_type)] + [
         T.StructField(c, T.StringType() if "kept" in c else T.LongType()) for c in results])
-    return whole.select("row", "text", "spans").mapInArrow(
+    return whole.select("row", F.col("row")[text].alias("text"), "spans").mapInArrow(
         lambda it: _cut(it, length), out).select(
             *(F.col("row")[c].alias(c) for c in kept), *results)
 
