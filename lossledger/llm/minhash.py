@@ -9,10 +9,11 @@
    member. Proposals of all buckets meet once, and lengths that cannot reach the threshold go.
 4. A proposal holds if the full sets reach the threshold. Sets travel once per proposal; the set of
    a star's centre is sent once per ``FAN`` members, so a hot centre divides over tasks.
-5. A star can miss a link between two of its outer members. Buckets whose members lie in more than
-   one component therefore get further centres from their smaller components, in rounds of at most
-   ``CENTRES`` per bucket, until every pair in different components has been compared or joined.
-   Pairs inside one component need no comparison: they can change no component.
+5. A star can miss a link between two of its outer members. In every bucket whose members lie in
+   more than one component, the members outside its largest component are compared with all
+   others: block by block inside tasks, so that no pair becomes a row and a bucket that holds a
+   third of all classes divides over tasks. Two members that share several buckets are compared in
+   the first only; members of one component, or of sizes too far apart, are not.
 
 At 25 bands of 5 a pair at the threshold of 0.8 shares a bucket with probability 0.99995.
 """
@@ -23,7 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossledger.llm import arrays as a
@@ -37,8 +38,8 @@ BIN_BITS = 7
 BANDS, BAND = 25, 5
 # Members that share one copy of their centre's set.
 FAN = 64
-# Further centres of a bucket in one round.
-CENTRES = 64
+# Members of a bucket that are compared with one another in one step: odd ones, and all.
+ODD, BLOCK = 128, 512
 _PROBES = 64
 
 _SKETCH_SQL = "row long, n_shingles long, finger binary, bands array<long>"
@@ -64,12 +65,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
         "classes")
     buckets = stage(_buckets(classes), "buckets")
     texts = rows.select(F.col(ROW).alias("class"), F.col(text).alias("text"))
+    sets = stage(texts.join(buckets.select("class").distinct(), "class").mapInArrow(
+        lambda it: _sets(it, words), "class long, shingles binary"), "sets")
 
-    centre = buckets.groupBy("band").agg(F.min(F.struct("class", "n")).alias("c"))
-    proposals = _compatible(buckets.join(centre, "band"), percent)
-    links = stage(_confirmed(proposals, texts, words, percent), "confirmed")
-    found = _rest(buckets, centre.select("band", F.col("c.class").alias("class")), links,
-                  connected(links), texts, words, percent)
+    links = stage(_stars(buckets, sets, percent), "stars")
+    found = connected(links)
+    more = stage(_rest(buckets, found, classes, sets, percent), "links")
+    if not more.isEmpty():
+        found = connected(links.union(more))
 
     member = sketched.join(classes.select("finger", "class"), "finger", "left").select(
         "row", "n_shingles", F.coalesce("class", "row").alias("class"))
@@ -81,77 +84,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return out.select(F.col("row").alias(key), "n_shingles", "component_id", "kept")
 
 
-# -- candidates ------------------------------------------------------------------------------
+# -- stars -----------------------------------------------------------------------------------
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(band, class, n) of buckets with more than one class."""
+    """(band, class, n, centre) of buckets with more than one class: the centre is its smallest
+    class, with its size."""
     rows = classes.select("class", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-    many = rows.groupBy("band").agg(F.min("class").alias("x"), F.max("class").alias("y")).where(
-        "x <> y").select("band")
-    return rows.join(many, "band")
-
+    many = rows.groupBy("band").agg(F.min(F.struct("class", "n")).alias("centre"),
+                                    F.max("class").alias("last")).where("centre.class <> last")
+    return rows.join(many.drop("last"), "band")
 
-def _compatible(pairs: DataFrame, percent: int) -> DataFrame:
-    """(centre, class) once each, if their sizes allow the threshold."""
-    small, large = F.least("n", "c.n"), F.greatest("n", "c.n")
-    return pairs.where((F.col("class") != F.col("c.class")) & (small * 100 >= large * percent)
-                       ).select(F.col("c.class").alias("centre"), "class").distinct()
 
+def _fits(n: Column, m: Column, percent: int) -> Column:
+    """Sets of these sizes can reach the threshold."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
-def _rest(buckets, first, links, found, texts, words, percent) -> DataFrame:
-    """Components after the pairs that stars have left out were compared as well.
 
-    In each bucket that spans components, the members outside its largest component become centres
-    in turn, ``CENTRES`` a round, against members of other components. ``first`` has the centres
-    so far.
-    """
-    used = first
-    while True:
-        placed = buckets.join(found, F.col("class") == F.col("node"), "left").withColumn(
-            "component", F.coalesce("component", "class")).drop("node")
-        sizes = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
-        spans = sizes.groupBy("band").agg(
-            F.max(F.struct("size", "component")).alias("largest"),
-            F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members")).where(
-                "parts > 1 and members > 2").select(
-                    "band", F.col("largest.component").alias("main"))
-        open_members = stage(placed.join(spans, "band"), "spans")
-        turn = Window.partitionBy("band").orderBy("class")
-        centres = stage(
-            open_members.where("component <> main").join(used, ["band", "class"], "left_anti")
-            .withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= CENTRES)
-            .select("band", "class", F.struct("class", "n", "component").alias("c")), "centres")
-        if centres.isEmpty():
-            return found
-        proposals = _compatible(
-            open_members.join(centres.select("band", "c"), "band")
-            .where(F.col("component") != F.col("c.component")), percent)
-        more = stage(_confirmed(proposals, texts, words, percent), "confirmed")
-        used = used.union(centres.select("band", "class"))
-        if not more.isEmpty():
-            links = links.union(more)
-            found = connected(links)
-
-
-# -- confirmation ----------------------------------------------------------------------------
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b) of the proposed pairs whose full sets reach the threshold."""
-    pairs = stage(pairs, "proposals")
-    wanted = pairs.select(F.col("centre").alias("class")).union(pairs.select("class")).distinct()
-    sets = stage(texts.join(wanted, "class").mapInArrow(
-        lambda it: _sets(it, words), "class long, shingles binary"), "sets")
-    seat: Column = F.pmod(F.xxhash64("class"), F.greatest(
-        F.lit(1), F.ceil(F.col("members") / FAN)).cast("long"))
-    sizes = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("members"))
+def _stars(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the centres and members whose full sets reach the threshold."""
+    pairs = stage(buckets.where((F.col("class") != F.col("centre.class"))
+                                & _fits(F.col("n"), F.col("centre.n"), percent))
+                  .select(F.col("centre.class").alias("centre"), "class").distinct(), "proposals")
+    sizes = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / FAN).alias("seats"))
+    seat = F.pmod(F.xxhash64("class"), F.col("seats"))
     members = pairs.join(sizes, "centre").withColumn("seat", seat).join(sets, "class").select(
         "centre", "seat", "class", "shingles")
-    heads = sizes.select(F.col("centre"), F.explode(F.sequence(
-        F.lit(0).cast("long"), F.greatest(F.lit(1), F.ceil(F.col("members") / FAN)).cast("long")
-        - 1)).alias("seat")).join(sets, F.col("centre") == F.col("class")).select(
-            "centre", "seat", F.lit(None).cast("long").alias("class"), "shingles")
+    heads = sizes.select("centre", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("seats") - 1)).alias("seat")).join(
+            sets, F.col("centre") == F.col("class")).select(
+                "centre", "seat", F.lit(None).cast("long").alias("class"), "shingles")
     dealt = heads.union(members).repartition("centre", "seat").sortWithinPartitions(
         "centre", "seat", F.col("class").asc_nulls_first())
     return dealt.mapInArrow(lambda it: _compare(it, percent), "a long, b long")
@@ -178,6 +140,90 @@ def _compare(batches, percent: int):
             {"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
+# -- what stars leave out --------------------------------------------------------------------
+
+
+def _rest(buckets: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame,
+          percent: int) -> DataFrame:
+    """(a, b): links between members of a bucket that lie in different components."""
+    placed = buckets.drop("centre").join(found, F.col("class") == F.col("node"), "left").select(
+        "band", "class", "n", F.coalesce("component", "class").alias("component"))
+    spans = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size")).groupBy(
+        "band").agg(F.max(F.struct("size", "component")).alias("main"),
+                    F.sum("size").alias("members")).where(
+                        # Of two members both are known: one is the centre.
+                        "members > main.size and members > 2").select(
+                            "band", F.col("main.component").alias("main"),
+                            F.ceil((F.col("members") - F.col("main.size")) / ODD).alias("odds"),
+                            F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    odd = F.col("component") != F.col("main")
+    numbered = placed.join(spans, "band").withColumns({
+        "odd": odd, "i": F.pmod(F.xxhash64("class", F.lit(1)), F.col("odds")),
+        "j": F.pmod(F.xxhash64("class"), F.col("blocks"))})
+    # Side 0: odd members, once per block. Side 1: all members, once per block of odd ones.
+    numbered = numbered.withColumn("at", F.explode(F.expr("""concat(
+        if(odd, transform(sequence(0L, blocks - 1), y -> struct(i AS i, y AS j, 0 AS side)),
+           cast(array() AS array<struct<i:bigint,j:bigint,side:int>>)),
+        transform(sequence(0L, odds - 1), x -> struct(x AS i, j AS j, 1 AS side)))""")))
+    wanted = numbered.select("band", "at.i", "at.j", "at.side", "class", "component", "odd")
+    full = sets.join(classes.select("class", "bands"), "class")
+    key = ["band", "i", "j"]
+    dealt = wanted.join(full, "class").repartition(*key).sortWithinPartitions(
+        *key, "side", "class")
+    return dealt.mapInArrow(lambda it: _compare_blocks(it, percent), "a long, b long")
+
+
+def _compare_blocks(batches, percent: int):
+    """Compares the two sides of each block pair; its rows follow on one another."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(k).to_numpy() for k in ("band", "i", "j")]
+        head = a.changes(*keys)
+        if held:
+            head[0] = any(k[0] != held[-1].column(n)[-1].as_py()
+                          for k, n in zip(keys, ("band", "i", "j")))
+        cuts = [*np.flatnonzero(head), batch.num_rows]
+        if cuts[0]:
+            held.append(batch.slice(0, cuts[0]))
+        for first, last in zip(cuts, cuts[1:]):
+            if held:
+                yield _block(pa.Table.from_batches(held), percent)
+            held = [batch.slice(first, last - first)]
+    if held:
+        yield _block(pa.Table.from_batches(held), percent)
+
+
+def _block(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    side, classes, component = (rows[c].to_numpy() for c in ("side", "class", "component"))
+    odd = rows["odd"].to_numpy()
+    band = rows["band"][0].as_py()
+    bands = np.array(rows["bands"].to_pylist()).reshape(len(side), -1)
+    before = np.arange(bands.shape[1]) < (bands == band).argmax(axis=1)[:, None]
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"].combine_chunks()]
+    size = np.array([len(x) for x in sets])
+    right = np.flatnonzero(side == 1)
+    found: list[tuple[int, int]] = []
+    for x in np.flatnonzero(side == 0):
+        ok = (component[right] != component[x]) & ~(odd[right] & (classes[right] <= classes[x]))
+        ok &= 100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x])
+        # Pairs that share an earlier bucket as well are compared there.
+        ok &= ~((bands[right] == bands[x]) & before[x]).any(axis=1)
+        others = right[ok]
+        if not len(others):
+            continue
+        flat = np.concatenate([sets[y] for y in others])
+        at = np.minimum(np.searchsorted(sets[x], flat), size[x] - 1)
+        starts = np.cumsum(size[others]) - size[others]
+        common = np.add.reduceat((sets[x][at] == flat).astype(np.int64), starts)
+        linked = 100 * common >= percent * (size[x] + size[others] - common)
+        found += [(classes[x], classes[y]) for y in others[linked]]
+    left, right = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_pydict(
+        {"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+
 # -- sets and sketches -----------------------------------------------------------------------
 
 
