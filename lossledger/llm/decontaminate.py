@@ -265,13 +265,19 @@ def apart(hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
 def _distances(item: np.ndarray, part: np.ndarray, free: bool) -> np.ndarray:
     """Edit distance of the item to the part up to each place; ``free``: from any place on."""
     step = np.arange(len(item) + 1)
-    column = step.copy()
+    differ = (part[:, None] != item[None, :]).astype(np.int64)
+    column, new = step.copy(), step.copy()
     out = np.empty(len(part) + 1, np.int64)
     out[0] = column[-1]
-    for j, word in enumerate(part):
-        best = np.minimum(column[:-1] + (item != word), column[1:] + 1)
-        new = np.append(0 if free else j + 1, best)
-        column = np.minimum.accumulate(new - step) + step
+    for j in range(len(part)):
+        np.add(column[:-1], differ[j], out=new[1:])
+        new[0] = 0 if free else j + 1
+        column += 1
+        np.minimum(new[1:], column[1:], out=new[1:])
+        new -= step
+        np.minimum.accumulate(new, out=new)
+        new += step
+        column, new = new, column
         out[j + 1] = column[-1]
     return out
 
