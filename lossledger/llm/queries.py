@@ -73,8 +73,8 @@ reach as (
 with recursive v as (
     select vec_id, label, embedding::double[] as e from embeddings
     where label is not null and embedding is not null
-        and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
-        and len(list_filter(embedding, x -> x <> 0)) > 0),
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links as materialized (
     select p.vec_id as a, q.vec_id as b from v p join v q
     on p.label = q.label and p.vec_id <> q.vec_id and len(p.e) = len(q.e)
