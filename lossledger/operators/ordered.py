@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 from lossledger.session import stage
 
 ROWS_PER_BLOCK = 500_000
-MAX_BLOCKS = 8_192
 
 
 def block_edges(distinct: DataFrame, order: Column, rows: int, rows_per_block: int) -> list:
     """Values that cut ``rows`` distinct rows into blocks of about ``rows_per_block``."""
-    blocks = min(-(-rows // rows_per_block), MAX_BLOCKS)
+    blocks = -(-rows // rows_per_block)
     if blocks < 2:
         return []
     shares = [i / blocks for i in range(1, blocks)]

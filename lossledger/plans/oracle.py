@@ -690,4 +690,14 @@ def texts() -> dict[str, str]:
         "where metric <> 'predicted_pd'")
     add("governance_reliability_sizes", SPLIT, """select cast(count(*) as bigint) as n,
         cast(sum(default_flag) as double) as n_default from split_loans where split = 'oot'""")
+    q["csv_ingest_values"] = q["clean_loans"]
+    q["discrimination_by_grade_in_blocks"] = q["discrimination_by_grade"]
+    q["score_quantiles_in_blocks"] = q["score_quantiles"]
+    add("grade_summary_of_written_marts", STAR, f"""select grade, cast(count(*) as bigint) as n,
+        cast(count(borrower_key) as bigint) as n_borrowers, {_EAD} from loans group by grade""")
+    add("grade_report_files", STAR, f"""select grade, {headline},
+        (select count(distinct grade) from loans) as n_grades from loans group by grade""")
+    tenth = SCENARIO.replace("ccf * 0::double", "ccf * (loan_amnt * 0.1::double)")
+    add("scenario_fact_with_undrawn", tenth,
+        f"select scenario, sort_order, {totals} from scenario_loans group by all")
     return q

@@ -96,6 +96,16 @@ def csv_ingest(spark, folder):
     return back.agg(F.count(F.lit(1)).alias("n_rows"), *(F.count(x).alias(x) for x in c.RAW))
 
 
+@query
+def csv_ingest_values(spark, folder):
+    """Raw loans written as CSV text, converted to Parquet and cleaned: every value."""
+    path = staging_path(spark, "csv")
+    raw_extract(spark, folder).write.option("header", True).option("escape", '"').csv(path)
+    files.csv_to_parquet(spark, path, f"{path}-parquet")
+    cleaned = cleaning.clean_loans(spark.read.parquet(f"{path}-parquet"))
+    return days(cleaned, "issue_date", "earliest_cr_line_date")
+
+
 @query
 def clean_loans(spark, folder):
     return days(_clean(spark, folder), "issue_date", "earliest_cr_line_date")
@@ -423,6 +433,46 @@ def el_qoq(spark, folder):
                    prior_total_expected_loss=2, el_delta=2)
 
 
+# -- written tables ---------------------------------------------------------------------------
+
+
+@query
+def grade_summary_of_written_marts(spark, folder):
+    """The star schema written, read back and asked by SQL over named views."""
+    path = staging_path(spark, "marts")
+    star.write_star(portfolio(spark, folder), path)
+    tables = [spark.read.parquet(f"{path}/{name}") for name in
+              ["fact_loans", "dim_borrower", "dim_vintage", "dim_credit_grade"]]
+    star.Star(*tables).register("written_")
+    return spark.sql("""
+        select g.grade, count(*) as n, count(b.borrower_key) as n_borrowers,
+            round(cast(sum(cast(f.ead as decimal(38, 12))) as double), 2) as total_ead
+        from written_fact_loans f
+        join written_dim_credit_grade g on g.credit_grade_key = f.credit_grade_key
+        left join written_dim_borrower b on b.borrower_key = f.borrower_key
+        group by g.grade""")
+
+
+@query
+def grade_report_files(spark, folder):
+    """The grade table as a CSV report and its total as a JSON record, both read back."""
+    path = staging_path(spark, "reports")
+    table = rounded(reports.grade_table(described(spark, folder)), **HEADLINE)
+    files.write_report_csv(table, f"{path}/grades")
+    files.write_record_json(table.agg(F.count(F.lit(1)).alias("n_grades")), f"{path}/record")
+    n = files.load_params(spark, f"{path}/record")["n_grades"]
+    return spark.read.option("header", True).schema(table.schema).csv(f"{path}/grades").withColumn(
+        "n_grades", F.lit(n).cast("bigint"))
+
+
+@query
+def scenario_fact_with_undrawn(spark, folder):
+    """Scenario totals where a tenth of each loan is undrawn."""
+    mart = portfolio(spark, folder)
+    revalued = scenarios.scenario_fact(mart.fact, F.col("loan_amnt") * 0.1)
+    return rounded(scenarios.scenario_totals(revalued), **TOTALS)
+
+
 # -- scenarios -------------------------------------------------------------------------------
 
 
@@ -579,6 +629,19 @@ def discrimination_by_grade(spark, folder):
                                   ["grade"]), **SEPARATION)
 
 
+@query
+def discrimination_by_grade_in_blocks(spark, folder):
+    """The same in many blocks of the order, as for more scores than one task should hold."""
+    return rounded(discrimination(resolved_loans(spark, folder), "pd", "default_flag",
+                                  ["grade"], rows_per_block=200), **SEPARATION)
+
+
+@query
+def score_quantiles_in_blocks(spark, folder):
+    return rounded(exact_quantiles(resolved_loans(spark, folder), "pd", stability.even_shares(10),
+                                   ["grade"], rows_per_block=200), quantile=9)
+
+
 @query
 def discrimination_by_split(spark, folder):
     return rounded(discrimination(split_loans(spark, folder), "pd", "default_flag",
