@@ -96,9 +96,12 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         jumps.append(jump)
         above = state.select(F.col("node").alias("up"), F.col("up").alias("next"),
                              F.col("total").alias("more"))
-        state = stage(state.join(above, "up", "left").select(
+        # Nodes that have reached their root only wait; each round joins the others.
+        moved = state.where("up is not null").join(above, "up").select(
             "node", "conv", F.col("next").alias("up"),
-            (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")), "nodes")
+            (F.col("total") + F.col("more")).alias("total"))
+        state = stage(state.where("up is null").union(
+            moved.select(*state.columns)), "nodes")
 
     order = Window.partitionBy("conv").orderBy(F.desc("total"), "node")
     chosen = (state.where("up is null").join(leaves.select("node"), "node", "left_semi")
