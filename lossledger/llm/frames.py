@@ -14,8 +14,8 @@ ROW = "_row"
 def prepared(spark: SparkSession) -> SparkSession:
     """Session settings of these operators: texts travel to Python in batches of bounded size."""
     tune(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 
 from lossledger.llm import arrays as a
 
-# Pieces that a task remembers, some 50 bytes each.
+# Pieces that a task remembers, some 30 bytes each.
 MEMORY = 1_500_000
 # Longer pieces are encoded each time, so that memory stays bounded.
 LONG = 256
@@ -42,7 +42,7 @@ class Encoder:
     def _forget(self) -> None:
         """``keys`` are the hashes of the known pieces in order; the others tell their ids."""
         self.keys = np.zeros(0, np.uint64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
