@@ -17,7 +17,7 @@ from lossledger.operators import (
 from lossledger.operators.sampling import EXPLAIN_SAMPLE, hash_sample
 from lossledger.operators.vocabulary import indexer
 from lossledger.plans import governance, reports
-from lossledger.session import clear_staged, stage, tune
+from lossledger.session import stage, temporary_stages, tune
 from lossledger.sources import columns, files
 
 
@@ -167,14 +167,14 @@ def run_reasons(spark: SparkSession, layout: Layout, n: int = EXPLAIN_SAMPLE) ->
 def run(spark: SparkSession, raw_path: str, folder: str, pd_params: dict | None = None,
         lgd_params: dict | None = None, with_scenarios: bool = False) -> DataFrame:
     """All stages in order; returns the grade table of the scored portfolio. ``raw_path`` is a
-    Parquet table or CSV text. Intermediate tables of this application are deleted at the end."""
+    Parquet table or CSV text. Its intermediate tables are deleted at the end."""
     tune(spark)
     layout = Layout(folder)
-    run_cleaning(run_ingest(spark, raw_path, layout), layout)
-    run_training(spark, layout, pd_params, lgd_params)
-    run_scoring(spark, layout)
-    run_marts(spark, layout)
-    if with_scenarios:
-        run_scenarios(spark, layout)
-    clear_staged(spark)
+    with temporary_stages(spark):
+        run_cleaning(run_ingest(spark, raw_path, layout), layout)
+        run_training(spark, layout, pd_params, lgd_params)
+        run_scoring(spark, layout)
+        run_marts(spark, layout)
+        if with_scenarios:
+            run_scenarios(spark, layout)
     return reports.grade_table(load_star(spark, layout).loans)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lossledger.sources import files
 
 _ONCE: dict[tuple, object] = {}
+_SCOPES: list[list[str]] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -78,10 +80,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
+    for scope in _SCOPES:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end, through the folder's own file system, what was staged meanwhile. Only
+    for work whose results are written elsewhere."""
+    scope: list[str] = []
+    _SCOPES.append(scope)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [s for s in _SCOPES if s is not scope]
+        for path in scope:
+            files.delete(spark, path)
+
+
 def once(spark: SparkSession, label: str, folder: str, build: Callable[[], object]):
     """``build()`` once per application and state of the input files in ``folder``."""
     key = (spark.sparkContext.applicationId, label, folder, files.fingerprint(spark, folder))
