@@ -4,8 +4,10 @@ Features are the distinct character n-grams of a text, hashed to a fixed number
 white space count as one blank, A-Z are lower-cased. Each column gets the log ratio of its rates in
 toxic and other texts; the columns that separate most enter a logistic regression whose inputs are
 those ratios (0 where the n-gram is absent). The model is fitted on at most ``FIT`` labelled texts,
-half of each class if there are enough, picked by a hash of the id. It is fitted on whole texts and
-applied to whole texts. What reaches the driver is bounded by ``FIT``, ``COLUMNS`` and ``KEPT``.
+half of each class if there are enough, picked by a hash of the id; the intercept is then moved to
+the rate of the classes among all labels, so that scores mean the same at every size of the input.
+It is fitted on whole texts and applied to whole texts. What reaches the driver is bounded by
+``FIT``, ``COLUMNS`` and ``KEPT``.
 """
 
 from __future__ import annotations
@@ -176,6 +178,15 @@ def _two_loop(grad, past):
     return q
 
 
+def shift(counted: dict[int, int], most: int) -> float:
+    """What to add to an intercept fitted on at most ``most`` of the ``counted`` texts of each
+    class: the log-odds of class 1 among all of them less those among the fitted ones."""
+    other, toxic = counted.get(0, 0), counted.get(1, 0)
+    if not other or not toxic:
+        return 0.0
+    return float(np.log(toxic / other) - np.log(min(toxic, most) / min(other, most)))
+
+
 # -- Spark -----------------------------------------------------------------------------------
 
 
@@ -189,12 +200,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """The model of the labelled texts that are not held out.
 
     Labels other than 0 and 1 and labels without a document are ignored; of several labels of a
-    document the largest holds. With no texts of one class, or none at all, every score is the
-    rate of class 1, one half at worst.
+    document the largest holds. Classes are taken at different rates where one has more than half
+    of ``fit``; the intercept makes up for it. With no texts of one class, or none at all, every
+    score is the rate of class 1, one half at worst.
     """
     usable = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()
                            & ~held_out(F.col(key)))
               .groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label")))
+    counted = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
+    moved = shift(counted, fit // 2)
     picked = [usable.where(F.col("label") == x).orderBy(F.xxhash64("key"), "key").limit(fit // 2)
               for x in (0, 1)]
     picked = stage(picked[0].union(picked[1]), "labels")
@@ -215,11 +229,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     target = np.array([r["label"] for r in rows], int)
     if not len(kept) or not 0 < target.sum() < len(target):
         rate = (target.sum() + 0.5) / (len(target) + 1)
-        return Model(kept[:0], ratio[:0], float(np.log(rate / (1 - rate))))
+        return Model(kept[:0], ratio[:0], float(np.log(rate / (1 - rate))) + moved)
     places = [np.frombuffer(r["places"], np.uint16) for r in rows]
     owner = np.repeat(np.arange(len(places)), [len(x) for x in places])
     weights, bias = logistic(owner, np.concatenate(places).astype(np.int64), ratio, target)
-    return Model(kept, weights, bias)
+    return Model(kept, weights, bias + moved)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

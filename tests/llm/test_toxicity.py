@@ -64,6 +64,25 @@ def test_held_out_accuracy(lspark):
     assert (score[toxic] >= toxicity.THRESHOLD).mean() > 0.5
 
 
+def test_a_small_fit_keeps_the_rate_of_the_labels(lspark):
+    """Both classes have more labels than half of the fit, so they are taken at different rates."""
+    docs = lspark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = lspark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = toxicity.scored(docs, toxicity.train(docs, labels, fit=610)).join(labels, "doc_id").where(
+        toxicity.held_out(toxicity.F.col("doc_id"))).select("score", "toxic").collect()
+    score = np.array([r.score for r in rows])
+    toxic = np.array([r.toxic for r in rows]) == 1
+    assert (score[~toxic] >= toxicity.THRESHOLD).mean() < 0.01
+    assert abs(score.mean() - toxic.mean()) < 0.05
+
+
+def test_shift_of_the_intercept():
+    assert toxicity.shift({0: 800, 1: 100}, 1000) == 0
+    assert toxicity.shift({0: 800, 1: 100}, 400) == pytest.approx(math.log(1 / 2))
+    assert toxicity.shift({0: 800, 1: 100}, 50) == pytest.approx(math.log(1 / 8))
+    assert toxicity.shift({0: 800}, 50) == toxicity.shift({}, 50) == 0
+
+
 def test_edges(lspark):
     docs = lspark.createDataFrame(
         [(1, "you idiot", 5.0), (2, "a fine day", 5.0), (3, None, 5.0), (4, "", 5.0),
