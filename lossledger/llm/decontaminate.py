@@ -1,7 +1,9 @@
 """Benchmark decontamination by embedding edit distance into Hamming distance.
 
-Words are runs of letters, digits and non-ASCII bytes, in lower case. A passage of a document
-matches an item of n words if their edit distance over words is at most (1 - similarity) * n.
+Words are runs of letters, digits and non-ASCII bytes, in lower case; in scripts without spaces
+between words every character is a word. A passage of a document matches an item of n words if
+their edit distance over words is at most (1 - similarity) * n. An item of fewer than
+``LEAST_WORDS`` words is matched by the same words in the same order only.
 
 1. Items are few and texts are many, so items are sent to all tasks, in portions of bounded size;
    each portion is one pass over the documents.
@@ -14,11 +16,13 @@ matches an item of n words if their edit distance over words is at most (1 - sim
    the number of repetitions follows from the target recall at the largest distance.
 4. Windows and items that share a bucket are verified: exact edit distance of the item to the best
    part of the document around the window.
+5. Short items are looked up by the hash of all their words at every place of a document.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,7 @@ from pyspark.sql import types as T
 from lossledger.llm import arrays as a
 
 SIMILARITY = 0.8
-# Items of fewer words are too short to tell a match from chance.
+# With edits, items of fewer words are too short to tell a match from chance.
 LEAST_WORDS = 8
 PLACES = 2
 WALKS = 5
@@ -43,11 +47,20 @@ _HITS = [("first_word", T.LongType()), ("n_words", T.LongType()), ("edits", T.Lo
          ("similarity", T.DoubleType())]
 _PAD = np.uint64(0x5BD1E9955BD1E995)
 _CLASSES = 64
+# Matches that a task holds before it hands them on.
+_ROWS = 100_000
 _PROBE = 14
 
 _GAPS = np.ones(256, bool)
 _GAPS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
+# First and last character of the blocks whose scripts put no spaces between words: Thai and Lao,
+# Tibetan, Burmese, Khmer, Tai, Han and kana with their punctuation, Javanese, wide forms.
+_UNSPACED = np.array([
+    (0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF),
+    (0x1A20, 0x1AAF), (0x2E80, 0x312F), (0x3190, 0x4DBF), (0x4E00, 0x9FFF), (0xA980, 0xA9FF),
+    (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF00, 0xFF9F), (0x20000, 0x3FFFF)])
+
 
 def repetitions(recall: float = RECALL, agreement: float = AGREEMENT, places: int = PLACES) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - agreement ** places)))
@@ -62,9 +75,32 @@ def words_of(data: np.ndarray, offsets: np.ndarray):
         folded[1:] != 0x97)
     folded = np.where(capital, folded + 0x20, folded)
     starts, ends, bounds = a.split_words(folded, offsets, _GAPS)
+    starts, ends, bounds = _characters(folded, starts, ends, bounds)
     return bounds, a.hash_spans(folded, starts, ends)
 
 
+def _characters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray):
+    """The words, cut before and after every character of a script without spaces."""
+    at = np.flatnonzero(data >= 0xE0)
+    at = at[at + 3 <= len(data)]
+    if not len(at):
+        return starts, ends, bounds
+    wide = data[at] >= 0xF0
+    last = np.minimum(at + 3, len(data) - 1)
+    code = (data[at] & 15).astype(np.int64)
+    code = code << 6 | data[at + 1] & 63
+    code = code << 6 | data[at + 2] & 63
+    code = np.where(wide, code << 6 | data[last] & 63, code)
+    block = np.searchsorted(_UNSPACED[:, 0], code, "right") - 1
+    own = (block >= 0) & (code <= _UNSPACED[block, 1])
+    cuts = np.unique(np.append(at[own], (at + 3 + wide)[own]))
+    word = np.searchsorted(starts, cuts, "right") - 1
+    inside = (word >= 0) & (cuts > starts[word]) & (cuts < ends[word])
+    cuts, word = cuts[inside], word[inside]
+    return (np.sort(np.append(starts, cuts)), np.sort(np.append(ends, cuts)),
+            bounds + np.searchsorted(word, bounds))
+
+
 class Walk:
     """CGK walks of windows of ``n`` words, and the keys of their sampled places.
 
@@ -119,9 +155,10 @@ class Items:
     """A portion of the items, ready to be looked up."""
 
     def __init__(self, rows: list[tuple], similarity: float = SIMILARITY,
-                 least: int = LEAST_WORDS, recall: float = RECALL):
+                 least: int = LEAST_WORDS, recall: float = RECALL, short: bool = False):
         texts = pa.array([t for _, t in rows], pa.string())
         self.ids, self.words = [], []
+        brief = []
         at = 0
         for _, data, offsets in a.text_slices(texts):
             bounds, words = words_of(data, offsets)
@@ -129,6 +166,8 @@ class Items:
                 if y - x >= least:
                     self.ids.append(rows[at][0])
                     self.words.append(words[x:y])
+                elif short and y > x:
+                    brief.append((rows[at][0], words[x:y]))
                 at += 1
         self.edits = [int((1 - similarity) * len(w) + 1e-9) for w in self.words]
         self.lengths = sorted({len(w) for w in self.words})
@@ -138,6 +177,19 @@ class Items:
         self.probe = min((_densest(n - 1, m) for n, m in self.least_pairs.items()), default=1)
         self._pairs()
         self._buckets()
+        self._short(brief)
+
+    def _short(self, brief: list[tuple]) -> None:
+        """Per length below the least: the sorted hashes of its items, and the items of each."""
+        found: dict[int, dict[int, list[int]]] = {}
+        for key, words in brief:
+            whole = int(a.gram_hashes(words, len(words))[0])
+            found.setdefault(len(words), {}).setdefault(whole, []).append(len(self.words))
+            self.ids.append(key)
+            self.words.append(words)
+            self.edits.append(0)
+        self.short = {n: (np.array(sorted(own), np.uint64), [own[h] for h in sorted(own)])
+                      for n, own in sorted(found.items())}
 
     def _pairs(self) -> None:
         """Which word pairs occur in items, and in items of which lengths (as bits)."""
@@ -179,7 +231,8 @@ class Items:
 
     def matches(self, bounds: np.ndarray, words: np.ndarray):
         """(text, item, first word, words, edits) of every match in several texts."""
-        if len(words) < 2 or not self.words:
+        yield from self._exact(bounds, words)
+        if len(words) < 2 or not self.lengths:
             return
         pairs = a.gram_hashes(words, 2)
         bits = self.pair_bits(pairs)
@@ -196,6 +249,23 @@ class Items:
             for edits, start, size in apart(own):
                 yield text, item, start, size, edits
 
+    def _exact(self, bounds: np.ndarray, words: np.ndarray):
+        """Matches of the short items. Of those of one item that overlap, the first counts."""
+        for n, (hashes, items) in self.short.items():
+            whole = a.gram_hashes(words, n)
+            place = np.minimum(np.searchsorted(hashes, whole), len(hashes) - 1)
+            at = np.flatnonzero(hashes[place] == whole)
+            text = np.searchsorted(bounds, at, "right") - 1
+            inside = at + n <= bounds[text + 1]
+            free: dict[int, int] = {}
+            for first, t, begin, h in zip(at[inside].tolist(), text[inside].tolist(),
+                                          bounds[text[inside]].tolist(),
+                                          place[at[inside]].tolist()):
+                if first >= free.get(h, 0):
+                    free[h] = first + n
+                    for item in items[h]:
+                        yield t, item, first - begin, n, 0
+
     def _candidates(self, bounds, words, pairs, bits):
         """(item, first word, one past the last) of the parts that share a bucket with an item;
         parts of one item that are near one another are one."""
@@ -321,13 +391,13 @@ def every_part(item: np.ndarray, part: np.ndarray, edits: int):
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
           item_key: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
-          least_words: int = LEAST_WORDS) -> DataFrame:
+          least_words: int = LEAST_WORDS, short: bool = False) -> DataFrame:
     """(key, item key, first_word, n_words, edits, similarity) per match of an item in a document.
 
     Places count the words that decontamination sees. Overlapping matches of one item are one row.
-    A document without words, and an item with fewer than ``least_words`` of them or no text,
-    matches nothing. Rows with equal or null keys are searched one by one. No documents or no items
-    give no rows.
+    With ``short`` an item of fewer than ``least_words`` words matches its own words, else nothing.
+    A document or an item without words or text matches nothing. Rows with equal or null keys are
+    searched one by one. No documents or no items give no rows.
     """
     item_rows = items.select(F.col(item_key).alias("i"), F.col(item_text).alias("t")).where(
         "t is not null")
@@ -342,27 +412,28 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
         portion = item_rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(portions)) == n)
         sent = sorted((tuple(r) for r in portion.collect()), key=repr)
         shared = docs.sparkSession.sparkContext.broadcast(sent)
-        part = rows.mapInArrow(_searcher(shared, key, item_key, similarity, least_words), out)
+        part = rows.mapInArrow(_searcher(shared, key, item_key, similarity, least_words, short),
+                               out)
         found = part if found is None else found.union(part)
     return found
 
 
-def _searcher(shared, key, item_key, similarity, least_words):
+def _searcher(shared, key, item_key, similarity, least_words, short):
+    def found(items, batch):
+        for row, data, offsets in a.text_slices(batch.column("text")):
+            for t, *rest in items.matches(*words_of(data, offsets)):
+                yield row + t, *rest
+
     def search(batches):
-        items = Items(shared.value, similarity, least_words)
+        items = Items(shared.value, similarity, least_words, short=short)
         for batch in batches:
-            hits = []
-            for row, data, offsets in a.text_slices(batch.column("text")):
-                bounds, words = words_of(data, offsets)
-                hits += [(row + t, *rest) for t, *rest in items.matches(bounds, words)]
-            if not hits:
-                continue
-            at, item, first, size, edits = zip(*hits)
-            near = [1 - e / len(items.words[i]) for e, i in zip(edits, item)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("key").take(pa.array(at)), pa.array([items.ids[i] for i in item]),
-                pa.array(first, pa.int64()), pa.array(size, pa.int64()),
-                pa.array(edits, pa.int64()), pa.array(near, pa.float64())],
-                names=[key, item_key, *(h for h, _ in _HITS)])
+            for hits in batched(found(items, batch), _ROWS):
+                at, item, first, size, edits = zip(*hits)
+                near = [1 - e / len(items.words[i]) for e, i in zip(edits, item)]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("key").take(pa.array(at)), pa.array([items.ids[i] for i in item]),
+                    pa.array(first, pa.int64()), pa.array(size, pa.int64()),
+                    pa.array(edits, pa.int64()), pa.array(near, pa.float64())],
+                    names=[key, item_key, *(h for h, _ in _HITS)])
 
     return search

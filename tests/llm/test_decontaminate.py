@@ -117,3 +117,35 @@ def test_edges(lspark, monkeypatch):
     accents = d.leaks(rows(lspark, ["ÉTÉ Ça Öl à b c d e f"], "doc_id"),
                       rows(lspark, ["été ça öl À B C D E F"], "item_id")).collect()
     assert [r.edits for r in accents] == [0]
+
+
+def test_short_items_match_their_own_words(lspark, monkeypatch):
+    monkeypatch.setattr(d, "_ROWS", 2)
+    items = rows(lspark, ["Who wrote Hamlet?", "yes", "a b a", "who wrote hamlet", "...",
+                          "alpha beta gamma delta epsilon zeta eta theta"], "item_id")
+    docs = rows(lspark, ["He asked: who  wrote\nHAMLET? Yes.", "who wrote", "hamlet", "a b a b a b a",
+                         "who wrote no hamlet", None, "yes", "alpha beta gamma delta epsilon zeta "
+                         "eta who theta yes"], "doc_id")
+    got = d.leaks(docs.coalesce(1), items, short=True).collect()
+    assert sorted((r.doc_id, r.item_id, r.first_word, r.n_words, r.edits) for r in got) == [
+        (0, 0, 2, 3, 0), (0, 1, 5, 1, 0), (0, 3, 2, 3, 0), (3, 2, 0, 3, 0), (3, 2, 4, 3, 0),
+        (6, 1, 0, 1, 0), (7, 1, 9, 1, 0), (7, 5, 0, 7, 1)]
+    only = d.leaks(docs, items.where("item_id = 0"), short=True).collect()
+    assert [(r.doc_id, r.first_word) for r in only] == [(0, 2)]
+    assert {r.item_id for r in d.leaks(docs, items).collect()} == {5}
+
+
+def test_characters_are_words_in_scripts_without_spaces(lspark):
+    long = "法国的首都是哪一座城市"
+    items = rows(lspark, [long, "富士山", "เมืองหลวง", "𠮷野家"], "item_id")
+    docs = rows(lspark, [f"问:{long}?", f"答案{long[:5]}不{long[6:]}。", "日本の富士山は高い",
+                         "富士の山", "ชื่อเมืองหลวงคือ", "abc𠮷野家 def", "Ελλάδα Привет 한국어"], "doc_id")
+    got = sorted((r.doc_id, r.item_id, r.edits) for r in d.leaks(docs, items, short=True).collect())
+    assert got == [(0, 0, 0), (1, 0, 1), (2, 1, 0), (4, 2, 0), (5, 3, 0)]
+    for text, count in [("Ελλάδα Привет 한국어 “x”", 4), ("abc漢字def ghi", 5), ("é漢", 2)]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert d.words_of(data, np.array([0, len(data)]))[0].tolist() == [0, count]
+    texts = ["漢字", "", "a 漢b", "c"]
+    data, ends = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum(
+        [0] + [len(t.encode()) for t in texts])
+    assert d.words_of(data, ends)[0].tolist() == [0, 2, 2, 5, 6]
