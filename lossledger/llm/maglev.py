@@ -13,6 +13,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lossledger.llm.frames import ROW, ranked
+
 SLOTS = 65_537
 SHARDS = 64
 # A key with more than this many average shards' rows is spread over several shards.
@@ -61,8 +63,8 @@ def placed(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS,
     """``df`` with ``slot``, ``shard`` (its number) and ``piece``.
 
     Rows with equal keys share a shard, unless the key alone holds more than ``hot`` of an average
-    shard: its rows are then spread over several shards by a hash of all columns, ``piece`` telling
-    which. Null is a key like any other. Columns called slot, shard or piece are replaced. The hot
+    shard: its rows, equal ones too, are then numbered and dealt to several shards in turn, ``piece``
+    telling which. Only rows of such keys are shuffled. Null is a key like any other. Columns called slot, shard or piece are replaced. The hot
     keys are fewer than ``len(shards) / hot``, so they are sent to all tasks.
     """
     rows = df.drop("slot", "shard", "piece")
@@ -76,10 +78,13 @@ def placed(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS,
         kind = df.schema[key]
         hot_keys = df.sparkSession.createDataFrame(
             list(many.items()), f"_key {kind.dataType.simpleString()}, _pieces int")
-        rows = rows.join(F.broadcast(hot_keys), F.col(key).eqNullSafe(F.col("_key")), "left")
-        piece = F.coalesce(F.pmod(F.xxhash64(*df.drop("slot", "shard", "piece").columns),
-                                  F.col("_pieces")), F.lit(0))
-        rows = rows.withColumn("piece", piece.cast("int")).drop("_key", "_pieces")
+        told = rows.join(F.broadcast(hot_keys), F.col(key).eqNullSafe(F.col("_key")),
+                         "left").drop("_key")
+        own = ranked(told.where("_pieces is not null"), F.col(key).asc_nulls_last(),
+                     F.xxhash64(*rows.columns))
+        own = own.withColumn("piece", F.pmod(F.col(ROW), F.col("_pieces")).cast("int")).drop(ROW)
+        rows = told.where("_pieces is null").withColumn("piece", F.lit(0)).unionByName(own).drop(
+            "_pieces")
     else:
         rows = rows.withColumn("piece", F.lit(0))
     first = F.xxhash64(F.col(key))

@@ -70,6 +70,21 @@ def test_hot_keys_spread_and_null_is_a_key(lspark):
     assert maglev.placed(frame.limit(0), "key", maglev.names(3), 13).collect() == []
 
 
+def test_equal_rows_of_a_hot_key_spread(lspark):
+    rows = [("hot",)] * 600 + [(None,)] * 300 + [(f"k{i}",) for i in range(300)]
+    frame = lspark.createDataFrame(rows, "key string").repartition(5)
+    got = maglev.placed(frame, "key", maglev.names(10), 1009).collect()
+    sizes = Counter(r.shard for r in got)
+    assert Counter(r.key for r in got) == Counter(k for k, in rows)
+    assert max(sizes.values()) < 400
+    for key in ("hot", None):
+        pieces = Counter(r.piece for r in got if r.key == key)
+        assert len(pieces) > 3 and max(pieces.values()) - min(pieces.values()) <= 1
+        assert len({r.shard for r in got if r.key == key}) > 2
+    table = maglev.lookup_table(maglev.names(10), 1009)
+    assert all(r.shard == table[r.slot] for r in got)
+
+
 def test_shards_are_written(lspark):
     from lossledger.session import staging_path
 
