@@ -65,13 +65,21 @@ def is_parquet(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def _open_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether any line has an odd number of quotes; escaped quotes are two."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+
+
 def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with a header, every column text; records with a wrong column count are skipped.
 
-    Files are split over tasks. Extracts with line breaks inside quotes need ``multiline``, which
-    reads each file in one task: deliver those as many files.
+    Files are split over tasks, unless a line leaves a quote open: the record then goes on in the next
+    line, so all is read as with ``multiline``, each file in one task. Deliver such extracts as many
+    files. Finding out takes a pass over the lines, which ``multiline`` saves.
     Column pruning stays off, for a pruned parser cannot see that a record is malformed.
     """
+    multiline = multiline or _open_quotes(spark, path)
     return (
         spark.read.option("header", True).option("inferSchema", False)
         .option("mode", "DROPMALFORMED").option("columnPruning", False)

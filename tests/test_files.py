@@ -15,6 +15,13 @@ def test_csv_skips_malformed_rows_only(spark, tmp_path):
     assert files.csv_to_parquet(spark, str(tmp_path / "a.csv"), str(tmp_path / "p"), True) == 3
 
 
+def test_csv_keeps_line_breaks_in_quotes_by_default(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note,amount\n1,plain,5\n2,"two\nlines, ""quoted""",6\n3,x,7\n')
+    rows = {r["id"]: tuple(r)[1:] for r in files.read_text_csv(spark, str(tmp_path / "a.csv")).collect()}
+    assert rows == {"1": ("plain", "5"), "2": ('two\nlines, "quoted"', "6"), "3": ("x", "7")}
+    assert files.csv_to_parquet(spark, str(tmp_path / "a.csv"), str(tmp_path / "p")) == 3
+
+
 def test_large_csv_is_read_by_several_tasks(spark, tmp_path):
     lines = "".join(f"{i},{'x' * 90}\n" for i in range(60_000))
     (tmp_path / "a.csv").write_text("id,note\n" + lines)
