@@ -1,7 +1,7 @@
 """Figures of the derived loans at sf0.01 that were established beforehand in both engines."""
 
 import pytest
-from conftest import MEDIUM
+from scales import MEDIUM
 from pyspark.sql import functions as F
 
 from lossledger.operators import stability

@@ -5,7 +5,7 @@ from math import factorial
 
 import numpy as np
 import pytest
-from conftest import SMALL
+from scales import SMALL
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 

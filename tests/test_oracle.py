@@ -2,7 +2,7 @@
 
 import compare
 import pytest
-from conftest import SMALL
+from scales import SMALL
 
 import __spark_entry__ as entry_points
 
