@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossledger.llm import (
-    chat, decontaminate, maglev, minhash, packing, rans, substrings, toxicity, vector_dedup, warc)
+    chat, decontaminate, maglev, merkle, minhash, packing, rans, substrings, toxicity, vector_dedup,
+    warc)
 from lossledger.llm.frames import prepared
 from lossledger.session import stage
 
@@ -209,6 +211,92 @@ def op10_chat(spark, folder):
     return chat.digests(stage(chat.formatted(nodes), "formatted"))
 
 
+# The checksum of a decimal number's digits, bit by bit: SQL has no function for it.
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+    range(1, length({x}) + 1), lambda i: [ascii(({x})[i])::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: case when xor(c, b) & 1 = 1 then xor(xor(c, b) >> 1, 3988292384)
+                      else xor(c, b) >> 1 end), 4294967295)"""
+
+_LEAF = "sha256(" + " || ".join(
+    f"coalesce(octet_length(encode({c}))::varchar || ':' || {c}, '-')" for c in (
+        "doc_id::varchar", "source", "lang", "n_chars::varchar", "{text}")) + ")"
+
+
+@query(f"""
+with recursive docs as (
+    select *, {_LEAF.format(text="text")} as leaf,
+        {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                           "'abcdefghijklmnopqrstuvwxyz')")} as lowered,
+        {_CRC.format(x="doc_id::varchar")} % 3 = 0 as tampered from documents),
+ranks as materialized (
+    select doc_id, leaf, case when tampered then lowered else leaf end as told,
+        dense_rank() over (order by lang nulls first) - 1 as tree,
+        row_number() over (partition by lang order by doc_id, leaf) - 1 as i from docs),
+nodes as (
+    select tree, 0 as level, i, leaf as digest from ranks
+    union all
+    select tree, level + 1, i // 8, sha256(string_agg(digest, '' order by i))
+    from (select *, count(*) over (partition by tree) as n from nodes) where n > 1
+    group by tree, level, i // 8),
+subroots as materialized (
+    select tree, level, digest from nodes qualify level = max(level) over (partition by tree)),
+upper as (
+    select 0 as level, tree as i, digest from subroots
+    union all
+    select level + 1, i // 8, sha256(string_agg(digest, '' order by i))
+    from (select *, count(*) over () as n from upper) where n > 1 group by level, i // 8),
+runs as materialized (
+    select tree, level, i, digest, list(digest) over w as run, i % 8 as place
+    from nodes window w as (partition by tree, level, i // 8 order by i
+                            rows between unbounded preceding and unbounded following)),
+upper_runs as materialized (
+    select level, i, digest, list(digest) over w as run, i % 8 as place
+    from upper window w as (partition by level, i // 8 order by i
+                            rows between unbounded preceding and unbounded following)),
+steps as materialized (
+    select r.doc_id, r.leaf, r.i, r.tree, n.level, n.run, n.place
+    from ranks r join subroots s using (tree) join runs n on n.tree = r.tree
+        and n.level < s.level and n.i = r.i // (8 ** n.level)::bigint
+    union all
+    select r.doc_id, r.leaf, r.i, r.tree, s.level + u.level, u.run, u.place
+    from ranks r join subroots s using (tree) join upper_runs u on u.i = r.tree // (8 ** u.level)::bigint
+        and u.level < (select max(level) from upper)),
+sides as materialized (
+    select tree, i, level, array_to_string(list_slice(run, 1, place), '') as l,
+        array_to_string(list_slice(run, place + 2, 8), '') as r
+    from steps),
+folds as (
+    select tree, i, 0 as level, told as digest from ranks
+    union all
+    select f.tree, f.i, f.level + 1, sha256(s.l || f.digest || s.r)
+    from folds f join sides s on s.tree = f.tree and s.i = f.i and s.level = f.level),
+proofs as (
+    select tree, i, sha256(string_agg(l || r, '' order by level)) as proof_sha256
+    from sides group by tree, i),
+ends as (
+    select tree, i, digest as folded_root from folds
+    qualify level = max(level) over (partition by tree, i))
+select d.doc_id, d.leaf, s.digest as subroot, t.root,
+    coalesce(p.proof_sha256, sha256('')) as proof_sha256, e.folded_root,
+    e.folded_root = t.root as verified
+from ranks d join subroots s using (tree) join ends e on e.tree = d.tree and e.i = d.i
+    left join proofs p on p.tree = d.tree and p.i = d.i
+    cross join (select digest as root from upper order by level desc limit 1) t
+""")
+def op12_merkle_manifest(spark, folder):
+    """Every document with its leaf, its proof and the root that its told text leads to."""
+    docs = table(spark, folder, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    told = docs.withColumn("told", F.when(tampered, merkle.leaf(
+        [lowered if c == "text" else c for c in merkle.FIELDS])))
+    out = merkle.manifest(told, carry=["doc_id", "told"])
+    return out.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"),
+        merkle.folded(F.coalesce("told", "leaf")).alias("folded_root")).withColumn(
+            "verified", F.col("folded_root") == F.col("root"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     """The pieces that all stages of the corpus pipeline leave."""
