@@ -167,3 +167,14 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     """An Arrow list column from flat values and the bounds of each row."""
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The words joined by one space."""
+    if not len(starts):
+        return b""
+    size = ends - starts
+    out = np.full(int(size.sum()) + len(size) - 1, 32, np.uint8)
+    at = np.cumsum(size + 1) - size - 1
+    out[ranges(at, size)] = data[ranges(starts, size)]
+    return out.tobytes()

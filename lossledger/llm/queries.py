@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossledger.llm import (
-    chat, decontaminate, maglev, merkle, minhash, packing, rans, substrings, toxicity, vector_dedup,
-    warc)
+    chat, decontaminate, maglev, merkle, minhash, packing, periodic, rans, substrings, toxicity,
+    vector_dedup, warc)
 from lossledger.llm.frames import prepared
 from lossledger.session import stage
 
@@ -297,6 +297,68 @@ def op12_merkle_manifest(spark, folder):
             "verified", F.col("folded_root") == F.col("root"))
 
 
+@query(f"""
+with docs as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w,
+        coalesce({_CRC.format(x="doc_id::varchar")}, 1) as h from documents),
+cuts as (
+    select *, len(w) as n, h // 10 as g, (h // 10) % greatest(len(w), 1) as a from docs),
+periods as (
+    select *, 1 + (n - a) // (3 + g % 8) as p from cuts),
+told as materialized (
+    select doc_id, n, case when h % 10 <> 0 or n = 0 then w else list_transform(range(0, n),
+        lambda i: w[case when i < a then i else a + (i - a) % p end + 1]) end as w from periods),
+grams as materialized (
+    select doc_id, i, array_to_string(list_slice(w, i + 1, i + 6), ' ') as gram
+    from told, unnest(range(0, greatest(n - 5, 0))) as t(i)),
+pairs as (
+    select x.doc_id, x.i, y.i - x.i as q from grams x join grams y
+    on x.doc_id = y.doc_id and x.gram = y.gram and x.i < y.i),
+stretches as (
+    select doc_id, q, min(i) as start, count(*) + 5 + q as length
+    from (select *, i - row_number() over (partition by doc_id, q order by i) as island from pairs)
+    group by doc_id, q, island),
+runs as materialized (
+    select doc_id, start, length, min(q) as period from stretches
+    where length >= greatest(12, 2 * q) group by doc_id, start, length),
+told_runs as (
+    select doc_id, count(*) as n_runs,
+        min_by({{'s': start, 'l': length, 'p': period}}, (-length, start, period)) as best,
+        sha256(string_agg(start || ',' || length || ',' || period || chr(10), ''
+                          order by start, period)) as runs_sha256
+    from runs group by doc_id),
+covered as (
+    select distinct doc_id, k as i from runs, unnest(range(start + period, start + length)) as t(k)),
+kept as (
+    select p.doc_id, sha256(string_agg(p.word, ' ' order by p.i)) as collapsed_sha256
+    from (select doc_id, unnest(w) as word, unnest(range(0, n)) as i from told) p
+    anti join covered c on c.doc_id = p.doc_id and c.i = p.i group by p.doc_id)
+select d.doc_id, coalesce(r.n_runs, 0)::bigint as n_runs, r.best.s::bigint as start,
+    r.best.l::bigint as length, r.best.p::bigint as period,
+    (1000 * r.best.l // r.best.p)::bigint as exponent_milli,
+    coalesce(r.runs_sha256, sha256('')) as runs_sha256,
+    coalesce(k.collapsed_sha256, sha256('')) as collapsed_sha256
+from told d left join told_runs r using (doc_id) left join kept k using (doc_id)
+""")
+def op13_periodic_runs(spark, folder):
+    """The periodic runs of every document, a tenth of them made periodic first."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = docs.where("h % 10 = 0").selectExpr(
+        "doc_id", r"regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0) AS w",
+        "h DIV 10 AS g")
+    cut = words.selectExpr("doc_id", "w", "g", "size(w) AS n", "g % greatest(size(w), 1) AS a")
+    told = cut.selectExpr("doc_id", "w", "n", "a", "1 + (n - a) DIV (3 + g % 8) AS p").selectExpr(
+        "doc_id", """if(n = 0, '', array_join(transform(sequence(0, greatest(n, 1) - 1),
+            i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')) AS text""")
+    rest = docs.where("h % 10 <> 0 OR h IS NULL").select("doc_id", "text")
+    found = periodic.periodic_runs(told.unionByName(rest)).withColumn("best", periodic.longest())
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     """The pieces that all stages of the corpus pipeline leave."""
