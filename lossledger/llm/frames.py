@@ -85,3 +85,25 @@ def key_of_row(rows: DataFrame, column: str, key: str, ranks: DataFrame | None)
     names = ranks.select(F.col(ROW).alias("_of"), F.col(key).alias("_key"))
     return (rows.join(names, F.col(column) == F.col("_of"), "left")
             .withColumn(column, F.col("_key")).drop("_of", "_key"))
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``left`` joined by the long ``key`` with ``right``, which has each key once.
+
+    A key that holds more than a partition's share of ``left`` would be one task's work. Fewer keys
+    than partitions can hold that much, so their list is bounded; their rows are dealt over as many
+    salts as they have shares, and their one row of ``right`` is copied to each.
+    """
+    n = partitions(left.sparkSession)
+    counts = stage(left.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "counts")
+    share = (counts.agg(F.sum("n")).first()[0] or 0) // n + 1
+    hot = {k: -(-c // share) for k, c in counts.where(
+        (F.col("n") > share) & F.col(key).isNotNull()).collect()}
+    if not hot:
+        return left.join(right, key, how)
+    salts = F.coalesce(F.create_map(*(F.lit(x) for pair in hot.items() for x in pair))[F.col(key)],
+                       F.lit(1))
+    dealt = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), salts))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                salts.cast("long") - 1)))
+    return dealt.join(copies, [key, "_salt"], how).drop("_salt")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lossledger.llm import (
     chat, decontaminate, maglev, merkle, minhash, packing, periodic, rans, substrings, toxicity,
-    vector_dedup, warc)
+    vafile, vector_dedup, warc)
 from lossledger.llm.frames import prepared
 from lossledger.session import stage
 
@@ -211,6 +211,23 @@ def op10_chat(spark, folder):
     return chat.digests(stage(chat.formatted(nodes), "formatted"))
 
 
+@query("""
+with v as (
+    select vec_id, list_transform(embedding::double[], lambda x: floor(256 * x)::bigint) as e
+    from embeddings where len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0)
+select q.vec_id as query_id,
+    (row_number() over (partition by q.vec_id order by list_inner_product(
+        q.e::double[], c.e::double[]) desc, c.vec_id))::int as rank,
+    c.vec_id, list_inner_product(q.e::double[], c.e::double[])::bigint as score
+from v q join v c on c.vec_id <> q.vec_id and len(c.e) = len(q.e)
+where q.vec_id % 50 = 0 qualify rank <= 5
+""")
+def op11_vector_search(spark, folder):
+    """The five greatest inner products of every fiftieth vector with all others."""
+    return vafile.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 # The checksum of a decimal number's digits, bit by bit: SQL has no function for it.
 _CRC = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
     range(1, length({x}) + 1), lambda i: [ascii(({x})[i])::bigint, 0, 0, 0, 0, 0, 0, 0]))),
