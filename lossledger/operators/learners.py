@@ -1,25 +1,29 @@
-"""Default-probability and loss-severity models on Spark ML."""
+"""Default-probability and loss-severity models: boosted trees and isotonic calibration."""
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
-
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.functions.numeric import finite_sql, unit_clip
+from lossledger.functions.numeric import exact_avg, unit_clip
+from lossledger.operators import boosting
+from lossledger.operators.binning import Bins, fit_bins
+from lossledger.operators.boosting import Scorer, Settings, Tree
 from lossledger.operators.cleaning import with_expected_loss
-from lossledger.sources.columns import NUMERIC_FEATURES, PORTFOLIO
+from lossledger.operators.isotonic import Isotonic, fit_isotonic
+from lossledger.session import stage
+from lossledger.sources.columns import PORTFOLIO
 
 SEED = 42
-FEATURES_COL = "features"
 
 # Default training parameters, under their usual names.
 DEFAULT_PD_PARAMS = {"n_estimators": 500, "learning_rate": 0.05, "num_leaves": 63,
@@ -27,155 +31,196 @@ DEFAULT_PD_PARAMS = {"n_estimators": 500, "learning_rate": 0.05, "num_leaves": 6
 DEFAULT_LGD_PARAMS = {"n_estimators": 400, "learning_rate": 0.05, "num_leaves": 31,
                       "subsample": 0.8, "colsample_bytree": 0.8}
 
+_SCORERS: dict[str, Scorer] = {}
 
-def tree_settings(params: dict) -> dict:
-    """The Spark ML settings that carry ``params``.
 
-    Spark grows trees by level, so a leaf budget becomes the depth that holds it, and the column
-    fraction applies per node. Row sampling needs a bagging interval that these parameters never
-    set, so all rows are used. There is no counterpart to the L1 and L2 terms.
-    """
-    return {
-        "maxIter": int(params["n_estimators"]),
-        "stepSize": float(params["learning_rate"]),
-        "maxDepth": math.ceil(math.log2(params["num_leaves"])),
-        "minInstancesPerNode": int(params.get("min_child_samples", 20)),
-        "featureSubsetStrategy": str(float(params["colsample_bytree"])),
-        "subsamplingRate": 1.0,
-        "seed": SEED,
-    }
-
-
-def preparation(train: DataFrame, codes: StringIndexerModel,
-                numeric: Sequence[str] = tuple(NUMERIC_FEATURES)) -> list:
-    """Pipeline stages from loans to a feature vector without missing values.
-
-    A missing number becomes the training median, and gets a 0/1 column where training has any,
-    so that trees can still tell it apart. Medians and gaps come from one aggregation.
+def scorer_of(key: str, trees: list[Tree]) -> Scorer:
+    """A worker builds the tables of a model once."""
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = Scorer(trees)
+    return _SCORERS[key]
+
+
+def unpacked(vectors: pa.Array, width: int) -> np.ndarray:
+    """One row per feature from an Arrow column of byte vectors."""
+    joined = b"".join(vectors.to_pylist())
+    return np.ascontiguousarray(np.frombuffer(joined, np.uint8).reshape(-1, width).T)
+
+
+@dataclass(frozen=True)
+class TreeModel:
+    """Boosted trees over binned loans. ``base`` is the margin before the first tree."""
+
+    bins: Bins
+    base: float
+    binary: bool
+    trees: list[Tree]
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def margin(self, vector: Column | None = None) -> Column:
+        """The sum of leaf values: log-odds of default, or the loss itself. ``vector`` are loans
+        that the model's bins have packed already."""
+        base, trees, key, width = self.base, self.trees, self.key, len(self.bins.features)
+
+        @F.arrow_udf("double")
+        def scored(vectors: pa.Array) -> pa.Array:
+            if not len(vectors):
+                return pa.array([], pa.float64())
+            return pa.array(base + scorer_of(key, trees)(unpacked(vectors, width)))
+
+        return scored(self.bins.vector() if vector is None else vector)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        boosting.tree_frame(spark, self.trees).coalesce(1).write.mode("overwrite").parquet(
+            f"{path}/trees")
+        told = json.dumps({"edges": self.bins.edges, "categories": self.bins.categories,
+                           "base": self.base, "binary": self.binary})
+        spark.createDataFrame([(told,)], "model string").coalesce(1).write.mode(
+            "overwrite").parquet(f"{path}/settings")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> TreeModel:
+        told = json.loads(spark.read.parquet(f"{path}/settings").first()["model"])
+        trees = boosting.trees_of(spark.read.parquet(f"{path}/trees"))
+        return TreeModel(Bins(told["edges"], told["categories"]), told["base"], told["binary"],
+                         trees)
+
+
+@dataclass(frozen=True)
+class TrainingSet:
+    """Binned rows (x, y), staged, and what a fit on them starts from."""
+
+    bins: Bins
+    base: float
+    unit: float
+    n: int
+    binary: bool
+    rows: DataFrame
+
+
+def training_set(train: DataFrame, categories: dict[str, list[str]], label: str,
+                 binary: bool) -> TrainingSet:
+    """Scans the loans once for their bins and once to bin them. Loans without a label are left
+    out. The base is the label's mean, for classes its log-odds."""
+    value = F.col(label).cast("double")
+    labelled = train.where(value.isNotNull())
+    bins, told = fit_bins(labelled, categories, exact_avg(value).alias("_mean"),
+                          F.min(value).alias("_low"), F.max(value).alias("_high"),
+                          F.count(F.lit(1)).alias("_n"))
+    mean = told["_mean"] if told["_mean"] is not None else 0.0
+    if binary:
+        mean = min(max(mean, 1e-9), 1 - 1e-9)
+        base, unit = math.log(mean / (1 - mean)), 2.0 ** -30
+    else:
+        reach = max((told["_high"] or 0.0) - (told["_low"] or 0.0), 1e-9)
+        base, unit = mean, 2.0 ** (math.ceil(math.log2(reach)) - 30)
+    rows = stage(labelled.select(bins.vector().alias("x"), value.alias("y")), "binned")
+    return TrainingSet(bins, base, unit, told["_n"], binary, rows)
+
+
+def fit_models(sets: Sequence[TrainingSet], jobs: Sequence[tuple[int, dict]],
+               rows_in_task: int = boosting.ROWS_IN_TASK) -> list[TreeModel]:
+    """A model per job: (number of its training set, parameters over the library's own).
+
+    Jobs on sets of up to ``rows_in_task`` rows run side by side, a task each; larger sets are
+    fitted over all tasks, one job after the other. Both give the same trees.
     """
-    known = {x: finite_sql(x) for x in numeric}
-    stats = train.selectExpr(*(f"{sql} AS {x}" for x, sql in known.items())).agg(
-        *(F.expr(f"percentile_approx({x}, 0.5, 1000) AS {x}_median") for x in numeric),
-        *(F.expr(f"count_if({x} IS NULL) AS {x}_gaps") for x in numeric),
-    ).first()
-    gappy = [x for x in numeric if stats[f"{x}_gaps"]]
-    filled = [f"coalesce({known[x]}, {stats[f'{x}_median'] or 0.0!r}D) AS {x}_filled"
-              for x in numeric]
-    flags = [f"if({known[x]} IS NULL, 1D, 0D) AS {x}_missing" for x in gappy]
-    fill = SQLTransformer(statement=f"SELECT *, {', '.join(filled + flags)} FROM __THIS__")
-    assemble = VectorAssembler(
-        inputCols=[*(f"{x}_filled" for x in numeric), *(f"{x}_missing" for x in gappy),
-                   *codes.getOutputCols()],
-        outputCol=FEATURES_COL, handleInvalid="error")
-    return [fill, codes, assemble]
-
-
-def source_features(stages: Sequence) -> list[str]:
-    """The loan column behind each slot of the feature vector."""
-    assemble = next(s for s in stages if isinstance(s, VectorAssembler))
-    return [name.rsplit("_", 1)[0] for name in assemble.getInputCols()]
-
-
-def prepare(stages: Sequence, df: DataFrame) -> DataFrame:
-    for stage in stages:
-        df = stage.transform(df)
-    return df
-
-
-def _bins(codes: StringIndexerModel) -> int:
-    return max(64, 1 + max(len(labels) for labels in codes.labelsArray))
-
-
-def fit_default_trees(train: DataFrame, codes: StringIndexerModel, params: dict | None = None,
-                      label: str = "default_flag", stages: list | None = None) -> PipelineModel:
-    """Boosted trees for the default probability. ``stages`` reuses a fitted preparation, with
-    ``train`` already prepared by it."""
-    settings = tree_settings({**DEFAULT_PD_PARAMS, **(params or {})})
-    prepared = train if stages else None
-    stages = stages or preparation(train, codes)
-    if prepared is None:
-        prepared = prepare(stages, train)
-    learner = GBTClassifier(labelCol="__label", maxBins=_bins(codes), **settings)
-    trees = learner.fit(prepared.select(FEATURES_COL, F.col(label).cast("double")
-                                        .alias("__label")))
-    return PipelineModel([*stages, trees])
-
-
-def fit_severity_trees(train: DataFrame, codes: StringIndexerModel, params: dict | None = None,
-                       label: str = "actual_lgd", stages: list | None = None) -> PipelineModel:
-    """Boosted trees for the loss given default."""
-    settings = tree_settings({**DEFAULT_LGD_PARAMS, **(params or {})})
-    prepared = train if stages else None
-    stages = stages or preparation(train, codes)
-    if prepared is None:
-        prepared = prepare(stages, train)
-    learner = GBTRegressor(labelCol="__label", maxBins=_bins(codes), **settings)
-    trees = learner.fit(prepared.select(FEATURES_COL, F.col(label).alias("__label")))
-    return PipelineModel([*stages, trees])
-
-
-def with_raw_pd(loans: DataFrame, trees: PipelineModel, name: str = "raw_pd") -> DataFrame:
+    settings = [Settings.of({"seed": SEED, **params}, sets[at].binary) for at, params in jobs]
+    small = {i: (settings[i], sets[at].base, sets[at].unit) for i, (at, _) in enumerate(jobs)
+             if 0 < sets[at].n <= rows_in_task}
+    trees: dict[int, list[Tree]] = {}
+    if small:
+        parts = []
+        for at, one in enumerate(sets):
+            own = [F.lit(i) for i in small if jobs[i][0] == at]
+            if own:
+                parts.append(one.rows.select(F.explode(F.array(*own)).alias("model"), "x", "y"))
+        trees = boosting.fit_in_tasks(reduce(DataFrame.unionByName, parts), small,
+                                      sets[0].bins.categorical)
+    for i, (at, _) in enumerate(jobs):
+        if i not in trees:
+            one = sets[at]
+            trees[i] = boosting.fit_by_rounds(one.rows, settings[i], one.base, one.unit,
+                                              one.bins.categorical) if one.n else []
+    return [TreeModel(sets[at].bins, sets[at].base, sets[at].binary, trees[i])
+            for i, (at, _) in enumerate(jobs)]
+
+
+def pd_params(params: dict | None) -> dict:
+    return {**DEFAULT_PD_PARAMS, **(params or {})}
+
+
+def lgd_params(params: dict | None) -> dict:
+    return {**DEFAULT_LGD_PARAMS, **(params or {})}
+
+
+def fit_default_trees(train: DataFrame, categories: dict[str, list[str]],
+                      params: dict | None = None, label: str = "default_flag") -> TreeModel:
+    return fit_models([training_set(train, categories, label, True)], [(0, pd_params(params))])[0]
+
+
+def fit_severity_trees(train: DataFrame, categories: dict[str, list[str]],
+                       params: dict | None = None, label: str = "actual_lgd") -> TreeModel:
+    return fit_models([training_set(train, categories, label, False)], [(0, lgd_params(params))])[0]
+
+
+def with_raw_pd(loans: DataFrame, trees: TreeModel, name: str = "raw_pd") -> DataFrame:
     """Adds the uncalibrated default probability."""
-    probability = vector_to_array(F.col("probability"))[1].alias(name)
-    return trees.transform(loans).select(*loans.columns, probability)
+    return loans.withColumn(name, F.lit(1.0) / (F.lit(1.0) + F.exp(-trees.margin())))
 
 
-def with_lgd(loans: DataFrame, trees: PipelineModel, name: str = "lgd") -> DataFrame:
+def with_lgd(loans: DataFrame, trees: TreeModel, name: str = "lgd") -> DataFrame:
     """Adds the predicted loss given default, within [0, 1]."""
-    return trees.transform(loans).select(
-        *loans.columns, unit_clip(F.col("prediction")).alias(name))
+    return loans.withColumn(name, trees.margin()).withColumn(name, unit_clip(F.col(name)))
 
 
 def fit_calibration(scored: DataFrame, score: str = "raw_pd",
-                    label: str = "default_flag") -> IsotonicRegressionModel:
-    """Monotone map from score to observed default rate.
-
-    Loans are first reduced to one weighted point per distinct score, which gives the same fit;
-    the hot scores of a step function then cost one row each.
-    """
-    points = scored.groupBy(score).agg(
-        F.avg(F.col(label).cast("double")).alias("rate"),
-        F.count(F.lit(1)).cast("double").alias("weight"))
-    return IsotonicRegression(featuresCol=score, labelCol="rate", weightCol="weight",
-                              predictionCol="pd").fit(points)
+                    label: str = "default_flag") -> Isotonic:
+    """Monotone map from score to observed default rate."""
+    return fit_isotonic(scored, score, label)
 
 
 @dataclass(frozen=True)
 class DefaultModel:
     """Trees and their calibration; the trees alone serve reason codes."""
 
-    trees: PipelineModel
-    calibration: IsotonicRegressionModel
+    trees: TreeModel
+    calibration: Isotonic
 
     def with_pd(self, loans: DataFrame) -> DataFrame:
         """Adds ``raw_pd`` and the calibrated ``pd``."""
-        return self.calibration.transform(with_raw_pd(loans, self.trees))
+        scored = with_raw_pd(loans, self.trees)
+        return scored.withColumn("pd", self.calibration.apply(F.col("raw_pd")))
 
-    def save(self, path: str) -> None:
-        self.trees.write().overwrite().save(f"{path}/trees")
-        self.calibration.write().overwrite().save(f"{path}/calibration")
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.trees.save(spark, f"{path}/trees")
+        spark.createDataFrame(list(zip(self.calibration.x, self.calibration.y)),
+                              "x double, y double").coalesce(1).write.mode("overwrite").parquet(
+                                  f"{path}/calibration")
 
     @staticmethod
-    def load(path: str) -> DefaultModel:
-        return DefaultModel(PipelineModel.load(f"{path}/trees"),
-                            IsotonicRegressionModel.load(f"{path}/calibration"))
+    def load(spark: SparkSession, path: str) -> DefaultModel:
+        knots = sorted(map(tuple, spark.read.parquet(f"{path}/calibration").collect()))
+        return DefaultModel(TreeModel.load(spark, f"{path}/trees"),
+                            Isotonic(tuple(x for x, _ in knots), tuple(y for _, y in knots)))
 
 
-def fit_default_model(labelled: DataFrame, codes: StringIndexerModel,
+def fit_default_model(labelled: DataFrame, categories: dict[str, list[str]],
                       params: dict | None = None) -> DefaultModel:
     """Trees on the train split, calibration on the slice after it; later loans stay unseen."""
-    trees = fit_default_trees(labelled.where("split = 'train'"), codes, params)
+    trees = fit_default_trees(labelled.where("split = 'train'"), categories, params)
     later = with_raw_pd(labelled.where("split = 'calibration'"), trees)
     return DefaultModel(trees, fit_calibration(later))
 
 
-def fit_severity_model(labelled: DataFrame, codes: StringIndexerModel,
-                       params: dict | None = None) -> PipelineModel:
-    return fit_severity_trees(labelled.where("split = 'train'"), codes, params)
+def fit_severity_model(labelled: DataFrame, categories: dict[str, list[str]],
+                       params: dict | None = None) -> TreeModel:
+    return fit_severity_trees(labelled.where("split = 'train'"), categories, params)
 
 
 def score_portfolio(loans: DataFrame, default_model: DefaultModel,
-                    severity_model: PipelineModel) -> DataFrame:
+                    severity_model: TreeModel) -> DataFrame:
     """pd, lgd and expected loss for every loan, active ones included. Narrow: no shuffle."""
     carried = loans.select(*PORTFOLIO)
     with_pd = default_model.with_pd(carried).drop("raw_pd")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lossledger.operators import (
     attribution, backtest, chronology, cleaning, learners, scenarios, search, star)
 from lossledger.operators.sampling import EXPLAIN_SAMPLE, hash_sample
-from lossledger.operators.vocabulary import indexer
+from lossledger.operators.vocabulary import frequent
 from lossledger.plans import governance, reports
 from lossledger.session import stage, temporary_stages, tune
 from lossledger.sources import columns, files
@@ -65,40 +65,43 @@ def _params(spark: SparkSession, path: str, given: dict | None) -> dict | None:
     return given if given is not None else files.load_params(spark, path)
 
 
-def run_search(spark: SparkSession, layout: Layout, trials: list[dict]) -> None:
+def run_search(spark: SparkSession, layout: Layout, trials: int = search.DEFAULT_TRIALS,
+               **fixed) -> None:
     """Searches parameters for both models and saves the best of each."""
     clean = cleaned(spark, layout)
-    codes = indexer(clean)
+    categories = frequent(clean)
     resolved = chronology.label_splits(cleaning.resolved(clean)).where("split = 'train'")
     defaulted = chronology.label_holdout(cleaning.with_realized_lgd(clean))
-    found = search.tune_default(resolved.drop("split"), codes, trials)
+    found = search.tune_default(resolved.drop("split"), categories, trials, **fixed)
     files.save_params(spark, search.best_params(found), layout.pd_params)
-    found = search.tune_severity(defaulted.where("split = 'train'").drop("split"), codes, trials)
+    found = search.tune_severity(defaulted.where("split = 'train'").drop("split"), categories,
+                                 trials, **fixed)
     files.save_params(spark, search.best_params(found), layout.lgd_params)
 
 
 def run_training(spark: SparkSession, layout: Layout, pd_params: dict | None = None,
                  lgd_params: dict | None = None) -> None:
     clean = cleaned(spark, layout)
-    codes = indexer(clean)
+    categories = frequent(clean)
     labelled = chronology.label_splits(cleaning.resolved(clean))
     learners.fit_default_model(
-        labelled, codes, _params(spark, layout.pd_params, pd_params)).save(layout.pd_model)
+        labelled, categories, _params(spark, layout.pd_params, pd_params)
+    ).save(spark, layout.pd_model)
     defaulted = chronology.label_holdout(cleaning.with_realized_lgd(clean))
     learners.fit_severity_model(
-        defaulted, codes, _params(spark, layout.lgd_params, lgd_params)
-    ).write().overwrite().save(layout.lgd_model)
+        defaulted, categories, _params(spark, layout.lgd_params, lgd_params)
+    ).save(spark, layout.lgd_model)
 
 
-def load_models(layout: Layout):
-    return (learners.DefaultModel.load(layout.pd_model),
-            learners.PipelineModel.load(layout.lgd_model))
+def load_models(spark: SparkSession, layout: Layout):
+    return (learners.DefaultModel.load(spark, layout.pd_model),
+            learners.TreeModel.load(spark, layout.lgd_model))
 
 
 def run_scoring(spark: SparkSession, layout: Layout) -> None:
     clean = cleaned(spark, layout)
     files.write_table(learners.score_portfolio(clean.select(*columns.PORTFOLIO),
-                                               *load_models(layout)), layout.scored_loans)
+                                               *load_models(spark, layout)), layout.scored_loans)
 
 
 def run_marts(spark: SparkSession, layout: Layout) -> None:
@@ -126,7 +129,7 @@ def load_scenarios(spark: SparkSession, layout: Layout) -> DataFrame | None:
 
 def run_governance(spark: SparkSession, layout: Layout) -> None:
     clean = cleaned(spark, layout)
-    default_model, severity_model = load_models(layout)
+    default_model, severity_model = load_models(spark, layout)
     report = governance.model_risk(
         chronology.label_splits(cleaning.resolved(clean)), default_model,
         chronology.label_holdout(cleaning.with_realized_lgd(clean)), severity_model)
@@ -137,12 +140,12 @@ def run_backtest(spark: SparkSession, layout: Layout, folds: int = chronology.DE
                  pd_params: dict | None = None, lgd_params: dict | None = None) -> dict:
     """Walk-forward reports of both models; returns the summary record."""
     clean = cleaned(spark, layout)
-    codes = indexer(clean)
+    categories = frequent(clean)
     default_folds = stage(backtest.backtest_default(
-        cleaning.resolved(clean), codes, _params(spark, layout.pd_params, pd_params), folds),
+        cleaning.resolved(clean), categories, _params(spark, layout.pd_params, pd_params), folds),
         "folds")
     severity_folds = stage(backtest.backtest_severity(
-        cleaning.with_realized_lgd(clean), codes,
+        cleaning.with_realized_lgd(clean), categories,
         _params(spark, layout.lgd_params, lgd_params), folds), "folds")
     files.write_report_csv(default_folds.orderBy("fold"), f"{layout.reports}/rolling_backtest_pd")
     files.write_report_csv(severity_folds.orderBy("fold"),
@@ -157,7 +160,7 @@ def run_backtest(spark: SparkSession, layout: Layout, folds: int = chronology.DE
 def run_reasons(spark: SparkSession, layout: Layout, n: int = EXPLAIN_SAMPLE) -> DataFrame:
     """Writes the reason codes of a sample of resolved loans; returns the top drivers."""
     clean = cleaned(spark, layout)
-    default_model, _ = load_models(layout)
+    default_model, _ = load_models(spark, layout)
     sample = hash_sample(cleaning.resolved(clean), n)
     files.write_table(attribution.reason_codes(sample, default_model.trees),
                       f"{layout.reports}/loan_reason_codes")

@@ -337,7 +337,7 @@ _FOLD_COLUMNS = ", ".join(
 
 
 # Trials that the registered searches run.
-TRIALS = 3
+TRIALS = 25
 
 
 def texts() -> dict[str, str]:

@@ -19,7 +19,7 @@ from lossledger.operators import (
 from lossledger.operators.discrimination import discrimination, regression_error
 from lossledger.operators.ordered import exact_quantiles
 from lossledger.operators.sampling import EXPLAIN_SAMPLE, hash_sample
-from lossledger.operators.vocabulary import indexer, vocabulary
+from lossledger.operators.vocabulary import encoded, frequent, vocabulary
 from lossledger.plans import governance, measures, reports
 from lossledger.session import once, stage, staging_path, tune
 from lossledger.sources import columns as c
@@ -725,13 +725,8 @@ def psi_flag_count(spark, folder):
 
 # -- fitted models (no SQL counterpart) ------------------------------------------------------
 
-# Fewer trees than the defaults, for a run of minutes; everything else is as in production.
-QUICK = {"n_estimators": 10, "learning_rate": 0.2, "num_leaves": 16}
-QUICK_TRIALS = 3
-
-
-def _codes(spark, folder):
-    return once(spark, "codes", folder, lambda: indexer(scored_loans(spark, folder)))
+def _categories(spark, folder):
+    return once(spark, "categories", folder, lambda: frequent(scored_loans(spark, folder)))
 
 
 def _unscored(spark, folder):
@@ -751,12 +746,12 @@ def _defaulted(spark, folder):
 
 def default_model(spark, folder) -> learners.DefaultModel:
     return once(spark, "pd_model", folder, lambda: learners.fit_default_model(
-        _labelled(spark, folder), _codes(spark, folder), QUICK))
+        _labelled(spark, folder), _categories(spark, folder)))
 
 
 def severity_model(spark, folder):
     return once(spark, "lgd_model", folder, lambda: learners.fit_severity_model(
-        _defaulted(spark, folder), _codes(spark, folder), QUICK))
+        _defaulted(spark, folder), _categories(spark, folder)))
 
 
 @query
@@ -771,11 +766,11 @@ def score_portfolio(spark, folder):
 def score_portfolio_reloaded(spark, folder):
     """The grade table from models saved to and loaded from the shared folder."""
     path = staging_path(spark, "models")
-    default_model(spark, folder).save(f"{path}/pd")
-    severity_model(spark, folder).write().save(f"{path}/lgd")
+    default_model(spark, folder).save(spark, f"{path}/pd")
+    severity_model(spark, folder).save(spark, f"{path}/lgd")
     scored = learners.score_portfolio(
-        _unscored(spark, folder), learners.DefaultModel.load(f"{path}/pd"),
-        learners.PipelineModel.load(f"{path}/lgd"))
+        _unscored(spark, folder), learners.DefaultModel.load(spark, f"{path}/pd"),
+        learners.TreeModel.load(spark, f"{path}/lgd"))
     return rounded(reports.grade_table(scored), **HEADLINE)
 
 
@@ -788,12 +783,12 @@ def calibration_compare(spark, folder):
 
 def _default_folds(spark, folder):
     return once(spark, "default_folds", folder, lambda: stage(backtest.backtest_default(
-        cleaning.resolved(_unscored(spark, folder)), _codes(spark, folder), QUICK), "folds"))
+        cleaning.resolved(_unscored(spark, folder)), _categories(spark, folder)), "folds"))
 
 
 def _severity_folds(spark, folder):
     return once(spark, "severity_folds", folder, lambda: stage(backtest.backtest_severity(
-        cleaning.with_realized_lgd(_unscored(spark, folder)), _codes(spark, folder), QUICK),
+        cleaning.with_realized_lgd(_unscored(spark, folder)), _categories(spark, folder)),
         "folds"))
 
 
@@ -813,26 +808,25 @@ def backtest_summary(spark, folder):
                                      _severity_folds(spark, folder))
 
 
-def _trials():
-    quick = {"n_estimators": QUICK["n_estimators"]}
-    return [{**trial, **quick} for trial in search.draw_trials(QUICK_TRIALS)]
-
-
 @query
 def tuning_trials_pd(spark, folder):
+    """All trials of the default search, at the sizes that it draws."""
     train = _labelled(spark, folder).where("split = 'train'").drop("split")
-    return search.tune_default(train, _codes(spark, folder), _trials())
+    return once(spark, "trials_pd", folder, lambda: search.tune_default(
+        train, _categories(spark, folder)))
 
 
 @query
 def tuning_trials_lgd(spark, folder):
     train = _defaulted(spark, folder).where("split = 'train'").drop("split")
-    return search.tune_severity(train, _codes(spark, folder), _trials())
+    return once(spark, "trials_lgd", folder, lambda: search.tune_severity(
+        train, _categories(spark, folder)))
 
 
 def _reasons(spark, folder):
-    return attribution.reason_codes(cleaning.resolved(_unscored(spark, folder)),
-                                    default_model(spark, folder).trees)
+    return once(spark, "reasons", folder, lambda: stage(attribution.reason_codes(
+        cleaning.resolved(_unscored(spark, folder)), default_model(spark, folder).trees),
+        "reasons"))
 
 
 @query

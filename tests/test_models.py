@@ -6,11 +6,11 @@ from math import factorial
 import numpy as np
 import pytest
 from scales import SMALL
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lossledger.operators import attribution, backtest, learners, search
-from lossledger.operators.vocabulary import indexer, vocabulary
+from lossledger.operators import attribution, backtest, boosting, isotonic, learners, search
+from lossledger.operators.binning import fit_bins
+from lossledger.operators.vocabulary import encoded, frequent, vocabulary
 from lossledger.plans import batch, governance, registry
 from lossledger.sources.columns import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
 
@@ -24,13 +24,13 @@ def labelled(spark):
 
 
 @pytest.fixture(scope="module")
-def codes(labelled):
-    return indexer(labelled)
+def categories(labelled):
+    return frequent(labelled)
 
 
 @pytest.fixture(scope="module")
-def model(labelled, codes):
-    return learners.fit_default_model(labelled, codes, TINY)
+def model(labelled, categories):
+    return learners.fit_default_model(labelled, categories, TINY)
 
 
 def test_feature_lists():
@@ -38,32 +38,171 @@ def test_feature_lists():
     assert len(set(FEATURES)) == 43
 
 
-def test_params_merge_and_map():
-    settings = learners.tree_settings({**learners.DEFAULT_PD_PARAMS, "num_leaves": 98})
-    assert (settings["maxIter"], settings["maxDepth"], settings["stepSize"]) == (500, 7, 0.05)
+def test_parameters_merge_over_the_defaults():
+    s = boosting.Settings.of(learners.pd_params({"num_leaves": 98.0}), True)
+    assert (s.n_estimators, s.num_leaves, s.learning_rate, s.seed) == (500, 98, 0.05, 42)
 
 
 def test_unknown_and_missing_categories_share_a_code(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "grade string")
-    assert [tuple(r) for r in vocabulary(df, ["grade"]).orderBy("code").collect()] == [
+    words = vocabulary(df, ["grade"])
+    assert [tuple(r) for r in words.orderBy("code").collect()] == [
         ("grade", "a", 0), ("grade", "b", 1)]
     seen = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "grade string")
-    found = indexer(df, ["grade"]).transform(seen).collect()
-    assert [r["grade_code"] for r in found] == [0.0, 1.0, 2.0, 2.0]
-
-
-def test_free_text_is_no_category(spark):
-    df = spark.range(10_001).selectExpr("string(id) grade")
-    with pytest.raises(ValueError, match="categories"):
-        indexer(df, ["grade"])
-
-
-def test_preparation_fills_gaps(spark, codes, labelled):
-    stages = learners.preparation(labelled, codes)
-    odd = labelled.limit(3).withColumns({"dti": F.lit(float("nan")),
-                                         "annual_inc": F.lit(float("inf"))})
-    out = learners.prepare(stages, odd).select("dti_filled", "annual_inc_filled").collect()
-    assert all(np.isfinite(list(r)).all() for r in out)
+    found = {r["grade"]: r["grade_code"] for r in encoded(seen, words, ["grade"]).collect()}
+    assert found == {"a": 0, "b": 1, "z": 2, None: 2}
+    assert frequent(df, ["grade"], 1) == {"grade": ["b"]}
+
+
+def test_a_hundred_thousand_categories(spark):
+    df = spark.range(200_000).selectExpr(
+        "if(id % 3 = 0, 'often', string(id % 150000)) AS grade", "id AS n", "'x' AS purpose")
+    out = encoded(df, vocabulary(df, ["grade", "purpose"]), ["grade", "purpose"])
+    told = df.select("grade").distinct().toPandas()["grade"].tolist()
+    assert len(told) > 100_000
+    place = {w: i for i, w in enumerate(sorted(told))}
+    got = out.select("n", "grade", "grade_code", "purpose_code").toPandas()
+    assert len(got) == 200_000 and (got.purpose_code == 0).all()
+    assert (got.grade.map(place) == got.grade_code).all()
+    assert frequent(df, ["grade"])["grade"][0] == "often"
+
+
+def plain_bin(value, edges):
+    return boosting.MISSING if value is None else sum(value > e for e in edges)
+
+
+def test_vectors_of_bytes(spark):
+    rng = np.random.default_rng(1)
+    rows = [(float(np.round(rng.normal(), 1)) if i % 9 else None, "abc"[i % 3] if i % 7 else None)
+            for i in range(300)] + [(float("nan"), "z"), (float("inf"), "")]
+    df = spark.createDataFrame(rows, "dti double, grade string").repartition(3)
+    known = frequent(df, ["grade"], 2)
+    bins, told = fit_bins(df, known, F.count(F.lit(1)).alias("n"), numeric=["dti"])
+    assert told == {"n": 302} and bins.features == ["dti", "grade"]
+    finite = [v for v, _ in rows if v is not None and np.isfinite(v)]
+    assert set(bins.edges["dti"]) <= set(finite) and len(bins.edges["dti"]) < boosting.MISSING
+    for r in df.withColumn("x", bins.vector()).collect():
+        value = r["dti"] if r["dti"] is not None and np.isfinite(r["dti"]) else None
+        place = known["grade"].index(r["grade"]) if r["grade"] in known["grade"] else 63
+        assert list(r["x"]) == [plain_bin(value, bins.edges["dti"]), place]
+
+
+def toy(n, seed=0, width=6):
+    """Bytes with gaps, the last two columns categories, and labels that depend on them."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 12, (n, width)).astype(np.uint8)
+    x[rng.random((n, width)) < 0.1] = boosting.MISSING
+    z = (x[:, 0] > 6) * 1.5 + (x[:, 1] == boosting.MISSING) * 1.0 + np.isin(x[:, 4], [1, 5, 7]) * 2.0
+    y = (rng.random(n) < 1 / (1 + np.exp(1.5 - z))).astype(float)
+    kinds = np.array([False] * (width - 2) + [True] * 2)
+    return x, y, kinds
+
+
+@pytest.mark.parametrize("alpha,lam,least", [(0.0, 0.0, 1), (0.5, 2.0, 10), (0.0, 1.0, 100)])
+def test_best_split_against_all_splits(alpha, lam, least):
+    x, y, kinds = toy(200)
+    unit = 2.0 ** -30
+    s = boosting.Settings(min_child_samples=least, reg_alpha=alpha, reg_lambda=lam)
+    g, h = boosting.gradients(np.zeros(200), y, unit, True)
+    found = boosting.best_split(boosting.histogram(x, g, h), np.arange(6), kinds, unit, s)
+    g, h = g * unit, h * unit
+
+    def score(rows, more=0.0):
+        size = max(abs(g[rows].sum()) - alpha, 0.0)
+        return size * size / (h[rows].sum() + lam + more)
+
+    best = 0.0
+    whole = np.ones(200, bool)
+    for j in range(6):
+        if kinds[j]:
+            known = [c for c in np.unique(x[:, j]) if c != boosting.MISSING]
+            mean = {c: g[x[:, j] == c].sum() / (h[x[:, j] == c].sum() + boosting.SMOOTH)
+                    for c in known}
+            order = sorted(known, key=mean.get)
+            sides = [np.isin(x[:, j], order[:i]) for i in range(1, len(order) + 1)]
+        else:
+            sides = [(x[:, j] <= c) | (gap & (x[:, j] == boosting.MISSING))
+                     for c in range(12) for gap in (False, True)]
+        for left in sides:
+            if min(left.sum(), (~left).sum()) >= least:
+                more = boosting.SMOOTH if kinds[j] else 0.0
+                best = max(best, score(left, more) + score(~left, more) - score(whole))
+    if best <= 1e-12:
+        assert found is None
+        return
+    assert found.gain == pytest.approx(best, rel=1e-9)
+    mask = np.unpackbits(np.frombuffer(found.goes_left, np.uint8)).astype(bool)
+    left = mask[x[:, found.feature]]
+    assert found.left == pytest.approx((g[left].sum(), h[left].sum(), left.sum()))
+    assert found.right == pytest.approx((g[~left].sum(), h[~left].sum(), (~left).sum()))
+
+
+def plain_margin(x, base, trees):
+    out = []
+    for row in x:
+        total = base
+        for tree in trees:
+            node = 0
+            while tree.left[node] >= 0:
+                side = tree.mask(node)[row[tree.feature[node]]]
+                node = tree.left[node] if side else tree.right[node]
+            total += tree.value[node]
+        out.append(total)
+    return np.array(out)
+
+
+def test_trees_grow_best_leaf_first_and_lower_the_loss():
+    x, y, kinds = toy(600, 3)
+    s = boosting.Settings(n_estimators=12, num_leaves=9, min_child_samples=5, learning_rate=0.2)
+    trees = boosting.fit_rows(x, y, kinds, 0.1, 2.0 ** -30, s)
+    assert all(len(t.leaves()) <= 9 for t in trees) and len(trees[0].leaves()) == 9
+    losses = []
+    for n in (0, 4, 12):
+        p = 1 / (1 + np.exp(-plain_margin(x, 0.1, trees[:n])))
+        losses.append(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+    assert losses == sorted(losses, reverse=True)
+    first = trees[0]
+    assert first.rows[0] == 600
+    for i in range(len(first.left)):
+        if first.left[i] >= 0:
+            assert first.rows[i] == first.rows[first.left[i]] + first.rows[first.right[i]]
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 31, 64, 65, 127])
+def test_scorer_finds_the_leaf_of_every_row(leaves):
+    x, y, kinds = toy(900, leaves)
+    s = boosting.Settings(n_estimators=3, num_leaves=leaves, min_child_samples=1)
+    trees = boosting.fit_rows(x, y, kinds, 0.0, 2.0 ** -30, s)
+    got = boosting.Scorer(trees)(np.ascontiguousarray(x.T))
+    assert got == pytest.approx(plain_margin(x, 0.0, trees), abs=1e-12)
+
+
+def test_both_ways_to_fit_give_the_same_trees(spark):
+    x, y, kinds = toy(700, 5)
+    rows = spark.createDataFrame([(bytes(r), float(v)) for r, v in zip(x, y)],
+                                 "x binary, y double").repartition(5)
+    for binary in (True, False):
+        s = boosting.Settings(n_estimators=3, num_leaves=7, min_child_samples=5, binary=binary,
+                              colsample_bytree=0.7)
+        here = boosting.fit_rows(x, y, kinds, 0.2, 2.0 ** -30, s)
+        over = boosting.fit_by_rounds(rows, s, 0.2, 2.0 ** -30, kinds)
+        side = boosting.fit_in_tasks(rows.selectExpr("explode(array(4, 9)) AS model", "x", "y"),
+                                     {4: (s, 0.2, 2.0 ** -30), 9: (s, 0.2, 2.0 ** -30)}, kinds)
+        assert over == here and side == {4: here, 9: here}
+
+
+def test_more_rows_than_a_task_may_hold_are_fitted_by_rounds(labelled, categories):
+    one = learners.training_set(labelled, categories, "default_flag", True)
+    small = {**TINY, "n_estimators": 2, "num_leaves": 4}
+    near = learners.fit_models([one], [(0, small)])[0]
+    far = learners.fit_models([one], [(0, small)], rows_in_task=10)[0]
+    assert near.trees == far.trees and len(near.trees) == 2
+
+
+def test_no_rows_give_the_base_alone(labelled, categories):
+    trees = learners.fit_default_trees(labelled.limit(0), categories, TINY)
+    assert trees.trees == []
+    assert len(learners.with_raw_pd(labelled.limit(2), trees).collect()) == 2
 
 
 def pooled(y, w):
@@ -74,22 +213,30 @@ def pooled(y, w):
     return [max(min(mean[a][b] for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
 
 
-def test_calibration_is_the_isotonic_fit(spark):
+@pytest.mark.parametrize("digits,ranges", [(1, 8), (6, 1), (6, 40)])
+def test_calibration_is_the_isotonic_fit(spark, digits, ranges):
     rng = np.random.default_rng(3)
-    score = np.round(rng.random(300), 1)
+    score = np.round(rng.random(300), digits)
     flag = (rng.random(300) < score).astype(int)
-    df = spark.createDataFrame([(float(s), int(f)) for s, f in zip(score, flag)],
+    odd = [(None, 1), (float("nan"), 1), (0.5, None)]
+    df = spark.createDataFrame([(float(s), int(f)) for s, f in zip(score, flag)] + odd,
                                "raw_pd double, default_flag int")
-    fitted = learners.fit_calibration(df)
+    fitted = isotonic.fit_isotonic(df, "raw_pd", "default_flag", ranges)
     levels = np.unique(score)
     expected = pooled(np.array([flag[score == s].mean() for s in levels]),
                       np.array([(score == s).sum() for s in levels]))
-    ask = spark.createDataFrame([(float(s),) for s in levels], "raw_pd double")
-    got = [r["pd"] for r in fitted.transform(ask).orderBy("raw_pd").collect()]
+    ask = spark.createDataFrame([(float(s),) for s in levels], "s double")
+    got = [r["pd"] for r in ask.orderBy("s").select(fitted.apply(F.col("s")).alias("pd")).collect()]
     assert got == pytest.approx(expected, abs=1e-12)
-    ends = spark.createDataFrame([(-5.0,), (5.0,)], "raw_pd double")
-    assert [r["pd"] for r in fitted.transform(ends).collect()] == pytest.approx(
-        [expected[0], expected[-1]])
+    ends = spark.createDataFrame([(-5.0,), (5.0,), (None,)], "s double")
+    low, high, none = [r[0] for r in ends.select(fitted.apply(F.col("s"))).collect()]
+    assert (low, high) == pytest.approx((expected[0], expected[-1])) and none is None
+
+
+def test_calibration_of_nothing(spark):
+    df = spark.createDataFrame([], "raw_pd double, default_flag int")
+    fitted = learners.fit_calibration(df)
+    assert spark.range(1).select(fitted.apply(F.lit(0.5))).first()[0] is None
 
 
 def test_calibration_keeps_the_order(model, labelled):
@@ -105,69 +252,55 @@ def test_scoring_whole_portfolio(spark):
     assert np.allclose(scored.expected_loss, scored.pd * scored.lgd * scored.ead)
 
 
-def test_saved_model_scores_alike(tmp_path, model, labelled):
-    model.save(str(tmp_path / "m"))
-    again = learners.DefaultModel.load(str(tmp_path / "m"))
+def test_saved_model_scores_alike(spark, tmp_path, model, labelled):
+    model.save(spark, str(tmp_path / "m"))
+    again = learners.DefaultModel.load(spark, str(tmp_path / "m"))
+    assert again.trees.trees == model.trees.trees and again.calibration == model.calibration
     one = model.with_pd(labelled).select("id", "pd")
     two = again.with_pd(labelled).select("id", F.col("pd").alias("other"))
     assert one.join(two, "id").where("pd <> other").count() == 0
 
 
-def expected_margin(x, known, leaves):
-    """Margin when only the slots in ``known`` are taken from ``x``."""
-    total = 0.0
-    for value, path in leaves:
-        for slot, (tests, share) in path.items():
-            if slot in known:
-                met = all(attribution._goes_left(x[None, :], t)[0] == left for t, left in tests)
-                value = value * met
-            else:
-                value = value * share
-        total += value
-    return total
-
-
-def test_attribution_against_all_coalitions():
-    """Two trees over three slots, one slot used twice on a path, one split categorical."""
-    def node(i, left, right, slot=-1, values=(), kinds=-1, count=0, value=0.0):
-        return {"id": i, "leftChild": left, "rightChild": right, "featureIndex": slot,
-                "leftCategoriesOrThreshold": list(values), "numCategories": kinds,
-                "rawCount": count, "prediction": value}
-
-    first = [node(0, 1, 2, 0, [0.5], count=10), node(1, 3, 4, 1, [0.0, 2.0], 3, count=6),
-             node(2, 5, 6, 0, [0.8], count=4), node(3, -1, -1, count=2, value=1.0),
-             node(4, -1, -1, count=4, value=-2.0), node(5, -1, -1, count=3, value=0.5),
-             node(6, -1, -1, count=1, value=3.0)]
-    second = [node(0, 1, 2, 2, [1.5], count=10), node(1, -1, -1, count=7, value=-1.0),
-              node(2, -1, -1, count=3, value=2.0)]
-    nodes = [{**n, "treeID": t} for t, tree in enumerate([first, second]) for n in tree]
-    leaves = attribution.leaf_paths(nodes, [1.0, 0.3])
-    rng = np.random.default_rng(0)
-    x = np.column_stack([rng.random(20), rng.integers(0, 3, 20), rng.random(20) * 3])
-    got = attribution.contributions(x, attribution.payment_tables(leaves), 3)
-    base = attribution.base_value(leaves)
-    for row, phi in zip(x, got):
-        for slot in range(3):
-            others = [s for s in range(3) if s != slot]
+def expected_margin(row, known, trees):
+    """Margin when only the columns in ``known`` are taken from ``row``."""
+    def value(tree, node):
+        if tree.left[node] < 0:
+            return tree.value[node]
+        left, right = tree.left[node], tree.right[node]
+        if tree.feature[node] in known:
+            return value(tree, left if tree.mask(node)[row[tree.feature[node]]] else right)
+        return (tree.rows[left] * value(tree, left)
+                + tree.rows[right] * value(tree, right)) / tree.rows[node]
+
+    return sum(value(t, 0) for t in trees)
+
+
+@pytest.mark.parametrize("wide", [10, 1])
+def test_attribution_against_all_coalitions(monkeypatch, wide):
+    monkeypatch.setattr(attribution, "WIDE", wide)
+    x, y, kinds = toy(400, 8, 5)
+    s = boosting.Settings(n_estimators=3, num_leaves=12, min_child_samples=3)
+    trees = boosting.fit_rows(x, y, kinds, 0.0, 2.0 ** -30, s)
+    got = attribution.contributions(np.ascontiguousarray(x[:15].T), trees, 5)
+    for row, phi in zip(x[:15], got):
+        for j in range(5):
+            others = [k for k in range(5) if k != j]
             value = 0.0
-            for size in range(3):
-                weight = factorial(size) * factorial(2 - size) / factorial(3)
+            for size in range(5):
+                weight = factorial(size) * factorial(4 - size) / factorial(5)
                 for known in combinations(others, size):
-                    value += weight * (expected_margin(row, {*known, slot}, leaves)
-                                       - expected_margin(row, set(known), leaves))
-            assert phi[slot] == pytest.approx(value, abs=1e-12)
-        assert base + phi.sum() == pytest.approx(expected_margin(row, {0, 1, 2}, leaves))
+                    value += weight * (expected_margin(row, {*known, j}, trees)
+                                       - expected_margin(row, set(known), trees))
+            assert phi[j] == pytest.approx(value, abs=1e-12)
 
 
 def test_contributions_add_up_to_the_log_odds(model, labelled):
     loans = labelled.where("split = 'oot'")
     attributed = attribution.with_contributions(loans, model.trees).select(
         "id", "base", "contributions")
-    margin = model.trees.transform(loans).select(
-        "id", vector_to_array(F.col("probability"))[1].alias("p"))
+    margin = loans.select("id", model.trees.margin().alias("odds"))
     for row in attributed.join(margin, "id").collect():
-        odds = np.log(row["p"] / (1 - row["p"]))
-        assert row["base"] + sum(row["contributions"]) == pytest.approx(odds, abs=1e-9)
+        assert row["base"] + sum(row["contributions"]) == pytest.approx(row["odds"], abs=1e-9)
 
 
 def test_reason_codes(model, labelled):
@@ -181,8 +314,8 @@ def test_reason_codes(model, labelled):
     assert ((rows.shap_value > 0) == (rows.direction == "increases_risk")).all()
 
 
-def test_backtest(labelled, codes):
-    folds = backtest.backtest_default(labelled.drop("split"), codes, TINY, folds=2).collect()
+def test_backtest(labelled, categories):
+    folds = backtest.backtest_default(labelled.drop("split"), categories, TINY, folds=2).collect()
     assert [f["fold"] for f in folds] == [1, 2]
     assert all(0.4 < f["roc_auc"] <= 1 and 0 < f["brier_score"] < 0.5 for f in folds)
     assert folds[1]["n_train"] == folds[0]["n_train"] + folds[0]["n_test"]
@@ -200,18 +333,43 @@ def test_summary_of_one_fold_has_no_deviation(spark):
 def test_search_space():
     trials = search.draw_trials(200)
     assert trials == search.draw_trials(200) and trials[:3] == search.draw_trials(3)
-    assert all(15 <= t["num_leaves"] <= 127 and 0.01 <= t["learning_rate"] <= 0.2
-               and t["n_estimators"] % 50 == 0 and 200 <= t["n_estimators"] <= 800
-               for t in trials)
+    for t in trials:
+        assert all(search.SPACE[n].low <= v <= search.SPACE[n].high for n, v in t.items())
+        assert set(t) == set(search.SPACE) and t["n_estimators"] % 50 == 0
+    assert {t["n_estimators"] for t in trials} == set(range(200, 801, 50))
+
+
+def bowl(trials):
+    return [(t["reg_alpha"] - 3.0) ** 2 + 40 * (t["colsample_bytree"] - 0.7) ** 2
+            + (np.log(t["learning_rate"]) + 3.0) ** 2 for t in trials]
+
+
+def test_search_closes_in_and_repeats():
+    found = search.search(bowl, 60, seed=7)
+    assert found == search.search(bowl, 60, seed=7) and len(found) == 60
+    assert [p for p, _ in found[:10]] == search.draw_trials(10, 7)
+    losses = [v for _, v in found]
+    at_random = [min(bowl(search.draw_trials(60, seed))) for seed in range(20)]
+    assert min(losses) < np.median(at_random)
+    assert np.median(losses[-20:]) < 0.5 * np.median(losses[:20])
+
+
+def test_density_integrates_to_one():
+    d = search.Density([0.2, 0.9, 0.9], 0.0, 1.0)
+    grid = np.linspace(0, 1, 20_001)
+    assert np.exp(d.log(grid)).mean() == pytest.approx(1.0, abs=1e-3)
+    drawn = d.draw(np.random.default_rng(0), 500)
+    assert ((drawn >= 0) & (drawn <= 1)).all()
 
 
-def test_search_ranks_trials(labelled, codes):
-    trials = [{**t, "n_estimators": 2, "num_leaves": 8} for t in search.draw_trials(2)]
+def test_search_ranks_trials(labelled, categories):
     train = labelled.where("split = 'train'").drop("split")
-    found = search.tune_default(train, codes, trials)
-    aucs = [r["roc_auc"] for r in found.collect()]
-    assert len(aucs) == 2 and aucs == sorted(aucs, reverse=True)
-    assert set(search.best_params(found)) == set(trials[0])
+    found = search.tune_default(train, categories, 3, n_estimators=2, num_leaves=8).collect()
+    aucs = [r["roc_auc"] for r in found]
+    assert len(aucs) == 3 and aucs == sorted(aucs, reverse=True)
+    assert {r["n_estimators"] for r in found} == {2}
+    drawn = {t["min_child_samples"] for t in search.draw_trials(3)}
+    assert {r["min_child_samples"] for r in found} == drawn
 
 
 def test_batch_end_to_end(spark, tmp_path):
