@@ -137,56 +137,85 @@ def leaf_value(g: float, h: float, s: Settings) -> float:
 
 def best_split(sums: np.ndarray, features: np.ndarray, categorical: np.ndarray, unit: float,
                s: Settings) -> Split | None:
-    """The split of greatest gain, the first of equal ones; None if none gains.
+    """The best split of one leaf, from its histogram."""
+    return best_splits(sums[:, None], features, categorical, unit, s)[0]
 
-    ``sums`` is a histogram with a row per feature of ``features``. Numbers are cut between two
-    bytes, and missing ones go to the side that gains more. Categories are cut in the order of
-    their mean gradient, which holds the best of all divisions into two; missing ones go right.
+
+def best_splits(sums: np.ndarray, features: np.ndarray, categorical: np.ndarray, unit: float,
+                s: Settings) -> list[Split | None]:
+    """Per leaf the split of greatest gain, the first of equal ones; None if none gains.
+
+    ``sums`` is (3, leaves, features, bins), with a row per feature of ``features``. Numbers are cut
+    between two bytes, and missing ones go to the side that gains more. Categories are cut in the
+    order of their mean gradient, which holds the best of all divisions into two; missing ones go
+    right.
     """
-    g_all, h_all, n_all = sums[:, 0].sum(axis=1) * [unit, unit, 1.0]
+    leaves, width = sums.shape[1:3]
+    g_all, h_all, n_all = sums[:, :, 0].sum(axis=2) * np.array([[unit], [unit], [1.0]])
     least = max(s.min_child_samples, 1)
-    if n_all < 2 * least:
-        return None
-    known, gap = sums[:, :, :MISSING], sums[:, :, MISSING]
-    groups = np.flatnonzero(categorical)
+    rows = sums.reshape(3, leaves * width, BINS)
+    known, gap = rows[:, :, :MISSING], rows[:, :, MISSING]
+    kinds = np.tile(categorical, leaves)
+    groups = np.flatnonzero(kinds)
     if len(groups):
         g, h, n = known[:, groups]
         order = np.argsort(np.where(n > 0, g / (h + SMOOTH / unit), np.inf), axis=1, kind="stable")
         known = known.copy()
         known[:, groups] = known[:, groups[:, None], order]
     below = np.cumsum(known, axis=2)
-    gappy = np.flatnonzero(~categorical & (gap[2] > 0))
-    best = None
+    some = known[2] > 0
+    most = np.repeat(n_all - least, width)[:, None]
+    found: list[tuple | None] = [None] * leaves
+    whole = _score(g_all, np.maximum(h_all, LEAST_HESSIAN), s)
+    gappy = np.flatnonzero(~kinds & (gap[2] > 0))
     # Missing values on the right of all features, then on the left of those that have any.
-    for gap_left, rows in enumerate((np.arange(len(features)), gappy)):
-        left = below if not gap_left else below[:, rows] + gap[:, rows, None]
-        ok = (left[2] >= least) & (left[2] <= n_all - least) & (known[2, rows] > 0)
+    for gap_left in (False, True):
+        if gap_left:
+            if not len(gappy):
+                break
+            left = below[:, gappy] + gap[:, gappy, None]
+            ok = (left[2] >= least) & (left[2] <= most[gappy]) & some[gappy]
+        else:
+            left, ok = below, (below[2] >= least) & (below[2] <= most) & some
         at = np.flatnonzero(ok)
         if not len(at):
             continue
-        row, place = np.divmod(at, MISSING)
+        row = at // MISSING
+        if gap_left:
+            row = gappy[row]
+        leaf = row // width
         gl, hl = left[0].ravel()[at] * unit, left[1].ravel()[at] * unit
-        gr, hr = g_all - gl, h_all - hl
-        more = np.where(categorical[rows[row]], SMOOTH, 0.0)
+        gr, hr = g_all[leaf] - gl, h_all[leaf] - hl
+        more = np.where(kinds[row], SMOOTH, 0.0) if len(groups) and not gap_left else 0.0
         gain = (_score(gl, np.maximum(hl, LEAST_HESSIAN), s, more)
                 + _score(gr, np.maximum(hr, LEAST_HESSIAN), s, more))
         gain[(hl < LEAST_HESSIAN) | (hr < LEAST_HESSIAN)] = -np.inf
-        i = int(gain.argmax())
-        found = float(gain[i] - _score(g_all, h_all, s))
-        if found > 1e-12 and (best is None or found > best[0]):
-            n = int(left[2].ravel()[at[i]])
-            best = (found, int(rows[row[i]]), int(place[i]), gap_left,
-                    (float(gl[i]), float(hl[i]), n), (float(gr[i]), float(hr[i]), int(n_all) - n))
-    if best is None:
-        return None
-    gain, row, place, gap_left, left, right = best
-    goes = np.zeros(BINS, bool)
-    if categorical[row]:
-        goes[order[np.searchsorted(groups, row), :place + 1]] = True
-    else:
-        goes[:place + 1] = True
-        goes[MISSING] = bool(gap_left)
-    return Split(gain, int(features[row]), np.packbits(goes).tobytes(), left, right)
+        cuts = np.searchsorted(leaf, np.arange(leaves + 1))
+        for k in range(leaves):
+            if cuts[k] == cuts[k + 1]:
+                continue
+            i = int(cuts[k] + gain[cuts[k]:cuts[k + 1]].argmax())
+            more_gain = float(gain[i] - whole[k])
+            if more_gain > 1e-12 and (found[k] is None or more_gain > found[k][0]):
+                n = int(left[2].ravel()[at[i]])
+                found[k] = (more_gain, int(row[i]), int(at[i] % MISSING), gap_left,
+                            (float(gl[i]), float(hl[i]), n),
+                            (float(gr[i]), float(hr[i]), int(n_all[k]) - n))
+    out: list[Split | None] = []
+    for one in found:
+        if one is None:
+            out.append(None)
+            continue
+        gain, row, place, gap_left, left, right = one
+        goes = np.zeros(BINS, bool)
+        if kinds[row]:
+            goes[order[np.searchsorted(groups, row), :place + 1]] = True
+        else:
+            goes[:place + 1] = True
+            goes[MISSING] = gap_left
+        out.append(Split(gain, int(features[row % width]), np.packbits(goes).tobytes(), left,
+                         right))
+    return out
 
 
 def grow(measure: Callable, s: Settings, ahead: bool) -> tuple[Tree, dict]:
@@ -262,21 +291,19 @@ class _RowsHere:
         for path in paths:
             if path and path not in self.rows:
                 self.divide(path[:-1], splits[path[:-1]])
-        out = {}
         for path in paths:
-            if path not in self.sums and path:
+            if not path:
+                self.sums[path] = self._histogram(path)
+            elif path not in self.sums:
                 pair = [(*path[:-1], 0), (*path[:-1], 1)]
                 small = min(pair, key=lambda p: len(self.rows[p]))
                 other = pair[1 - pair.index(small)]
                 self.sums[small] = self._histogram(small)
                 self.sums[other] = self.sums.pop(path[:-1]) - self.sums[small]
-            elif not path:
-                self.sums[path] = self._histogram(path)
-            sums = self.sums[path]
-            total = sums[:, 0].sum(axis=1) * [self.unit, self.unit, 1.0]
-            out[path] = (tuple(total.tolist()), best_split(
-                sums, self.features, self.categorical, self.unit, self.s))
-        return out
+        sums = np.stack([self.sums[p] for p in paths], axis=1)
+        totals = sums[:, :, 0].sum(axis=2) * np.array([[self.unit], [self.unit], [1.0]])
+        splits = best_splits(sums, self.features, self.categorical, self.unit, self.s)
+        return {p: (tuple(t), split) for p, t, split in zip(paths, totals.T.tolist(), splits)}
 
 
 def fit_rows(x: np.ndarray, y: np.ndarray, categorical: np.ndarray, base: float, unit: float,
