@@ -7,6 +7,8 @@ from fnmatch import fnmatch
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lossledger.sources import quoted
+
 
 def _path(spark: SparkSession, path: str):
     """The path and its file system, so that the same code reaches local and remote storage."""
@@ -71,21 +73,35 @@ def _open_quotes(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
 
 
+def _native_csv(spark: SparkSession, path: str, mode: str):
+    return (spark.read.option("header", True).option("inferSchema", False).option("mode", mode)
+            .option("columnPruning", False).option("quote", '"').option("escape", '"'))
+
+
 def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with a header, every column text; records with a wrong column count are skipped.
 
-    Files are split over tasks, unless a line leaves a quote open: the record then goes on in the next
-    line, so all is read as with ``multiline``, each file in one task. Deliver such extracts as many
-    files. Finding out takes a pass over the lines, which ``multiline`` saves.
-    Column pruning stays off, for a pruned parser cannot see that a record is malformed.
+    Files are split over tasks. Where a line leaves a quote open, its record goes on in the next
+    line; then records are cut by the true state of each split (``sources.quoted``), still by many
+    tasks. Finding out takes a pass over the lines, which ``multiline`` saves. Line breaks inside
+    quotes come back as one newline.
     """
-    multiline = multiline or _open_quotes(spark, path)
-    return (
-        spark.read.option("header", True).option("inferSchema", False)
-        .option("mode", "DROPMALFORMED").option("columnPruning", False)
-        .option("multiLine", multiline).option("quote", '"').option("escape", '"')
-        .csv(path)
-    )
+    if not multiline and not _open_quotes(spark, path):
+        # Column pruning stays off, for a pruned parser cannot see that a record is malformed.
+        return _native_csv(spark, path, "DROPMALFORMED").csv(path)
+    return _by_state(spark, path).where(F.col(quoted.CORRUPT).isNull()).drop(quoted.CORRUPT)
+
+
+def _by_state(spark: SparkSession, path: str) -> DataFrame:
+    names = _native_csv(spark, path, "PERMISSIVE").csv(path).columns
+    header = spark.read.text(path).first()
+    return quoted.read_records(spark, path, names, header["value"] if header else "")
+
+
+def malformed_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record): the texts that ``read_text_csv`` skips."""
+    return _by_state(spark, path).where(F.col(quoted.CORRUPT).isNotNull()).select(
+        F.col(quoted.CORRUPT).alias("record"))
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str,

@@ -1,6 +1,6 @@
 import pytest
 
-from lossledger.sources import files
+from lossledger.sources import files, quoted
 
 
 def test_csv_skips_malformed_rows_only(spark, tmp_path):
@@ -22,6 +22,43 @@ def test_csv_keeps_line_breaks_in_quotes_by_default(spark, tmp_path):
     assert files.csv_to_parquet(spark, str(tmp_path / "a.csv"), str(tmp_path / "p")) == 3
 
 
+@pytest.mark.parametrize("line,opened,ends", [
+    ("a,b", False, False), ("a,b", True, True), ('a,"b', False, True), ('b",c', True, False),
+    ('a 5" pipe,b', False, False), ('"a ""x"" b",c', False, False), ('"a ""x', False, True),
+    ('","', False, False), ('","', True, True), ('"', False, True), ('"', True, False),
+    ('""', False, False), ('x"",y', True, True), ("", True, True), ("", False, False)])
+def test_state_after_a_line(line, opened, ends):
+    assert quoted.ends_open(line, opened) is ends
+
+
+def test_line_breaks_in_quotes_are_read_by_several_tasks(spark, tmp_path):
+    import random
+
+    dice = random.Random(5)
+    notes = ["plain", "", 'say "x"', "two\nlines", "a,b", "\n\n", '5" pipe', "x" * 300 + "\n" * 40,
+             '"\n,"\n,', "long\n" * 900]
+    want = []
+    for name in ("a", "b"):
+        rows = [(f"{name}{i}", dice.choice(notes), str(i)) for i in range(1500)]
+        want += rows
+        body = "".join('{},"{}",{}\n'.format(k, v.replace('"', '""'), n) if v != '5" pipe'
+                       else f"{k},{v},{n}\n" for k, v, n in rows)
+        (tmp_path / f"{name}.csv").write_text("id,note,amount\n" + body + "short\n1,2,3,4\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = files.read_text_csv(spark, str(tmp_path))
+        tasks = quoted._lines(spark, str(tmp_path)).rdd.getNumPartitions()
+        begins = quoted.open_splits(quoted._lines(spark, str(tmp_path)))
+        got = {r["id"]: (r["note"] or "", r["amount"]) for r in df.collect()}
+        bad = sorted(r["record"] for r in files.malformed_records(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks > 20 and 5 < len(begins) < tasks
+    assert got == {k: (v, n) for k, v, n in want}
+    assert bad == ["1,2,3,4", "1,2,3,4", "short", "short"]
+
+
 def test_large_csv_is_read_by_several_tasks(spark, tmp_path):
     lines = "".join(f"{i},{'x' * 90}\n" for i in range(60_000))
     (tmp_path / "a.csv").write_text("id,note\n" + lines)
