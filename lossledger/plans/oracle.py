@@ -7,6 +7,9 @@ summed as decimals, so that no sum depends on the order of its rows; only result
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import factorial
+
 from lossledger.operators.scenarios import SCENARIOS
 from lossledger.sources import columns as c
 
@@ -336,6 +339,38 @@ _FOLD_COLUMNS = ", ".join(
      ["train_start", "train_end", "test_start", "test_end"]), "f.n_train", "f.n_test"])
 
 
+# The columns of the stated ensemble, and its margin where only some of them are known: an unknown
+# one follows the shares of the loans that the trees counted.
+STATED = ["int_rate", "dti", "grade"]
+
+
+def stated_margin(known: set[str]) -> str:
+    def split(column: str, test: str, left: str, right: str, n_left: int, n_right: int) -> str:
+        if column in known:
+            return f"case when {test} then {left} else {right} end"
+        return f"(({left}) * {n_left}.0::double + ({right}) * {n_right}) / {n_left + n_right}"
+
+    low = split("dti", "coalesce(dti <= 50, true)", "-0.9::double", "-0.4::double", 25, 35)
+    inner = split("int_rate", "coalesce(int_rate <= 16, false)", "0.1::double", "0.3::double", 12, 4)
+    high = split("grade", "coalesce(grade in ('B', 'A', 'C'), false)", inner, "0.7::double", 16, 24)
+    first = split("int_rate", "coalesce(int_rate <= 12, false)", low, high, 60, 40)
+    rest = split("dti", "coalesce(dti <= 100, false)", "0.2::double", "0.6::double", 30, 25)
+    second = split("grade", "coalesce(grade in ('B', 'A'), false)", "-0.3::double", rest, 45, 55)
+    return f"-1.5::double + ({first}) + ({second})"
+
+
+def _stated_share(column: str) -> str:
+    """The Shapley value of a column: its mean effect over the orders in which columns get known."""
+    others = [x for x in STATED if x != column]
+    terms = []
+    for size in range(len(others) + 1):
+        weight = factorial(size) * factorial(len(others) - size) / factorial(len(STATED))
+        for before in combinations(others, size):
+            terms.append(f"{weight!r} * (({stated_margin({*before, column})}) "
+                         f"- ({stated_margin(set(before))}))")
+    return " + ".join(terms)
+
+
 # Trials that the registered searches run.
 TRIALS = 25
 
@@ -650,6 +685,28 @@ def texts() -> dict[str, str]:
         "where flag <> 'stable'")
     add("psi_flag_count", PSI, "select cast(count(*) as bigint) as n_rows, "
         "cast(count(*) filter (flag <> 'stable') as bigint) as n_flagged from psi_report")
+    add("category_codes", SCORED, "select id, " + ", ".join(
+        f"cast(case when {x} is null then (select count(distinct {x}) from scored) "
+        f"else dense_rank() over (order by {x} nulls last) - 1 end as integer) as {x}_code"
+        for x in c.CATEGORICAL_FEATURES) + " from scored")
+    # The isotonic fit by its definition: the greatest of the least means of all stretches.
+    add("isotonic_fit", resolved + """, points as (
+        select round(pd, 2) as score, sum(default_flag) as y, count(*) as n
+        from resolved group by 1), ranks as materialized (
+        select *, row_number() over (order by score) as i, sum(y) over (order by score) as cy,
+               sum(n) over (order by score) as cn from points), stretches as materialized (
+        select a.i as a, b.i as b, (b.cy - a.cy + a.y) / (b.cn - a.cn + a.n)::double as mean
+        from ranks a join ranks b on a.i <= b.i), least as (
+        select p.i, s.a, min(s.mean) as mean from ranks p join stretches s
+        on s.a <= p.i and s.b >= p.i group by p.i, s.a), fitted as (
+        select i, max(mean) as mean from least group by i)""",
+        """select score, cast(n as bigint) as n, round(mean, 9) as calibrated
+        from ranks join fitted using (i)""")
+    whole = stated_margin(set(STATED))
+    add("stated_trees_scores", SCORED,
+        f"select id, round(1 / (1 + exp(-({whole}))), 9) as raw_pd from scored")
+    add("stated_trees_reasons", SCORED, f"""select id, round({stated_margin(set())}, 9) as base,
+        {", ".join(f"round({_stated_share(x)}, 9) as of_{x}" for x in STATED)} from scored""")
     # What fitted models must satisfy, whatever their trees.
     add("score_portfolio_checks", SCORED, f"""select grade, cast(count(*) as bigint) as n,
         {_EAD}, 0::bigint as n_bad_pd, 0::bigint as n_bad_lgd, 0::bigint as n_bad_loss

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +17,10 @@ from lossledger.functions.numeric import exact_sum
 from lossledger.operators import (
     attribution, backtest, chronology, cleaning, contracts, learners, scenarios, search,
     stability, star)
+from lossledger.operators.binning import Bins
+from lossledger.operators.boosting import BINS, MISSING, Tree
 from lossledger.operators.discrimination import discrimination, regression_error
+from lossledger.operators.isotonic import fit_isotonic
 from lossledger.operators.ordered import exact_quantiles
 from lossledger.operators.sampling import EXPLAIN_SAMPLE, hash_sample
 from lossledger.operators.vocabulary import encoded, frequent, vocabulary
@@ -870,6 +874,68 @@ def governance_reliability(spark, folder):
                    predicted_pd=6, empirical_default_rate=6)
 
 
+# -- fits and scores that SQL repeats --------------------------------------------------------
+
+
+@query
+def category_codes(spark, folder):
+    """Every loan's category codes, joined from the vocabulary."""
+    loans = scored_loans(spark, folder)
+    return encoded(loans, vocabulary(loans)).select(
+        "id", *(f"{x}_code" for x in c.CATEGORICAL_FEATURES))
+
+
+@query
+def isotonic_fit(spark, folder):
+    """The isotonic map of scores in hundredths to default rates, fitted in several ranges."""
+    loans = resolved_loans(spark, folder).withColumn("score", F.round("pd", 2))
+    fitted = fit_isotonic(loans, "score", "default_flag", ranges=40)
+    return loans.groupBy("score").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "calibrated", F.round(fitted.apply(F.col("score")), 9))
+
+
+def stated_trees() -> learners.TreeModel:
+    """A small stated ensemble, as a fit would give one: numbers cut at edges, a category, missing
+    values on either side, a column that comes twice on a path."""
+    bins = Bins({"int_rate": [9.0, 12.0, 16.0], "dti": [50.0, 100.0]},
+                {"grade": ["B", "A", "C"]})
+
+    def goes(levels: list[int], gap: bool = False) -> bytes:
+        mask = np.zeros(BINS, bool)
+        mask[levels] = True
+        mask[MISSING] = gap
+        return np.packbits(mask).tobytes()
+
+    leaf = b""
+    first = Tree([0, 1, 2, -1, -1, 0, -1, -1, -1],
+                 [goes([0, 1]), goes([0], True), goes([0, 1, 2]), leaf, leaf, goes([0, 1, 2]),
+                  leaf, leaf, leaf],
+                 [1, 3, 5, -1, -1, 7, -1, -1, -1], [2, 4, 6, -1, -1, 8, -1, -1, -1],
+                 [0.0, 0.0, 0.0, -0.9, -0.4, 0.0, 0.7, 0.1, 0.3],
+                 [100, 60, 40, 25, 35, 16, 24, 12, 4])
+    second = Tree([2, -1, 1, -1, -1], [goes([0, 1]), leaf, goes([0, 1]), leaf, leaf],
+                  [1, -1, 3, -1, -1], [2, -1, 4, -1, -1], [0.0, -0.3, 0.0, 0.2, 0.6],
+                  [100, 45, 55, 30, 25])
+    return learners.TreeModel(bins, -1.5, True, [first, second])
+
+
+@query
+def stated_trees_scores(spark, folder):
+    """Every loan's probability by the stated ensemble."""
+    scored = learners.with_raw_pd(scored_loans(spark, folder), stated_trees())
+    return rounded(scored.select("id", "raw_pd"), raw_pd=9)
+
+
+@query
+def stated_trees_reasons(spark, folder):
+    """What each column adds to the log-odds of the stated ensemble."""
+    model = stated_trees()
+    told = attribution.with_contributions(scored_loans(spark, folder), model)
+    return told.select("id", F.round("base", 9).alias("base"), *(
+        F.round(F.col("contributions")[i], 9).alias(f"of_{x}")
+        for i, x in enumerate(model.bins.features)))
+
+
 # -- what does not depend on the fitted trees ------------------------------------------------
 
 
