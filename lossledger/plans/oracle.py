@@ -691,7 +691,7 @@ def texts() -> dict[str, str]:
         for x in c.CATEGORICAL_FEATURES) + " from scored")
     # The isotonic fit by its definition: the greatest of the least means of all stretches.
     add("isotonic_fit", resolved + """, points as (
-        select round(pd, 2) as score, sum(default_flag) as y, count(*) as n
+        select floor(int_rate * 4)::double / 4 as score, sum(default_flag) as y, count(*) as n
         from resolved group by 1), ranks as materialized (
         select *, row_number() over (order by score) as i, sum(y) over (order by score) as cy,
                sum(n) over (order by score) as cn from points), stretches as materialized (

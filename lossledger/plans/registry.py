@@ -887,8 +887,10 @@ def category_codes(spark, folder):
 
 @query
 def isotonic_fit(spark, folder):
-    """The isotonic map of scores in hundredths to default rates, fitted in several ranges."""
-    loans = resolved_loans(spark, folder).withColumn("score", F.round("pd", 2))
+    """The isotonic map of interest rates, in quarters, to default rates, fitted in several
+    ranges."""
+    loans = resolved_loans(spark, folder).withColumn(
+        "score", F.floor(F.col("int_rate") * 4).cast("double") / 4)
     fitted = fit_isotonic(loans, "score", "default_flag", ranges=40)
     return loans.groupBy("score").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "calibrated", F.round(fitted.apply(F.col("score")), 9))
