@@ -1,11 +1,12 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the distinct character n-grams of a text, hashed to a fixed number of columns; runs of
-white space count as one blank, A-Z are lower-cased. Each column gets the log ratio of its rates in
+Features are the distinct character n-grams of a text, hashed to a fixed number of columns; a
+character is a code point of UTF-8, runs of white space count as one blank, A-Z are lower-cased. Each column gets the log ratio of its rates in
 toxic and other texts; the columns that separate most enter a logistic regression whose inputs are
 those ratios (0 where the n-gram is absent). The model is fitted on at most ``FIT`` labelled texts,
-half of each class if there are enough, picked by a hash of the id; the intercept is then moved to
-the rate of the classes among all labels, so that scores mean the same at every size of the input.
+half of each class if there are enough, picked by a hash of the id among the documents that are
+there; the intercept is then moved to the rate of the classes among all labelled documents, so that
+scores mean the same at every size of the input.
 It is fitted on whole texts and applied to whole texts. What reaches the driver is bounded by
 ``FIT``, ``COLUMNS`` and ``KEPT``.
 """
@@ -54,14 +55,28 @@ def flattened(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, total
 
 
-def grams(data: np.ndarray, n: int, columns: int) -> np.ndarray:
-    """The column of the n-gram at each byte."""
-    if len(data) < n:
+def characters(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number per character of UTF-8 text, its bytes in sequence, and bounds in characters."""
+    begins = (data & 0xC0) != 0x80
+    if begins.all():
+        return data.astype(np.uint64), bounds
+    starts = np.flatnonzero(begins)
+    size = np.diff(np.append(starts, len(data)))
+    out = data[starts].astype(np.uint64)
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        out[more] |= data[starts[more] + k].astype(np.uint64) << np.uint64(8 * k)
+    return out, np.searchsorted(starts, bounds)
+
+
+def grams(letters: np.ndarray, n: int, columns: int) -> np.ndarray:
+    """The column of the n-gram that begins at each character."""
+    if len(letters) < n:
         return np.zeros(0, np.int64)
     up, _ = a.powers(_BASE, n)
-    out = np.full(len(data) - n + 1, np.uint64(n))
+    out = np.full(len(letters) - n + 1, np.uint64(n))
     for j in range(n):
-        out += data[j:len(data) - n + 1 + j].astype(np.uint64) * up[j]
+        out += letters[j:len(letters) - n + 1 + j] * up[j]
     return (a.mix(out) >> np.uint64(64 - columns.bit_length() + 1)).astype(np.int64)
 
 
@@ -74,7 +89,7 @@ class Columns:
 
     def __call__(self, column: pa.Array):
         for _, data, offsets in a.text_slices(column):
-            flat, bounds = flattened(data, offsets)
+            flat, bounds = characters(*flattened(data, offsets))
             found = [grams(flat, n, self.columns) for n in self.sizes]
             for x, y in zip(bounds, bounds[1:]):
                 own = np.concatenate([g[x:max(x, y - n + 1)]
@@ -200,21 +215,27 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """The model of the labelled texts that are not held out.
 
     Labels other than 0 and 1 and labels without a document are ignored; of several labels of a
-    document the largest holds. Classes are taken at different rates where one has more than half
-    of ``fit``; the intercept makes up for it. With no texts of one class, or none at all, every
-    score is the rate of class 1, one half at worst.
+    document the largest holds, and of several documents with one id the text of the smallest hash
+    is learned. Classes are taken at different rates where one has more than half of ``fit``; the
+    intercept makes up for it. With no texts of one class, or none at all, every score is the rate
+    of class 1, one half at worst.
     """
-    usable = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()
-                           & ~held_out(F.col(key)))
-              .groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label")))
+    rated = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()
+                          & ~held_out(F.col(key)))
+             .groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label")))
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"),
+                        F.xxhash64(text).alias("hash"))
+    # One row of three numbers per labelled document that is there: quota and rates go by these.
+    present = texts.where(~held_out(F.col("key"))).groupBy("key").agg(F.min("hash").alias("hash"))
+    usable = stage(rated.join(present, "key"), "usable")
     counted = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     moved = shift(counted, fit // 2)
     picked = [usable.where(F.col("label") == x).orderBy(F.xxhash64("key"), "key").limit(fit // 2)
               for x in (0, 1)]
     picked = stage(picked[0].union(picked[1]), "labels")
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    # At most ``fit`` rows of two numbers.
-    texts = stage(texts.join(F.broadcast(picked), "key"), "labelled")
+    # At most ``fit`` rows of three numbers; equal rows of a document collapse in the tasks.
+    texts = stage(texts.join(F.broadcast(picked), ["key", "hash"]).groupBy("key", "label").agg(
+        F.first("text").alias("text")), "labelled")
     counts = texts.select("text", "label").mapInArrow(
         _count, "column int, toxic long, other long").groupBy("column").agg(
             F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where(

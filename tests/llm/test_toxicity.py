@@ -1,4 +1,5 @@
 import math
+import re
 import zlib
 
 import numpy as np
@@ -9,11 +10,12 @@ from lossledger.llm import toxicity
 
 
 def test_features_are_the_distinct_ngrams():
-    texts = ["Ab  c\nab C", "", None, " x ", "idiot", "é" * 3]
+    texts = ["Ab  c\nab C", "", None, " x ", "idiot", "é" * 3, "ÀÉ日本語 z", "🙂🙂 a🙂"]
     find = toxicity.Columns(1 << 20, (2, 3))
     got = [sorted(x) for x in find(pa.array(texts))]
     for text, own in zip(texts, got):
-        flat = (" " + "".join(w + " " for w in (text or "").lower().split())).encode()
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        flat = " " + "".join(w + " " for w in low.split())
         want = set()
         for n in (2, 3):
             want |= {flat[i:i + n] for i in range(len(flat) - n + 1)}
@@ -76,6 +78,76 @@ def test_a_small_fit_keeps_the_rate_of_the_labels(lspark):
     assert abs(score.mean() - toxic.mean()) < 0.05
 
 
+def plain_scores(texts, labelled):
+    """The classifier without Spark, sparse columns and limited memory: Newton steps on a matrix."""
+    sets = [set(next(iter(toxicity.Columns()(pa.array([t])))).tolist()) for t in texts]
+    y = np.array([label for _, label in labelled])
+    own = [sets[i] for i, _ in labelled]
+    counts = {}
+    for found, label in zip(own, y):
+        for c in found:
+            counts.setdefault(c, [0, 0])[label] += 1
+    columns = sorted(c for c, n in counts.items() if sum(n) >= toxicity.LEAST_TEXTS)
+    n = np.array([counts[c] for c in columns], float)
+    p, q = n[:, 1] + 1, n[:, 0] + 1
+    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
+    best = sorted(range(len(columns)), key=lambda i: -abs(ratio[i]) * math.sqrt(n[i].sum()))
+    at = sorted(best[:toxicity.KEPT])
+    row = lambda found: [ratio[i] * (columns[i] in found) for i in at] + [1.0]
+    x = np.array([row(found) for found in own])
+    ridge = np.diag([toxicity.RIDGE] * len(at) + [0.0])
+    w = np.zeros(len(at) + 1)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        grad = x.T @ (p - y) + ridge @ w
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge + 1e-9 * np.eye(len(w)),
+                             grad)
+    return [1 / (1 + math.exp(-(np.array(row(found)) @ w))) for found in sets]
+
+
+def some_documents(n, seed=2):
+    dice = np.random.default_rng(seed)
+    words = ["day", "sun", "rain", "idiot", "stupid", "walk", "tree", "né", "日本"]
+    rows = []
+    for i in range(n):
+        toxic = int(dice.random() < 0.3)
+        odds = np.array([3, 3, 3, 1 + 4 * toxic, 1 + 4 * toxic, 3, 3, 1, 1], float)
+        rows.append((i, " ".join(dice.choice(words, 12, p=odds / odds.sum())), toxic))
+    return rows
+
+
+def test_scores_are_those_of_a_plain_fit(lspark):
+    rows = some_documents(150)
+    docs = lspark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    labels = lspark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    used = [(i, r[2]) for i, r in enumerate(rows) if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    want = plain_scores([r[1] for r in rows], used)
+    found = toxicity.scored(docs, toxicity.train(docs, labels)).collect()
+    for r in found:
+        assert r["score"] == pytest.approx(want[r["doc_id"]], abs=0.02)
+
+
+def test_labels_without_documents_take_no_place(lspark):
+    rows = some_documents(400)
+    docs = lspark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    own = lspark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    others = lspark.range(1000, 20_600).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
+    one = toxicity.train(docs, own, fit=200)
+    two = toxicity.train(docs, own.union(others), fit=200)
+    assert len(one.kept) > 20 and (one.kept == two.kept).all()
+    assert (one.weights == two.weights).all() and one.bias == two.bias
+
+
+def test_a_document_that_repeats_is_learned_once(lspark):
+    rows = some_documents(60)
+    docs = lspark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = lspark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    hot = next(r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1)
+    more = docs.union(lspark.range(3000).selectExpr(f"{hot[0]}L", f"'{hot[1]}'"))
+    one, two = toxicity.train(docs, labels), toxicity.train(more, labels)
+    assert (one.kept == two.kept).all() and (one.weights == two.weights).all()
+
+
 def test_shift_of_the_intercept():
     assert toxicity.shift({0: 800, 1: 100}, 1000) == 0
     assert toxicity.shift({0: 800, 1: 100}, 400) == pytest.approx(math.log(1 / 2))
