@@ -2,21 +2,23 @@
 
 Words are runs of letters, digits and non-ASCII bytes, in lower case; in scripts without spaces
 between words every character is a word. A passage of a document matches an item of n words if
-their edit distance over words is at most (1 - similarity) * n. An item of fewer than
-``LEAST_WORDS`` words is matched by the same words in the same order only.
+their edit distance over words is at most int((1 - similarity) * n), at every length: an item of
+fewer than five words matches its own words only at similarity 0.8.
 
-1. Items are few and texts are many, so items are sent to all tasks, in portions of bounded size;
-   each portion is one pass over the documents.
+1. Items are few and texts are many, so distinct item texts are sent to all tasks, in portions of
+   bounded size; each portion is one pass over the documents.
 2. Windows as long as an item are looked at only where they could match: each edit breaks at most
    two word pairs, so a match keeps at least n - 1 - 2k of the n - 1 pairs of an item of its
    length. This bound loses no match.
-3. The CGK random walk reads a window: at each of 3n steps it writes the current word, and a random
-   bit that depends on step and word tells whether to move on. Few edits change few of the 3n
-   places. Each repetition samples ``PLACES`` places of one of ``WALKS`` walks as the bucket key;
-   the number of repetitions follows from the target recall at the largest distance.
+3. The CGK random walk reads a window: at each step it writes the current word, and a random bit
+   that depends on step and word tells whether to move on. Few edits change few of the places. The
+   first n steps are used: a walk cannot pass the end of a window in them, so no place is padding,
+   on which all windows would agree. Each repetition samples ``PLACES`` places of one of ``WALKS``
+   walks as the bucket key. Unrelated windows share a bucket in less than one case of a hundred; the
+   number of repetitions follows from the target recall at the largest distance.
 4. Windows and items that share a bucket are verified: exact edit distance of the item to the best
    part of the document around the window.
-5. Short items are looked up by the hash of all their words at every place of a document.
+5. Items that allow no edit are looked up by the hash of all their words at every place.
 """
 
 from __future__ import annotations
@@ -31,15 +33,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lossledger.llm import arrays as a
+from lossledger.session import stage
 
 SIMILARITY = 0.8
-# With edits, items of fewer words are too short to tell a match from chance.
-LEAST_WORDS = 8
-PLACES = 2
-WALKS = 5
+PLACES = 4
+WALKS = 8
 RECALL = 0.99
 # Share of places on which window and item agree at the largest distance, as measured in tests.
-AGREEMENT = 0.4
+AGREEMENT = 0.5
+# Numbers that the walks of the windows of one step of a task take up at once.
+STEP_VALUES = 1 << 22
 # Text of items that a task holds at once.
 PORTION = 16 << 20
 
@@ -111,30 +114,40 @@ class Walk:
         rng = np.random.default_rng(n)
         self.n, self.count = n, count
         self.walks = min(WALKS, count)
-        self.sampled = rng.integers(0, 3 * n, (count, places))
-        self.seeds = rng.integers(0, 2 ** 64, (self.walks, 3 * n), dtype=np.uint64)
-
-    def embed(self, windows: np.ndarray) -> np.ndarray:
-        """The 3n words that each walk writes; ``windows`` has one more column, the padding."""
+        places = min(places, n)
+        self.sampled = np.array([rng.choice(n, places, replace=False) for _ in range(count)])
+        self.seeds = rng.integers(0, 2 ** 64, (self.walks, n), dtype=np.uint64) | np.uint64(1)
+        self.mixers = rng.integers(0, 2 ** 64, (count, places), dtype=np.uint64) | np.uint64(1)
+
+    @property
+    def at_once(self) -> int:
+        """Windows that may walk together."""
+        return max(1, STEP_VALUES // (2 * self.n + self.walks * min(self.n, self.sampled.size)
+                                      + self.count))
+
+    def embed(self, windows: np.ndarray) -> dict[int, np.ndarray]:
+        """What each walk writes at the sampled steps: (windows, walks) per step."""
         rows = np.arange(len(windows))[:, None]
         at = np.zeros((len(windows), self.walks), np.int64)
-        out = np.empty((3 * self.n, len(windows), self.walks), np.uint64)
-        for step in range(3 * self.n):
-            word = out[step] = windows[rows, at]
-            at += (a.mix(word ^ self.seeds[:, step]) >> np.uint64(63)).astype(np.int64)
-            np.minimum(at, self.n, out=at)
+        wanted = set(self.sampled.ravel().tolist())
+        out = {}
+        for step in range(max(wanted) + 1):
+            word = windows[rows, at]
+            if step in wanted:
+                out[step] = word
+            # Hashes of words are mixed already: the top bit of a product is a fair coin.
+            at += ((word * self.seeds[:, step]) >> np.uint64(63)).astype(np.int64)
         return out
 
     def keys(self, windows: np.ndarray) -> np.ndarray:
         """One bucket key per window and repetition."""
         written = self.embed(windows)
         key = np.empty((len(windows), self.count), np.uint64)
-        for r, places in enumerate(self.sampled):
+        for r, places in enumerate(self.sampled.tolist()):
             own = np.full(len(windows), np.uint64(r + 1))
-            for place in places:
-                own = a.mix(own * np.uint64(0x9E3779B97F4A7C15)
-                            + written[place, :, r % self.walks])
-            key[:, r] = own
+            for place, odd in zip(places, self.mixers[r]):
+                own += written[place][:, r % self.walks] * odd
+            key[:, r] = a.mix(own)
         return key
 
 
@@ -154,8 +167,8 @@ def _densest(pairs: int, least: int) -> int:
 class Items:
     """A portion of the items, ready to be looked up."""
 
-    def __init__(self, rows: list[tuple], similarity: float = SIMILARITY,
-                 least: int = LEAST_WORDS, recall: float = RECALL, short: bool = False):
+    def __init__(self, rows: list[tuple], similarity: float = SIMILARITY, shortest: int = 1,
+                 recall: float = RECALL):
         texts = pa.array([t for _, t in rows], pa.string())
         self.ids, self.words = [], []
         brief = []
@@ -163,10 +176,12 @@ class Items:
         for _, data, offsets in a.text_slices(texts):
             bounds, words = words_of(data, offsets)
             for x, y in zip(bounds, bounds[1:]):
-                if y - x >= least:
+                if y - x < max(shortest, 1):
+                    pass
+                elif int((1 - similarity) * (y - x) + 1e-9):
                     self.ids.append(rows[at][0])
                     self.words.append(words[x:y])
-                elif short and y > x:
+                else:
                     brief.append((rows[at][0], words[x:y]))
                 at += 1
         self.edits = [int((1 - similarity) * len(w) + 1e-9) for w in self.words]
@@ -180,7 +195,7 @@ class Items:
         self._short(brief)
 
     def _short(self, brief: list[tuple]) -> None:
-        """Per length below the least: the sorted hashes of its items, and the items of each."""
+        """Per length without edits: the sorted hashes of its items, and the items of each."""
         found: dict[int, dict[int, list[int]]] = {}
         for key, words in brief:
             whole = int(a.gram_hashes(words, len(words))[0])
@@ -216,7 +231,9 @@ class Items:
             flat = np.concatenate([self.words[i] for i in own])
             starts = np.arange(len(own)) * n
             windows = padded(flat, starts, starts + n, n)
-            keys = self.walks[n].keys(windows).ravel()
+            step = self.walks[n].at_once
+            keys = np.concatenate([self.walks[n].keys(windows[i:i + step]).ravel()
+                                   for i in range(0, len(windows), step)])
             order = np.argsort(keys, kind="stable")
             self.buckets[n] = keys[order], np.repeat(own, self.count)[order]
 
@@ -250,7 +267,7 @@ class Items:
                 yield text, item, start, size, edits
 
     def _exact(self, bounds: np.ndarray, words: np.ndarray):
-        """Matches of the short items. Of those of one item that overlap, the first counts."""
+        """Matches of the items without edits. Of those of one item that overlap, the first counts."""
         for n, (hashes, items) in self.short.items():
             whole = a.gram_hashes(words, n)
             place = np.minimum(np.searchsorted(hashes, whole), len(hashes) - 1)
@@ -288,8 +305,9 @@ class Items:
             total = np.append(0, np.cumsum((own_bits & self.bit[n]) != 0))
             until = np.minimum(np.arange(len(at)) + n - 1, len(at))
             chosen = np.flatnonzero(total[until] - total[:-1] >= self.least_pairs[n])
-            for i in range(0, len(chosen), 2048):
-                part = chosen[i:i + 2048]
+            step = self.walks[n].at_once
+            for i in range(0, len(chosen), step):
+                part = chosen[i:i + step]
                 yield from self._length(n, at[part], begin[part], stop[part], words, pairs)
 
     def _length(self, n, starts, begins, stops, words, pairs):
@@ -332,23 +350,29 @@ def apart(hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return sorted(kept, key=lambda h: h[1])
 
 
-def _distances(item: np.ndarray, part: np.ndarray, free: bool) -> np.ndarray:
-    """Edit distance of the item to the part up to each place; ``free``: from any place on."""
-    step = np.arange(len(item) + 1)
-    differ = (part[:, None] != item[None, :]).astype(np.int64)
-    column, new = step.copy(), step.copy()
-    out = np.empty(len(part) + 1, np.int64)
-    out[0] = column[-1]
-    for j in range(len(part)):
-        np.add(column[:-1], differ[j], out=new[1:])
-        new[0] = 0 if free else j + 1
-        column += 1
-        np.minimum(new[1:], column[1:], out=new[1:])
-        new -= step
-        np.minimum.accumulate(new, out=new)
-        new += step
-        column, new = new, column
-        out[j + 1] = column[-1]
+def _distances(item: np.ndarray, part: np.ndarray, free: bool) -> list[int]:
+    """Edit distance of the item to the part up to each place; ``free``: from any place on.
+
+    A column of the table of distances is two whole numbers, one bit a word of the item, that say
+    where it rises and falls; a word of the part turns them by a few operations on whole numbers.
+    """
+    size = len(item)
+    whole, top = (1 << size) - 1, 1 << (size - 1)
+    places: dict[int, int] = {}
+    for i, word in enumerate(item.tolist()):
+        places[word] = places.get(word, 0) | 1 << i
+    rises, falls, last = whole, 0, size
+    out = [last]
+    for word in part.tolist():
+        same = places.get(word, 0)
+        level = (((same & rises) + rises) ^ rises) | same
+        up, down = falls | (whole & ~(level | rises)), rises & level
+        last += bool(up & top) - bool(down & top)
+        out.append(last)
+        up = (up << 1 | (not free)) & whole
+        down = down << 1 & whole
+        steep = same | falls
+        rises, falls = down | (whole & ~(steep | up)), up & steep
     return out
 
 
@@ -362,12 +386,12 @@ def best_part(item: np.ndarray, part: np.ndarray, edits: int) -> tuple[int, int,
         if len(same):
             return int(same[0]), len(item), 0
     ends = _distances(item, part, True)
-    end = int(ends.argmin())
+    end = ends.index(min(ends))
     if ends[end] > edits:
         return None
     back = _distances(item[::-1], part[:end][::-1], False)
-    size = int(back.argmin())
-    return end - size, size, int(ends[end])
+    size = back.index(min(back))
+    return end - size, size, ends[end]
 
 
 def every_part(item: np.ndarray, part: np.ndarray, edits: int):
@@ -391,49 +415,52 @@ def every_part(item: np.ndarray, part: np.ndarray, edits: int):
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
           item_key: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
-          least_words: int = LEAST_WORDS, short: bool = False) -> DataFrame:
+          shortest: int = 1) -> DataFrame:
     """(key, item key, first_word, n_words, edits, similarity) per match of an item in a document.
 
     Places count the words that decontamination sees. Overlapping matches of one item are one row.
-    With ``short`` an item of fewer than ``least_words`` words matches its own words, else nothing.
-    A document or an item without words or text matches nothing. Rows with equal or null keys are
-    searched one by one. No documents or no items give no rows.
+    An item of fewer than ``shortest`` words matches nothing; a document or an item without words or
+    text never does. Rows with equal or null keys are searched one by one; items with equal texts
+    are searched once and all reported. No documents or no items give no rows.
     """
-    item_rows = items.select(F.col(item_key).alias("i"), F.col(item_text).alias("t")).where(
-        "t is not null")
-    size = item_rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    spark = docs.sparkSession
+    told = items.select(F.col(item_key).alias("i"), F.col(item_text).alias("t")).where(
+        "t is not null").withColumn("h", F.xxhash64("t"))
+    texts = stage(told.groupBy("h").agg(F.min("t").alias("t")), "items")
+    size = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     portions = max(1, -(-size // PORTION))
-    out = T.StructType([T.StructField(key, docs.schema[key].dataType),
-                        T.StructField(item_key, items.schema[item_key].dataType)]
-                       + [T.StructField(*h) for h in _HITS])
+    out = T.StructType([T.StructField("key", docs.schema[key].dataType),
+                        T.StructField("h", T.LongType())] + [T.StructField(*h) for h in _HITS])
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     found = None
     for n in range(portions):
-        portion = item_rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(portions)) == n)
-        sent = sorted((tuple(r) for r in portion.collect()), key=repr)
-        shared = docs.sparkSession.sparkContext.broadcast(sent)
-        part = rows.mapInArrow(_searcher(shared, key, item_key, similarity, least_words, short),
-                               out)
+        portion = texts.where(F.pmod(F.xxhash64("h"), F.lit(portions)) == n)
+        shared = spark.sparkContext.broadcast(sorted(map(tuple, portion.collect())))
+        part = stage(rows.mapInArrow(_searcher(shared, similarity, shortest), out), "hits")
+        shared.unpersist()
         found = part if found is None else found.union(part)
-    return found
+    names = told.select(F.col("i"), F.col("h").alias("of"))
+    return found.join(names, F.col("h") == F.col("of")).select(
+        F.col("key").alias(key), F.col("i").alias(item_key), *(h for h, _ in _HITS))
 
 
-def _searcher(shared, key, item_key, similarity, least_words, short):
+def _searcher(shared, similarity, shortest):
     def found(items, batch):
         for row, data, offsets in a.text_slices(batch.column("text")):
             for t, *rest in items.matches(*words_of(data, offsets)):
                 yield row + t, *rest
 
     def search(batches):
-        items = Items(shared.value, similarity, least_words, short=short)
+        items = Items(shared.value, similarity, shortest)
         for batch in batches:
             for hits in batched(found(items, batch), _ROWS):
                 at, item, first, size, edits = zip(*hits)
                 near = [1 - e / len(items.words[i]) for e, i in zip(edits, item)]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("key").take(pa.array(at)), pa.array([items.ids[i] for i in item]),
+                    batch.column("key").take(pa.array(at)),
+                    pa.array([items.ids[i] for i in item], pa.int64()),
                     pa.array(first, pa.int64()), pa.array(size, pa.int64()),
                     pa.array(edits, pa.int64()), pa.array(near, pa.float64())],
-                    names=[key, item_key, *(h for h, _ in _HITS)])
+                    names=["key", "h", *(h for h, _ in _HITS)])
 
     return search
