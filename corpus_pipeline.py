@@ -57,12 +57,13 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a benchmark item, however short the item."""
+    """Documents that hold no passage of a benchmark item. An item of a single word is no passage:
+    it says nothing about where a document comes from, and is not looked for."""
     prepared(spark)
     rows = _numbered(docs)
     hits = decontaminate.leaks(rows.select("place", F.col("doc.text").alias("text")),
                                spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="place",
-                               short=True)
+                               shortest=2)
     gone = stage(hits.select("place").distinct(), "leaks")
     return rows.join(gone, "place", "left_anti").select("doc.*")
 
