@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from lossledger.session import stage, tune
 
 ROW = "_row"
+# Rows of two numbers that are broadcast.
+SMALL = 100_000
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -52,14 +54,16 @@ def _offsets(local: DataFrame, part: str) -> DataFrame:
 
 
 def running_total(totals: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """The sum of ``value`` over smaller keys. One row per task or file, never per record."""
+    """The sum of ``value`` over smaller keys. One row per task or file, never per record: up to
+    ``SMALL`` of them are marked to be broadcast, so that what joins them stays where it is."""
     schema = T.StructType([totals.schema[key], T.StructField(name, T.LongType())])
     rows = sorted((r[0], r[1]) for r in totals.select(key, value).collect())
     before, out = 0, []
     for k, n in rows:
         out.append((k, before))
         before += n
-    return totals.sparkSession.createDataFrame(out, schema)
+    found = totals.sparkSession.createDataFrame(out, schema)
+    return F.broadcast(found) if len(out) <= SMALL else found
 
 
 def unique_rows(df: DataFrame, key: str, *ties: str) -> tuple[DataFrame, bool]:

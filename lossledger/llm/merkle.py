@@ -77,7 +77,8 @@ def manifest(docs: DataFrame, key: str = "doc_id", group: str = "lang",
     slim = docs.select(F.struct(*carry).alias("payload") if carry else F.lit(None).cast("int")
                        .alias("payload"), F.col(group).alias("grp"), F.col(key).alias("key"),
                        leaf(fields).alias("digest"))
-    rows = ranked(slim, F.col("grp").asc_nulls_first(), F.col("key").asc_nulls_last(),
+    # Staged first: dealing rows by ranges reads them twice, and digests are costly.
+    rows = ranked(stage(slim, "leaves"), F.col("grp").asc_nulls_first(), F.col("key").asc_nulls_last(),
                   F.col("digest"), name="lo").drop("key")
     trees = stage(rows.groupBy("grp").agg(F.min("lo").alias("first"),
                                           F.count(F.lit(1)).alias("size")), "trees")

@@ -197,13 +197,18 @@ def write_coded(docs: DataFrame, folder: str, path: str, key: str = "doc_id", te
 
     Each file holds whole documents that follow on one another, and its header tells how many ids
     come before it. A null text is empty; rows without a key come last; equal keys keep one row
-    each, in any order. No rows write no files. The frequency table, over the ids of all texts, is a Parquet table beside them.
+    each, in any order, and are dealt over tasks like others. Keys are whole numbers; any other kind
+    is refused. No rows write no files. The frequency table, over the ids of all texts, is a Parquet
+    table beside them.
     """
     spark = docs.sparkSession
-    order = F.col("key").asc_nulls_last()
-    ordered = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    packed = stage(ordered.repartitionByRange(partitions(spark), order)
-                   .sortWithinPartitions(order)
+    if docs.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise ValueError(f"{key} is no column of whole numbers")
+    order = [F.col("key").asc_nulls_last(), F.col("tie")]
+    ordered = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"),
+                          F.monotonically_increasing_id().alias("tie"))
+    packed = stage(ordered.repartitionByRange(partitions(spark), *order)
+                   .sortWithinPartitions(*order).drop("tie")
                    .withColumn("part", F.spark_partition_id().cast("long"))
                    .mapInArrow(lambda it: _pack(it, path, end), _PACKED_SQL), "packed")
     counts = packed.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(
