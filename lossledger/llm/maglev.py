@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lossledger.llm.frames import ROW, ranked
 
@@ -64,8 +65,9 @@ def placed(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS,
 
     Rows with equal keys share a shard, unless the key alone holds more than ``hot`` of an average
     shard: its rows, equal ones too, are then numbered and dealt to several shards in turn, ``piece``
-    telling which. Only rows of such keys are shuffled. Null is a key like any other. Columns called slot, shard or piece are replaced. The hot
-    keys are fewer than ``len(shards) / hot``, so they are sent to all tasks.
+    telling which. Only rows of such keys are shuffled. Null is a key like any other. Columns called
+    slot, shard or piece are replaced. The hot keys are fewer than ``len(shards) / hot``, so they are
+    sent to all tasks.
     """
     rows = df.drop("slot", "shard", "piece")
     counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
@@ -94,8 +96,12 @@ def placed(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS,
     return rows.withColumn("shard", _lookup(table, F.col("slot")))
 
 
-def write_shards(rows: DataFrame, folder: str, tasks_per_shard: int = 4) -> None:
-    """One folder per shard. Several tasks share a shard, so no task holds a whole one."""
-    spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c != "shard"]),
-                    F.lit(tasks_per_shard))
-    rows.repartition("shard", spread).write.partitionBy("shard").parquet(folder)
+def write_shards(rows: DataFrame, folder: str) -> None:
+    """One folder per shard. Rows are rebalanced by shard: Spark cuts a shard into tasks of the
+    advised partition size, however large it is, and puts small ones together."""
+    rows.hint("rebalance", "shard").write.partitionBy("shard").parquet(folder)
+
+
+def read_shards(spark: SparkSession, folder: str, kind: StructType) -> DataFrame:
+    """The rows of all shards as they were written; ``kind`` is their schema."""
+    return spark.read.schema(kind).parquet(folder).select(*kind.names)

@@ -14,7 +14,7 @@ from lossledger.llm import (
     chat, decontaminate, maglev, merkle, minhash, packing, periodic, rans, substrings, toxicity,
     vafile, vector_dedup, warc)
 from lossledger.llm.frames import prepared
-from lossledger.session import stage
+from lossledger.session import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -165,9 +165,12 @@ def op6_decontamination(spark, folder):
 
 @query()
 def op7_sharding(spark, folder):
-    """Every document with its slot and shard."""
-    docs = table(spark, folder, "documents").select("doc_id")
-    return maglev.placed(docs, "doc_id", maglev.names())
+    """Every document with its slot and shard, read back from the shards that hold whole rows."""
+    rows = maglev.placed(table(spark, folder, "documents"), "doc_id", maglev.names())
+    path = staging_path(spark, "shards")
+    maglev.write_shards(rows, path)
+    return maglev.read_shards(spark, path, rows.schema).select(
+        "doc_id", "slot", "piece", "shard", F.sha2("text", 256).alias("text_sha256"))
 
 
 @query()

@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 
 import pytest
@@ -7,8 +8,6 @@ from lossledger.llm import maglev
 
 def brute(shards, slots):
     """Fills the table from whole preference lists."""
-    import hashlib
-
     prefer = []
     for s in shards:
         h = hashlib.blake2b(s.encode(), digest_size=16).digest()
@@ -92,6 +91,39 @@ def test_shards_are_written(lspark):
     placed = maglev.placed(docs, "doc_id", maglev.names(5), 101)
     folder = staging_path(lspark, "shards")
     maglev.write_shards(placed, folder)
-    back = lspark.read.parquet(folder)
-    assert sorted((r.doc_id, r.shard) for r in back.collect()) == sorted(
-        (r.doc_id, r.shard) for r in placed.collect())
+    back = maglev.read_shards(lspark, folder, placed.schema)
+    assert back.columns == placed.columns
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, placed.collect()))
+
+
+def test_a_large_shard_is_written_by_many_tasks(lspark):
+    from lossledger.session import staging_path
+
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = lspark.conf.get(size)
+    lspark.conf.set(size, "200KB")
+    try:
+        rows = lspark.range(0, 20_000, 1, 16).selectExpr(
+            "id", "sha2(string(id), 512) as text", "if(id % 3 = 0, 0, 1 + id % 4) as shard")
+        folder = staging_path(lspark, "shards")
+        maglev.write_shards(rows, folder)
+        back = maglev.read_shards(lspark, folder, rows.schema)
+        files = Counter(r.shard for r in back.selectExpr(
+            "shard", "_metadata.file_path as f").distinct().collect())
+        assert files[0] > 2 and back.count() == 20_000
+    finally:
+        lspark.conf.set(size, before)
+
+
+def test_query_places_whole_rows(lspark):
+    from lossledger.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in lspark.read.parquet(f"{folder}/documents.parquet").collect()}
+    table = maglev.lookup_table(maglev.names())
+    rows = queries.QUERIES["op7_sharding"](lspark, folder).collect()
+    assert len(rows) == len(docs) and {r.doc_id for r in rows} == set(docs)
+    for r in rows:
+        text = docs[r.doc_id]
+        expected = None if text is None else hashlib.sha256(text.encode()).hexdigest()
+        assert r.text_sha256 == expected and r.shard == table[r.slot]
