@@ -11,10 +11,15 @@ def ratio(top: Column, bottom: Column) -> Column:
     return top / F.nullif(bottom.cast("double"), F.lit(0.0))
 
 
+def decimal_sum(value: Column) -> Column:
+    """A sum of doubles as a decimal of twelve digits after the point. Such sums add up exactly."""
+    return F.sum(value.cast("decimal(38,12)"))
+
+
 def exact_sum(value: Column) -> Column:
     """A sum of doubles that does not depend on the order of the rows: terms count as decimals of
     twelve digits after the point."""
-    return F.sum(value.cast("decimal(38,12)")).cast("double")
+    return decimal_sum(value).cast("double")
 
 
 def exact_avg(value: Column) -> Column:

@@ -83,16 +83,21 @@ def with_realized_lgd(loans: DataFrame) -> DataFrame:
     return loans.where(F.col("actual_lgd").isNotNull())
 
 
+def audit_counts() -> dict[str, Column]:
+    """Row counts by outcome, as aggregates without a shuffle."""
+    flag = F.col("default_flag")
+    return {
+        "n_rows": F.count(F.lit(1)),
+        "n_default": F.count_if(flag == 1),
+        "n_paid": F.count_if(flag == 0),
+        "n_active": F.count_if(flag.isNull()),
+        "n_with_lgd": F.count_if(F.col("actual_lgd").isNotNull()),
+    }
+
+
 def load_audit(loans: DataFrame) -> DataFrame:
     """Row counts by outcome in one pass."""
-    flag = F.col("default_flag")
-    return loans.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(flag == 1).alias("n_default"),
-        F.count_if(flag == 0).alias("n_paid"),
-        F.count_if(flag.isNull()).alias("n_active"),
-        F.count_if(F.col("actual_lgd").isNotNull()).alias("n_with_lgd"),
-    )
+    return loans.agg(*(count.alias(name) for name, count in audit_counts().items()))
 
 
 def with_expected_loss(loans: DataFrame) -> DataFrame:

@@ -13,17 +13,29 @@ def _long(counted: DataFrame, names: list[str]) -> DataFrame:
     return counted.select(F.inline(pairs))
 
 
-def clean_contracts(loans: DataFrame) -> DataFrame:
-    """(check, n_bad) for the cleaned loans, in one pass."""
+class BrokenContract(ValueError):
+    """Raised by a batch whose rows break a contract."""
+
+
+def row_checks() -> dict[str, Column]:
+    """The checks of cleaned loans that one row alone can break, as aggregates without a shuffle."""
     flag, lgd = F.col("default_flag"), F.col("actual_lgd")
-    checks: Mapping[str, Column] = {
+    return {
         "id_missing": F.count_if(F.col("id").isNull()),
-        "id_repeated": F.count("id") - F.count_distinct("id"),
         "flag_outside_domain": F.count_if(flag.isNotNull() & ~flag.isin(0, 1)),
         "lgd_outside_unit_range": F.count_if((lgd < 0) | (lgd > 1)),
         "lgd_without_default": F.count_if(lgd.isNotNull() & (flag != 1)),
         "ead_negative": F.count_if(F.col("ead") < 0),
     }
+
+
+def repeated_ids() -> Column:
+    return F.count("id") - F.count_distinct("id")
+
+
+def clean_contracts(loans: DataFrame) -> DataFrame:
+    """(check, n_bad) for the cleaned loans, in one pass."""
+    checks: Mapping[str, Column] = {**row_checks(), "id_repeated": repeated_ids()}
     counted = loans.agg(*(check.alias(name) for name, check in checks.items()))
     return _long(counted, list(checks))
 

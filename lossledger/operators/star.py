@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lossledger.session import stage
@@ -96,6 +96,24 @@ def write_star(star: Star, folder: str) -> None:
         files.write_table(table, f"{folder}/{name}")
 
 
+TABLES = ["fact_loans", "dim_borrower", "dim_vintage", "dim_credit_grade"]
+
+
+def publish_star(star: Star, folder: str) -> None:
+    """Writes the four tables as a version of their own, which replaces the one before as a whole:
+    a run that stops between two tables leaves the old star readable."""
+    spark = star.fact.sparkSession
+    version = files.new_version(folder)
+    write_star(star, version)
+    files.publish(spark, folder, version)
+
+
+def published_star(spark: SparkSession, folder: str) -> Star:
+    """The star that was published last; all four tables are of one version."""
+    version = files.current(spark, folder, "star schema")
+    return Star(*(spark.read.parquet(f"{version}/{name}") for name in TABLES))
+
+
 def save_bucketed(star: Star, folder: str, buckets: int, prefix: str = "") -> None:
     """Fact and borrowers as catalogue tables bucketed alike by borrower_key.
 

@@ -9,15 +9,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 from fnmatch import fnmatch
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lossledger.operators import (
-    attribution, backtest, chronology, cleaning, learners, scenarios, search, star)
+    attribution, backtest, chronology, cleaning, contracts, learners, scenarios, search, star)
 from lossledger.operators.sampling import EXPLAIN_SAMPLE, hash_sample
 from lossledger.operators.vocabulary import frequent
-from lossledger.plans import governance, reports
-from lossledger.session import stage, temporary_stages, tune
+from lossledger.plans import additive, governance, reports
+from lossledger.session import leaves_nothing, stage, temporary_stages, tune
 from lossledger.sources import columns, files
 
 
@@ -47,16 +47,39 @@ def run_ingest(spark: SparkSession, source: str, layout: Layout, pattern: str =
 
 
 def run_cleaning(raw: DataFrame, layout: Layout,
-                 partition_by: tuple[str, ...] = ("issue_year",)) -> dict:
+                 partition_by: tuple[str, ...] = ("issue_year",), strict: bool = True) -> dict:
     """Writes the cleaned loans; returns their counts by outcome. They are partitioned by year of
-    issue, which later date filters prune by."""
-    files.write_table(cleaning.clean_loans(raw), layout.clean_loans, partition_by)
-    return cleaning.load_audit(cleaned(raw.sparkSession, layout)).first().asDict()
+    issue, which later date filters prune by.
+
+    Audit and row contracts are observed by the tasks that write, without another scan. They sit in
+    the last stage of the job, where Spark counts a partition once however often a lost executor
+    makes it run. Only repeated ids need a shuffle: of the written id column alone. If a contract is
+    broken, the report is written and, unless ``strict`` is off, the loans are refused: they do not
+    replace those of the run before.
+    """
+    spark = raw.sparkSession
+    audit, checks = cleaning.audit_counts(), contracts.row_checks()
+    seen = Observation("cleaning")
+    loans = cleaning.clean_loans(raw).observe(
+        seen, *(c.alias(name) for name, c in {**audit, **checks}.items()))
+    version = files.new_version(layout.clean_loans)
+    files.write_table(loans, version, partition_by)
+    found = seen.get
+    bad = {name: found[name] for name in checks}
+    bad["id_repeated"] = spark.read.parquet(version).agg(contracts.repeated_ids()).first()[0]
+    report = spark.createDataFrame(list(bad.items()), "check string, n_bad bigint")
+    files.write_report_csv(report, f"{layout.reports}/clean_contracts")
+    broken = {name: n for name, n in bad.items() if n}
+    if broken and strict:
+        files.delete(spark, version)
+        raise contracts.BrokenContract(f"cleaned loans break {broken}")
+    files.publish(spark, layout.clean_loans, version)
+    return {name: found[name] for name in audit}
 
 
 def cleaned(spark: SparkSession, layout: Layout) -> DataFrame:
     """The cleaned loans; a year that is a folder's name is as long as the others again."""
-    loans = spark.read.parquet(files.require(spark, layout.clean_loans, "cleaned loans"))
+    loans = spark.read.parquet(files.current(spark, layout.clean_loans, "cleaned loans"))
     return loans.withColumn("issue_year", F.col("issue_year").cast("bigint"))
 
 
@@ -65,6 +88,7 @@ def _params(spark: SparkSession, path: str, given: dict | None) -> dict | None:
     return given if given is not None else files.load_params(spark, path)
 
 
+@leaves_nothing
 def run_search(spark: SparkSession, layout: Layout, trials: int = search.DEFAULT_TRIALS,
                **fixed) -> None:
     """Searches parameters for both models and saves the best of each."""
@@ -79,6 +103,7 @@ def run_search(spark: SparkSession, layout: Layout, trials: int = search.DEFAULT
     files.save_params(spark, search.best_params(found), layout.lgd_params)
 
 
+@leaves_nothing
 def run_training(spark: SparkSession, layout: Layout, pd_params: dict | None = None,
                  lgd_params: dict | None = None) -> None:
     clean = cleaned(spark, layout)
@@ -98,35 +123,62 @@ def load_models(spark: SparkSession, layout: Layout):
             learners.TreeModel.load(spark, layout.lgd_model))
 
 
+@leaves_nothing
 def run_scoring(spark: SparkSession, layout: Layout) -> None:
     clean = cleaned(spark, layout)
     files.write_table(learners.score_portfolio(clean.select(*columns.PORTFOLIO),
                                                *load_models(spark, layout)), layout.scored_loans)
 
 
+@leaves_nothing
 def run_marts(spark: SparkSession, layout: Layout) -> None:
     scored = spark.read.parquet(files.require(spark, layout.scored_loans, "scored loans"))
-    star.write_star(star.build_star(scored), layout.marts)
+    star.publish_star(star.build_star(scored), layout.marts)
 
 
 def load_star(spark: SparkSession, layout: Layout) -> star.Star:
-    tables = [spark.read.parquet(files.require(spark, f"{layout.marts}/{name}", name)) for name in
-              ["fact_loans", "dim_borrower", "dim_vintage", "dim_credit_grade"]]
-    return star.Star(*tables)
+    return star.published_star(spark, layout.marts)
 
 
+@leaves_nothing
 def run_scenarios(spark: SparkSession, layout: Layout) -> None:
-    fact = load_star(spark, layout).fact
-    files.write_table(scenarios.scenario_fact(fact).drop("sort_order"),
-                      f"{layout.marts}/fact_scenarios")
+    """Writes the scenario fact into the version of the star that it belongs to."""
+    current = files.current(spark, layout.marts, "star schema")
+    fact = spark.read.parquet(f"{current}/fact_loans")
+    folder = f"{current}/fact_scenarios"
+    version = files.new_version(folder)
+    files.write_table(scenarios.scenario_fact(fact).drop("sort_order"), version)
+    files.publish(spark, folder, version)
 
 
 def load_scenarios(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    """The scenario fact, or None where the optional stage has not run."""
-    path = f"{layout.marts}/fact_scenarios"
-    return spark.read.parquet(path) if files.exists(spark, path) else None
+    """The scenario fact of the current star, or None where the optional stage has not run on it."""
+    if not files.published(spark, layout.marts):
+        return None
+    folder = f"{files.current(spark, layout.marts, 'star schema')}/fact_scenarios"
+    if not files.published(spark, folder):
+        return None
+    return spark.read.parquet(files.current(spark, folder, "scenario fact"))
+
+
+@leaves_nothing
+def run_measures(spark: SparkSession, layout: Layout) -> None:
+    """Writes the mart of additive measure states into the version of the star it belongs to."""
+    current = files.current(spark, layout.marts, "star schema")
+    scored = spark.read.parquet(files.require(spark, layout.scored_loans, "scored loans"))
+    vintages = spark.read.parquet(f"{current}/dim_vintage")
+    folder = f"{current}/measures"
+    version = files.new_version(folder)
+    files.write_table(additive.measure_mart(scored, vintages), version)
+    files.publish(spark, folder, version)
+
+
+def load_measures(spark: SparkSession, layout: Layout) -> DataFrame:
+    folder = f"{files.current(spark, layout.marts, 'star schema')}/measures"
+    return spark.read.parquet(files.current(spark, folder, "measure mart"))
 
 
+@leaves_nothing
 def run_governance(spark: SparkSession, layout: Layout) -> None:
     clean = cleaned(spark, layout)
     default_model, severity_model = load_models(spark, layout)
@@ -136,6 +188,7 @@ def run_governance(spark: SparkSession, layout: Layout) -> None:
     governance.write_model_risk(report, layout.reports)
 
 
+@leaves_nothing
 def run_backtest(spark: SparkSession, layout: Layout, folds: int = chronology.DEFAULT_FOLDS,
                  pd_params: dict | None = None, lgd_params: dict | None = None) -> dict:
     """Walk-forward reports of both models; returns the summary record."""
@@ -157,6 +210,7 @@ def run_backtest(spark: SparkSession, layout: Layout, folds: int = chronology.DE
     return record
 
 
+@leaves_nothing
 def run_reasons(spark: SparkSession, layout: Layout, n: int = EXPLAIN_SAMPLE) -> DataFrame:
     """Writes the reason codes of a sample of resolved loans; returns the top drivers."""
     clean = cleaned(spark, layout)
@@ -178,6 +232,7 @@ def run(spark: SparkSession, raw_path: str, folder: str, pd_params: dict | None
         run_training(spark, layout, pd_params, lgd_params)
         run_scoring(spark, layout)
         run_marts(spark, layout)
+        run_measures(spark, layout)
         if with_scenarios:
             run_scenarios(spark, layout)
     return reports.grade_table(load_star(spark, layout).loans)

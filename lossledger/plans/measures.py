@@ -101,7 +101,11 @@ def beside_prior(cells: DataFrame, vintages: DataFrame, names: Sequence[str],
 
 def pd_migration(loans: DataFrame, vintages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Weighted PD against the vintage before: difference and relative difference."""
-    cells = evaluate(loans, ["weighted_pd"], ["vintage_key", *by])
+    return migration_of(evaluate(loans, ["weighted_pd"], ["vintage_key", *by]), vintages, by)
+
+
+def migration_of(cells: DataFrame, vintages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``cells``(vintage_key, *by, weighted_pd) against the vintage before."""
     out = beside_prior(cells, vintages, ["weighted_pd"], by)
     delta = blank_minus(F.col("weighted_pd"), F.col("prior_weighted_pd"))
     return out.withColumns({"pd_delta": delta,
@@ -128,6 +132,11 @@ def grade_mix_shift(loans: DataFrame, vintages: DataFrame, grade: str = "grade",
 def el_change(loans: DataFrame, vintages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Expected loss against the vintage before."""
     cells = evaluate(loans, ["total_expected_loss"], ["vintage_key", *by])
+    return loss_change_of(cells, vintages, by)
+
+
+def loss_change_of(cells: DataFrame, vintages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``cells``(vintage_key, *by, total_expected_loss) against the vintage before."""
     out = beside_prior(cells, vintages, ["total_expected_loss"], by)
     return out.withColumn("el_delta", blank_minus(
         F.col("total_expected_loss"), F.col("prior_total_expected_loss")))

@@ -462,6 +462,24 @@ def texts() -> dict[str, str]:
     add("core_measures_by_grade_and_vintage", STAR,
         f"select grade, vintage, {core} from loans group by grade, vintage")
     add("core_measures_total", STAR, f"select {core} from loans")
+    sums = {"ead": ("ead", 2), "funded": ("funded_amnt", 2), "pd_ead": ("pd * ead", 7),
+            "lgd_ead": ("lgd * ead", 6), "pd": ("pd", 5), "rate": ("int_rate", 2)}
+    cell = "vintage_key, vintage, grade, sub_grade, addr_state, purpose, loan_status"
+    add("measure_mart_cells", STAR, f"""select {cell}, cast(count(*) as bigint) as n,
+        cast(count(pd) as bigint) as n_pd, cast(count(int_rate) as bigint) as n_rate,
+        cast(count(*) filter (default_flag = 1) as bigint) as n_default,
+        cast(count(default_flag) as bigint) as n_resolved,
+        {", ".join(f"round({_sum(t)}, {digits}) as {name}" for name, (t, digits) in sums.items())},
+        round({_sum('actual_lgd * ead', ' filter (default_flag = 1)')}, 4) as realized
+        from loans group by {cell}""")
+    add("measure_mart_by_grade_and_vintage", STAR,
+        f"select grade, vintage, {core} from loans group by grade, vintage")
+    add("measure_mart_total", STAR, f"select {core} from loans")
+    add("measure_mart_by_state_and_purpose", STAR,
+        f"select addr_state, purpose, {core} from loans group by addr_state, purpose")
+    add("measure_mart_of_slice", STAR, f"""select sub_grade, {core} from loans
+        where purpose in ('credit_card', 'other') and loan_status <> 'Current'
+        and addr_state between 'C' and 'M' and vintage <= '1998Q2' group by sub_grade""")
     add("weighted_lgd_by_state", STAR, f"""select addr_state,
         round({_sum('lgd * ead')} / nullif({_sum('ead')}, 0), 6) as weighted_lgd
         from loans group by addr_state""")
@@ -539,6 +557,23 @@ def texts() -> dict[str, str]:
             round(prior_grade_mix, 6) as prior_grade_mix, has_prior,
             round(100 * ({_minus("grade_mix", "prior_grade_mix")}), 6) as mix_shift_pp
             from beside""")
+    add("measure_mart_migration_of_slice", STAR + f""",
+        cells as (select vintage_key, purpose, {wpd} as weighted_pd from loans
+            where sub_grade in ('A2', 'B1') and loan_status <> 'Current' group by all)"""
+        + _PRIOR_GRID.format(by="purpose", m="weighted_pd"),
+        f"""select vintage_key, vintage, purpose, round(weighted_pd, 6) as weighted_pd,
+        round(prior_weighted_pd, 6) as prior_weighted_pd, has_prior,
+        round({_minus("weighted_pd", "prior_weighted_pd")}, 6) as pd_delta,
+        round(({_minus("weighted_pd", "prior_weighted_pd")}) / prior_weighted_pd, 6)
+            as pd_delta_share from beside""")
+    add("measure_mart_loss_change_by_state", STAR + f""",
+        cells as (select vintage_key, addr_state, {_LOSS} as total_expected_loss from loans
+            group by all)""" + _PRIOR_GRID.format(by="addr_state", m="total_expected_loss"),
+        f"""select vintage_key, vintage, addr_state,
+        round(total_expected_loss, 2) as total_expected_loss,
+        round(prior_total_expected_loss, 2) as prior_total_expected_loss, has_prior,
+        round({_minus("total_expected_loss", "prior_total_expected_loss")}, 2) as el_delta
+        from beside""")
     add("pd_migration_latest", STAR + f""",
         prior as (select {wpd} as prior_weighted_pd from loans
                   where vintage_key = (select max(vintage_key) - 1 from dim_vintage))""",

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,6 +101,17 @@ def temporary_stages(spark: SparkSession) -> Iterator[None]:
             files.delete(spark, path)
 
 
+def leaves_nothing(step: Callable) -> Callable:
+    """For a step of a batch, called with the session first, whose results are written tables:
+    what it stages is deleted at its end, after an error too."""
+    @wraps(step)
+    def run(spark: SparkSession, *args, **kwargs):
+        with temporary_stages(spark):
+            return step(spark, *args, **kwargs)
+
+    return run
+
+
 def once(spark: SparkSession, label: str, folder: str, build: Callable[[], object]):
     """``build()`` once per application and state of the input files in ``folder``."""
     key = (spark.sparkContext.applicationId, label, folder, files.fingerprint(spark, folder))

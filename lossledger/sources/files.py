@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from fnmatch import fnmatch
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,6 +116,52 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+VERSIONS_KEPT = 2
+_MARKERS = "_current"
+
+
+def new_version(folder: str) -> str:
+    """A folder for the next version of the tables in ``folder``. Nobody reads it until
+    ``publish`` names it."""
+    return f"{folder}/v-{uuid.uuid4().hex[:12]}"
+
+
+def _markers(spark: SparkSession, folder: str) -> list[str]:
+    fs, target = _path(spark, f"{folder}/{_MARKERS}")
+    if not fs.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)
+                  if not s.getPath().getName().startswith("."))
+
+
+def publish(spark: SparkSession, folder: str, version: str) -> None:
+    """Makes ``version`` what readers of ``folder`` get, all its tables at once.
+
+    The pointer is an empty file whose name holds a number and the version; the greatest number
+    counts. Creating an empty file is one atomic step on every file system and object store, unlike
+    a rename. The version before stays for readers that have opened it; older ones are deleted.
+    """
+    before = _markers(spark, folder)
+    number = int(before[-1].partition(".")[0]) + 1 if before else 1
+    fs, marker = _path(spark, f"{folder}/{_MARKERS}/{number:010d}.{version.rsplit('/', 1)[-1]}")
+    fs.create(marker, False).close()
+    for old in _markers(spark, folder)[:-VERSIONS_KEPT]:
+        delete(spark, f"{folder}/{old.partition('.')[2]}")
+        delete(spark, f"{folder}/{_MARKERS}/{old}")
+
+
+def current(spark: SparkSession, folder: str, what: str) -> str:
+    """The folder of the version that was published last."""
+    found = _markers(spark, folder)
+    if not found:
+        raise FileNotFoundError(f"{what} not found at {folder}")
+    return f"{folder}/{found[-1].partition('.')[2]}"
+
+
+def published(spark: SparkSession, folder: str) -> bool:
+    return bool(_markers(spark, folder))
+
+
 def write_report_csv(df: DataFrame, path: str) -> None:
     """A small report as one CSV file with a header."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

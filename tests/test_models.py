@@ -381,6 +381,8 @@ def test_batch_end_to_end(spark, tmp_path):
     fact = batch.load_star(spark, layout).fact.count()
     assert batch.load_scenarios(spark, layout).count() == 3 * fact
     assert batch.load_scenarios(spark, batch.Layout(str(tmp_path / "none"))) is None
+    cells = batch.load_measures(spark, layout)
+    assert cells.agg({"s_n": "sum"}).first()[0] == fact
     batch.run_governance(spark, layout)
     record = spark.read.json(f"{layout.reports}/model_risk_summary").first()
     assert 0 < record["pd_model"]["roc_auc"] <= 1
