@@ -30,6 +30,11 @@ RECORDS_PER_FILE = 2_000
 # When pages have no time of their own: this one plus their id in seconds.
 EPOCH = 946_684_800
 
+# Rows that one task merges: its memory does not grow with the archive.
+RANGE_ROWS = 200_000
+# Rows of one payload are dealt to this many join keys, whatever they hold of all rows.
+SALTS = 16
+
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _CAPTURES_SQL = ("url_key string, captured_at string, page_id long, url string, "
@@ -37,6 +42,15 @@ _CAPTURES_SQL = ("url_key string, captured_at string, page_id long, url string,
                  "file string, offset long")
 
 
+def _salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS))
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                      F.lit(SALTS - 1).cast("long"))))
+
+
 # -- writing ---------------------------------------------------------------------------------
 
 
@@ -73,7 +87,8 @@ def records(pages: DataFrame, least: int = LEAST, captured: str | None = None) -
         F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
         .select(F.col("sha").alias("same"), "first"))
     first = stage(first, "payloads")
-    marked = full.join(first, long & (F.col("sha") == F.col("same")), "left")
+    dealt = _salt("page_id", "url") == F.col("salt")
+    marked = full.join(_salted(first), long & (F.col("sha") == F.col("same")) & dealt, "left")
     again = F.coalesce(F.col("first.page_id") != F.col("page_id"), F.lit(False))
 
     def line(name: str, value: Column, when: Column | None = None) -> Column:
@@ -272,15 +287,17 @@ def _merge(batches) -> Iterator[pa.RecordBatch]:
     yield from merged.to_batches(max_chunksize=10_000)
 
 
-def merged_index(runs: DataFrame) -> DataFrame:
+def merged_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """All captures with ``capture_rank``, their 0-based rank by URL key, time and id.
 
     Captures without an id come after others of the same URL and time; equal ones follow by file
-    and place. No captures give no rows.
+    and place. No captures give no rows. There are so many ranges that none holds more than about
+    ``RANGE_ROWS`` captures.
     """
     spark = runs.sparkSession
+    n_ranges = max(partitions(spark), -(-runs.count() // range_rows))
     order = ["url_key", "captured_at", F.col("page_id").asc_nulls_last(), "file", "offset"]
-    ranges = runs.repartitionByRange(partitions(spark), *order).sortWithinPartitions("run", *order)
+    ranges = runs.repartitionByRange(n_ranges, *order).sortWithinPartitions("run", *order)
     merged = ranges.mapInArrow(_merge, f"{_CAPTURES_SQL}, run int, at long")
     merged = stage(merged.withColumn("part", F.spark_partition_id()), "merged")
     sizes = merged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
@@ -289,11 +306,20 @@ def merged_index(runs: DataFrame) -> DataFrame:
 
 
 def resolved(index: DataFrame) -> DataFrame:
-    """The index with payload_bytes of revisits, from the response that holds the payload."""
-    held = index.where("record_type = 'response'").groupBy(
-        F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("size"))
-    return index.join(held, F.col("payload_digest") == F.col("digest"), "left").withColumn(
-        "payload_bytes", F.coalesce("payload_bytes", "size")).drop("digest", "size")
+    """The index with payload_bytes of revisits, from the response that holds the payload.
+
+    Responses know their size and are not joined. A digest that many revisits name is counted once
+    before its response is looked up, and its revisits are dealt to several join keys.
+    """
+    again = index.where("record_type = 'revisit'").drop("payload_bytes")
+    named = again.select(F.col("payload_digest").alias("digest")).distinct()
+    sizes = index.where("record_type = 'response'").join(
+        named, F.col("payload_digest") == F.col("digest"), "left_semi").groupBy(
+        F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("payload_bytes"))
+    found = again.join(_salted(stage(sizes, "sizes")),
+                       (F.col("payload_digest") == F.col("digest"))
+                       & (_salt("file", "offset") == F.col("salt")), "left")
+    return index.where("record_type <> 'revisit'").unionByName(found.select(*index.columns))
 
 
 def archived(pages: DataFrame, least: int = LEAST) -> DataFrame:

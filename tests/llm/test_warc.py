@@ -90,3 +90,34 @@ def test_times_order_the_captures_of_a_url(lspark):
     warc.write_archives(frame, folder, captured="at")
     index = warc.merged_index(warc.sorted_runs(lspark, folder))
     assert [r.page_id for r in index.orderBy("capture_rank").collect()] == [3, 2, 1]
+
+
+def test_a_payload_of_half_the_pages_divides(lspark):
+    """Neither broadcast nor the skew split of adaptive plans helps here."""
+    rows = [(i, f"http://h{i % 7}/{i}", "hot" * 50 if i % 2 else f"{i}" * 60) for i in range(2_000)]
+    frame = lspark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: lspark.conf.get(k) for k in off}
+    for k, v in off.items():
+        lspark.conf.set(k, v)
+    try:
+        spread = warc.records(frame).where("value like '%: revisit%'").rdd.mapPartitions(
+            lambda part: [sum(1 for _ in part)]).collect()
+        assert sum(spread) == 999 and max(spread) < 500
+        index = warc.archived(frame)
+        parts = index.where("record_type = 'revisit'").rdd.mapPartitions(
+            lambda part: [sum(1 for _ in part)]).collect()
+        assert sum(parts) == 999 and max(parts) < 500
+        assert compared(index) == brute(rows)
+    finally:
+        for k, v in before.items():
+            lspark.conf.set(k, v)
+
+
+def test_ranges_are_bounded(lspark):
+    rows = [(i, "http://one/page", f"{i}" * 40) for i in range(3_000)]
+    frame = lspark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    folder = warc.staging_path(lspark, "archives")
+    warc.write_archives(frame, folder, per_file=200)
+    index = warc.merged_index(warc.sorted_runs(lspark, folder), range_rows=100).collect()
+    assert [r.page_id for r in sorted(index, key=lambda r: r.capture_rank)] == list(range(3_000))
