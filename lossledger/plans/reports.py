@@ -48,6 +48,10 @@ def default_rate_by_vintage(loans: DataFrame, where: Column | None = None) -> Da
         ratio(defaults, resolved).alias("cumulative_default_rate")).orderBy("vintage")
 
 
+#: Columns that the status matrix finds by itself.
+MOST_STATUSES = 200
+
+
 def status_mix(loans: DataFrame, by: str) -> DataFrame:
     """Share in percent of each status within ``by``, long form."""
     counts = loans.groupBy(by, "loan_status").agg(F.count(F.lit(1)).alias("n"))
@@ -59,12 +63,15 @@ def status_matrix(loans: DataFrame, by: str, statuses: Sequence[str] | None = No
     """The same as one row per ``by`` and one column per status, 0 where absent.
 
     Without a list, the columns are the statuses that occur, in text order, found by one
-    aggregation. With one, all others share the column ``other``. Shares are of all loans of the
+    aggregation; more than ``MOST_STATUSES`` are refused, for a table that wide wants a list. With one, all others share the column ``other``. Shares are of all loans of the
     row either way; loans without a status count as ``unknown``.
     """
     status = F.coalesce("loan_status", F.lit("unknown"))
     if statuses is None:
-        names = sorted(r[0] for r in loans.select(status).distinct().collect())
+        found = loans.select(status).distinct().limit(MOST_STATUSES + 1).collect()
+        if len(found) > MOST_STATUSES:
+            raise ValueError(f"over {MOST_STATUSES} statuses: name those that get a column")
+        names = sorted(r[0] for r in found)
     else:
         names = [*statuses, "other"]
         status = F.when(status.isin(list(statuses)), status).otherwise("other")

@@ -163,6 +163,11 @@ def test_status_matrix_shows_every_status(spark):
     assert found["A"] == {"grade": "A", "Current": 25.0, "Late": 25.0, "Default": 25.0,
                           "Fully Paid": 25.0, "unknown": 0.0}
     assert found["B"]["unknown"] == 100.0
+    many = spark.range(reports.MOST_STATUSES + 1).selectExpr(
+        "'A' as grade", "string(id) as loan_status")
+    with pytest.raises(ValueError, match="statuses"):
+        reports.status_matrix(many, "grade")
+    assert len(reports.status_matrix(many, "grade", ["1"]).columns) == 3
     listed = {r["grade"]: r.asDict() for r in reports.status_matrix(
         loans, "grade", ["Current", "Fully Paid"]).collect()}
     assert listed["A"] == {"grade": "A", "Current": 25.0, "Fully Paid": 25.0, "other": 50.0}
