@@ -2,14 +2,16 @@
 
 1. Vectors that are equal within a group collapse to one with a count.
 2. Spherical k-means runs on a bounded sample (``SAMPLE`` vectors, ``SAMPLE_VALUES`` numbers, the
-   smallest by hash); the number of cells grows with the square root of the number of vectors up to
-   ``CELLS``. The index then holds every vector, not the sample.
+   smallest by hash). A cell is to hold about one block, so the number of cells grows with that of
+   the vectors, up to ``CELLS`` and a sixteenth of the sample. The index then holds every vector.
 3. A vector lives in the cell of its nearest centroid and also visits each cell whose border is
    near. Two vectors with cosine >= c are at most sqrt(2 - 2c) apart; if they live in different
    cells, one of them is within half of that of the border between the two. So these visits miss no
-   pair: the search is exact, and the cells only save work.
-4. Cells are cut into blocks of about ``BLOCK`` vectors. A task multiplies two blocks, so a cell
-   that holds a third of all vectors divides over many tasks, and no task ever holds a whole cell.
+   pair: the search is exact, and the cells only save work. Sending a vector to one more cell costs
+   as much as some thousand products, which is why cells are as large as blocks.
+4. Cells are cut into blocks of about ``BLOCK`` vectors and at most ``BLOCK_VALUES`` numbers. A task
+   multiplies two blocks, so a cell that holds a third of all vectors divides over many tasks, and
+   no task ever holds a whole cell.
 5. A block pair sends, per vector, how many links it has and the smallest vector it reaches there:
    the number of rows does not grow with the number of links. Components come from those rows.
 """
@@ -20,6 +22,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +35,14 @@ COSINE = 0.93
 SAMPLE = 16_384
 SAMPLE_VALUES = 4_000_000
 CELLS = 4_096
-BLOCK = 768
+FEWEST_CELLS = 4
+BLOCK = 2_048
+BLOCK_VALUES = 1 << 20
 ROUNDS = 12
+# Rows of one vector are dealt to this many join keys, whatever they hold of all rows.
+SALTS = 16
 
-_MEMBERS_SQL = ("vec long, copies long, grp int, dim int, cell int, home int, visits array<int>, "
+_MEMBERS_SQL = ("vec long, copies long, grp int, dim int, home int, visits array<int>, "
                 "v array<{kind}>")
 
 
@@ -54,12 +61,14 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     kind = "float" if vectors.schema[vector].dataType.elementType.typeName() == "float" else "double"
     keyed, again = unique_rows(vectors.select(key, vector, group), key, vector, group)
     rows = keyed.select(F.col(ROW).alias("row"), F.col(group).cast("int").alias("grp"),
-                       F.col(vector).cast(f"array<{kind}>").alias("v"))
+                       F.col(vector).cast(f"array<{kind}>").alias("v")).withColumn(
+                           "salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
     good = (F.col("grp").isNotNull() & (F.size("v") > 0)
             & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
             & F.exists("v", lambda x: x != 0))
     classes = stage(rows.where(good).groupBy("grp", "v").agg(
-        F.min("row").alias("vec"), F.count(F.lit(1)).alias("copies")), "vectors")
+        F.min("row").alias("vec"), F.count(F.lit(1)).alias("copies"),
+        F.bit_or(F.expr("shiftleft(1, salt)")).alias("salts")), "vectors")
     centroids = _fit(classes)
     members = stage(classes.mapInArrow(lambda it: _assign(it, centroids, cosine),
                                        _MEMBERS_SQL.format(kind=kind)), "members")
@@ -71,9 +80,11 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     classes = classes.join(links, "vec", "left").join(
         found, F.col("vec") == F.col("node"), "left").select(
             "grp", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "vec").alias("component"))
+            F.coalesce("component", "vec").alias("component"),
+            F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> getbit(salts, s) = 1)"))
+            .alias("salt"))
     out = rows.withColumn("v", F.when(good, F.col("v"))).join(
-        classes, ["grp", "v"], "left").select(
+        classes, ["grp", "v", "salt"], "left").select(
             "row", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.coalesce("component", "row").alias("component_id"),
             (F.col("row") == F.coalesce("component", "row")).alias("kept"))
@@ -93,7 +104,9 @@ def _fit(classes: DataFrame) -> dict[int, np.ndarray]:
     # Vectors of rarer dimensions share one cell per dimension.
     for dim, n, groups in sizes.orderBy(F.desc("n"), "dim").limit(16).collect():
         size = max(1, min(SAMPLE, SAMPLE_VALUES // dim))
-        cells = max(1, min(CELLS, math.isqrt(n // max(groups, 1)), size // 16))
+        share = n // max(groups, 1)
+        cells = max(min(FEWEST_CELLS, math.isqrt(share)), share // BLOCK)
+        cells = max(1, min(CELLS, cells, size // 16))
         if cells == 1:
             continue
         sample = classes.where(F.size("v") == dim).orderBy(F.xxhash64("vec"), "vec").limit(size)
@@ -125,7 +138,7 @@ def spherical_kmeans(points: np.ndarray, cells: int, rounds: int = ROUNDS) -> np
 
 
 def _assign(batches, centroids: dict[int, np.ndarray], cosine: float):
-    """One row per cell that a vector lives in or visits."""
+    """The cell that each vector lives in, and all those that it is in or visits."""
     reach = math.sqrt(max(0.0, 2 - 2 * cosine)) / 2 + 1e-9
     for batch in batches:
         column = batch.column("v")
@@ -146,19 +159,14 @@ def _assign(batches, centroids: dict[int, np.ndarray], cosine: float):
                 best = near[np.arange(len(at)), home][:, None]
                 visit = (best - near) <= reach * wide[home]
                 visit[np.arange(len(at)), home] = True
-                who, cell = np.nonzero(visit)
-                counts = visit.sum(axis=1)
-                bounds = np.append(0, np.cumsum(counts))
-                per = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()),
-                                               pa.array(cell.astype(np.int32)))
-                take = pa.array(who)
-                source = pa.array(at[who])
+                _, cell = np.nonzero(visit)
+                bounds = np.append(0, np.cumsum(visit.sum(axis=1)))
+                take = pa.array(at)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("vec").take(source), batch.column("copies").take(source),
-                    batch.column("grp").take(source), pa.array(np.full(len(who), dim, np.int32)),
-                    pa.array(cell.astype(np.int32)), pa.array(home[who].astype(np.int32)),
-                    per.take(take), column.take(source)],
-                    names=["vec", "copies", "grp", "dim", "cell", "home", "visits", "v"])
+                    *(batch.column(c).take(take) for c in ("vec", "copies", "grp")),
+                    pa.array(np.full(len(at), dim, np.int32)), pa.array(home.astype(np.int32)),
+                    a.lists(cell.astype(np.int32), bounds, pa.int32()), column.take(take)],
+                    names=["vec", "copies", "grp", "dim", "home", "visits", "v"])
 
 
 def _chunks(index: np.ndarray) -> list[np.ndarray]:
@@ -169,13 +177,17 @@ def _chunks(index: np.ndarray) -> list[np.ndarray]:
 
 
 def _pairs(members: DataFrame) -> DataFrame:
-    """Each member once per block pair that it takes part in: residents with residents (i <= j),
+    """Each vector once per block pair that it takes part in: residents with residents (i <= j),
     and visitors with residents (visitor block t is i = -1 - t). Side 0 is the left block."""
     cell = ["grp", "dim", "cell"]
     lives = F.col("cell") == F.col("home")
-    blocks = lambda flag: F.ceil(F.count(F.when(flag, 1)) / BLOCK).cast("int")
-    sizes = members.groupBy(*cell).agg(blocks(lives).alias("nh"), blocks(~lives).alias("nt"))
-    numbered = members.join(sizes.where("nh > 0"), cell).withColumn("lives", lives).withColumn(
+    size = F.least(F.lit(BLOCK), F.greatest(F.lit(1), F.floor(F.lit(BLOCK_VALUES) / F.col("dim"))))
+    blocks = lambda flag: F.ceil(F.count(F.when(flag, 1)) / size).cast("int")
+    placed = members.withColumn("cell", F.explode("visits"))
+    # Counted without the vectors; as files of known size these decide how the vectors join them.
+    sizes = stage(placed.groupBy(*cell).agg(blocks(lives).alias("nh"), blocks(~lives).alias("nt"))
+                  .where("nh > 0"), "cells")
+    numbered = placed.join(sizes, cell).withColumn("lives", lives).withColumn(
         "b", F.pmod(F.xxhash64("vec"), F.when(lives, F.col("nh")).otherwise(F.col("nt")))
         .cast("int"))
     place = "array<struct<i:int,j:int,side:int>>"
@@ -191,8 +203,11 @@ def _pairs(members: DataFrame) -> DataFrame:
                "(-1 - t, b, 1)", "named_struct('i', -1 - t, 'j', b, 'side', 1)").replace(
                "(-1 - b, j, 0)", "named_struct('i', -1 - b, 'j', j, 'side', 0)"))))
     key = [*cell, "i", "j"]
-    return numbered.select(*cell, "at.i", "at.j", "at.side", "vec", "copies", "home", "visits",
-                           "v").repartition(*key).sortWithinPartitions(*key, "side", "vec")
+    # Only residents that meet visitors are asked where they visit themselves.
+    asked = F.when((F.col("at.i") < 0) & (F.col("at.side") == 1), F.col("visits"))
+    return numbered.select(*cell, "at.i", "at.j", "at.side", "vec", "copies", "home",
+                           asked.alias("visits"), "v").repartition(*key).sortWithinPartitions(
+                               *key, "side", "vec")
 
 
 _KEY = ["grp", "dim", "cell", "i", "j"]
@@ -256,7 +271,7 @@ def _twice(rows, left, right, vec) -> np.ndarray:
     homes, own = np.unique(home[left], return_inverse=True)
     seen = np.zeros((len(home), len(homes)), bool)
     flat = visits.flatten().to_numpy(zero_copy_only=False)
-    who = np.repeat(np.arange(len(home)), np.diff(visits.offsets.to_numpy()))
+    who = np.repeat(np.arange(len(home)), pc.fill_null(pc.list_value_length(visits), 0))
     at = np.minimum(np.searchsorted(homes, flat), len(homes) - 1)
     ok = homes[at] == flat
     seen[who[ok], at[ok]] = True

@@ -163,3 +163,40 @@ def test_vectors_at_the_edges(lspark):
     out = vector_dedup.near_vectors(twice).collect()
     assert [(r.n_links, r.component_id) for r in out] == [(2, 1)] * 3
     assert vector_dedup.near_vectors(twice.limit(0)).collect() == []
+
+
+def test_a_vector_that_a_third_of_all_rows_share(lspark):
+    rng = np.random.default_rng(2)
+    found = {i: ([float(x) for x in rng.normal(size=8)], 1) for i in range(120)}
+    found |= {i: ([1.0] * 8, 1) for i in range(200, 260)}
+    frame = lspark.createDataFrame([(k, v, g) for k, (v, g) in found.items()],
+                                   "vec_id long, embedding array<double>, label int")
+    assert rows(vector_dedup.near_vectors(frame), "vec_id") == brute_vectors(found, 0.93)
+
+
+def test_a_vector_is_sent_few_times(lspark, monkeypatch):
+    """Directions at random are the worst case: most cells' borders are near."""
+    pairs, sent = vector_dedup._pairs, []
+
+    def counted(members):
+        out = pairs(members)
+        sent.append(out.count() / members.count())
+        return out
+
+    monkeypatch.setattr(vector_dedup, "_pairs", counted)
+    for n in (500, 4_000):
+        frame = lspark.createDataFrame(
+            [(i, v.tolist(), 1) for i, v in enumerate(
+                np.random.default_rng(n).normal(size=(n, 32)))],
+            "vec_id long, embedding array<double>, label int")
+        vector_dedup.near_vectors(frame).collect()
+    assert max(sent) < 8
+
+
+def test_blocks_of_long_vectors_are_small(lspark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "BLOCK_VALUES", 24 * 20)
+    found = {i: ([float(x) for x in v], 1) for i, v in enumerate(
+        vectors(np.random.default_rng(3), n=600))}
+    frame = lspark.createDataFrame([(k, v, g) for k, (v, g) in found.items()],
+                                   "vec_id long, embedding array<double>, label int")
+    assert rows(vector_dedup.near_vectors(frame), "vec_id") == brute_vectors(found, 0.93)
