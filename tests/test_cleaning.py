@@ -18,9 +18,11 @@ def read(df, column):
 
 
 def test_numbers(spark):
-    df = texts(spark, "1.5", " 7 ", "-2e3", "1.5d", "1.5f", "0x1p3", "n/a", "", None, "inf")
+    df = texts(spark, "1.5", " 7 ", "-2e3", "1.5d", "1.5f", "0x1p3", "n/a", "", None, "inf",
+               "-Infinity", " INF", "1.5D ", "infd", "1d\n")
     assert read(df, coerce.number("t")) == [
-        1.5, 7.0, -2000.0, None, None, None, None, None, None, math.inf]
+        1.5, 7.0, -2000.0, None, None, None, None, None, None, math.inf,
+        -math.inf, math.inf, None, None, None]
 
 
 def test_percent_and_integers(spark):
