@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lossledger.llm import decontaminate, minhash, packing, substrings, toxicity
 from lossledger.llm.frames import ROW, prepared, unique_rows
-from lossledger.session import stage
+from lossledger.session import stage, staging_path, temporary_stages
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -86,9 +86,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _written(spark: SparkSession, name: str, step, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What a stage keeps, as a table. What it staged on its way is deleted once that is written."""
+    path = staging_path(spark, name)
+    with temporary_stages(spark):
+        kept = step(spark, docs, sf_dir)
+        kept.write.parquet(path)
+    return spark.read.schema(kept.schema).parquet(path)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; what the others keep is written in the shared folder."""
+    """The last stage's rows. What the others keep is written in the shared folder and stays there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
+        docs = _written(spark, name, step, docs, sf_dir)
     return STAGES[-1][1](spark, docs, sf_dir)
