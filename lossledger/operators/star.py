@@ -12,6 +12,12 @@ from lossledger.sources import files
 
 VINTAGE_COLUMNS = ["issue_year", "issue_quarter", "vintage"]
 GRADE_COLUMNS = ["grade", "sub_grade"]
+BORROWER_COLUMNS = ["home_ownership", "verification_status", "addr_state", "purpose",
+                    "application_type", "emp_length_years", "annual_inc", "dti"]
+FACT_COLUMNS = ["loan_amnt", "funded_amnt", "term_months", "int_rate", "installment", "ead", "pd",
+                "lgd", "expected_loss", "default_flag", "actual_lgd", "loan_status"]
+# What the four tables read of the loans.
+COLUMNS = ["id", *VINTAGE_COLUMNS, *GRADE_COLUMNS, *BORROWER_COLUMNS, *FACT_COLUMNS]
 
 
 def _keyed(df: DataFrame, key: str, columns: list[str], order: list[str]) -> DataFrame:
@@ -35,9 +41,7 @@ def dim_credit_grade(scored: DataFrame) -> DataFrame:
 
 def dim_borrower(scored: DataFrame) -> DataFrame:
     """One row per loan: the extract has no customer that recurs."""
-    return scored.select(
-        F.col("id").alias("borrower_key"), "home_ownership", "verification_status", "addr_state",
-        "purpose", "application_type", "emp_length_years", "annual_inc", "dti")
+    return scored.select(F.col("id").alias("borrower_key"), *BORROWER_COLUMNS)
 
 
 def fact_loans(scored: DataFrame, vintages: DataFrame, grades: DataFrame) -> DataFrame:
@@ -50,9 +54,7 @@ def fact_loans(scored: DataFrame, vintages: DataFrame, grades: DataFrame) -> Dat
         scored.join(vintages, VINTAGE_COLUMNS).join(grades, GRADE_COLUMNS)
         .select(
             F.col("id").alias("loan_id"), F.col("id").alias("borrower_key"),
-            "vintage_key", "credit_grade_key", "loan_amnt", "funded_amnt", "term_months",
-            "int_rate", "installment", "ead", "pd", "lgd", "expected_loss", "default_flag",
-            "actual_lgd", "loan_status")
+            "vintage_key", "credit_grade_key", *FACT_COLUMNS)
     )
 
 

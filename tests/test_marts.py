@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lossledger import session
 from lossledger.operators import contracts, scenarios, star
-from lossledger.plans import measures, reports
+from lossledger.plans import measures, registry, reports
 
 
 @pytest.fixture(scope="module")
@@ -200,3 +201,49 @@ def test_sums_do_not_depend_on_order_and_rounding_is_plain(spark):
         exact_sum(F.col("x"))).first()[0] for order in (values, values[::-1], sorted(values))}
     assert totals == {1.2}
     assert spark.sql("select cast(null as double) as x").agg(exact_avg(F.col("x"))).first()[0] is None
+
+
+@pytest.fixture
+def few_orders(spark, tmp_path):
+    """A folder of the order tables, 60 orders of their own."""
+    tables = {
+        "nation": spark.range(2).selectExpr("id AS n_nationkey", "concat('n', id) AS n_name"),
+        "customer": spark.range(6).selectExpr(
+            "id AS c_custkey", "id % 2 AS c_nationkey", "concat('s', id % 3) AS c_mktsegment",
+            "id * 10.5 - 9 AS c_acctbal"),
+        "orders": spark.range(60).selectExpr(
+            "id AS o_orderkey", "id % 6 AS o_custkey",
+            "date_add(date'1996-01-01', int(id * 9)) AS o_orderdate",
+            "concat(id % 5 + 1, '-X') AS o_orderpriority", "id * 3.25 + 7 AS o_totalprice",
+            "substr('FPO', int(id % 3) + 1, 1) AS o_orderstatus"),
+        "lineitem": spark.range(90).selectExpr(
+            "id % 50 AS l_orderkey", "0.05D AS l_discount", "0.02D AS l_tax",
+            "double(id % 7) AS l_quantity")}
+    for name, table in tables.items():
+        table.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+ONE_PASS = ["dim_borrower", "dim_credit_grade", "dim_vintage", "load_audit", "clean_contracts",
+            "lgd_error", "rate_vs_pd_sample"]
+
+
+@pytest.mark.parametrize("name", ONE_PASS)
+def test_what_reads_loans_once_stages_no_raw_or_cleaned_table(spark, few_orders, name):
+    alone = sorted(map(tuple, registry.QUERIES[name](spark, few_orders).collect()))
+    assert session.built(spark, "raw", few_orders) is None
+    assert session.built(spark, "clean", few_orders) is None
+    assert alone
+    registry.scored_loans(spark, few_orders)
+    registry.portfolio(spark, few_orders)
+    assert session.built(spark, "clean", few_orders) is not None
+    assert sorted(map(tuple, registry.QUERIES[name](spark, few_orders).collect())) == alone
+
+
+def test_the_star_of_few_columns_is_that_of_all(spark, few_orders):
+    narrow = registry.portfolio(spark, few_orders)
+    whole = star.build_star(registry.scored_loans(spark, few_orders))
+    for name in ("fact", "borrowers", "vintages", "grades"):
+        one, two = getattr(narrow, name), getattr(whole, name)
+        assert one.dtypes == two.dtypes
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
