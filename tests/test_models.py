@@ -2,12 +2,14 @@
 
 from itertools import combinations
 from math import factorial
+from threading import Barrier
 
 import numpy as np
 import pytest
 from scales import SMALL
 from pyspark.sql import functions as F
 
+from lossledger import session
 from lossledger.operators import attribution, backtest, boosting, isotonic, learners, search
 from lossledger.operators.binning import fit_bins
 from lossledger.operators.vocabulary import encoded, frequent, vocabulary
@@ -191,6 +193,28 @@ def test_both_ways_to_fit_give_the_same_trees(spark):
         assert over == here and side == {4: here, 9: here}
 
 
+def test_counts_by_pairs_are_the_histogram():
+    x, y, _ = toy(9_000, 4, 7)
+    rows, unit = np.flatnonzero(y), 2.0 ** -30
+    for binary in (True, False):
+        g, h = boosting.gradients(np.zeros(len(y)), y, unit, binary)
+        for features in (np.array([3]), np.array([0, 2, 5]), np.arange(6)):
+            pairs = boosting.pairs_of(np.ascontiguousarray(x.T), features)
+            assert len(pairs) == (len(features) + 1) // 2
+            got = boosting.paired_histogram(pairs, len(features), rows, g, h, binary)
+            assert (got == boosting.histogram(x[rows][:, features], g[rows], h[rows])).all()
+
+
+def test_large_leaves_give_the_trees_of_small_ones(monkeypatch):
+    x, y, kinds = toy(3_000, 6)
+    for binary in (True, False):
+        s = boosting.Settings(n_estimators=3, num_leaves=9, binary=binary, colsample_bytree=0.8)
+        one = boosting.fit_rows(x, y, kinds, 0.1, 2.0 ** -30, s)
+        monkeypatch.setattr(boosting, "ROWS_FOR_PAIRS", 20)
+        assert boosting.fit_rows(x, y, kinds, 0.1, 2.0 ** -30, s) == one
+        monkeypatch.undo()
+
+
 def test_more_rows_than_a_task_may_hold_are_fitted_by_rounds(labelled, categories):
     one = learners.training_set(labelled, categories, "default_flag", True)
     small = {**TINY, "n_estimators": 2, "num_leaves": 4}
@@ -402,3 +426,22 @@ def test_calibration_comparison(model, labelled):
     rows = {r["model"]: r for r in governance.calibration_compare(labelled, model).collect()}
     assert set(rows) == {"uncalibrated", "calibrated"}
     assert rows["calibrated"]["n"] == labelled.where("split = 'oot'").count()
+
+
+def test_a_worker_keeps_the_tables_of_several_models(monkeypatch):
+    monkeypatch.setattr(learners, "_SCORERS", {})
+    x, y, kinds = toy(200, 2)
+    trees = boosting.fit_rows(x, y, kinds, 0.0, 2.0 ** -30, boosting.Settings(n_estimators=1))
+    keys = [str(i) for i in range(learners.SCORERS_KEPT)]
+    first = [learners.scorer_of(k, trees) for k in keys]
+    assert [learners.scorer_of(k, trees) for k in keys] == first
+    learners.scorer_of("one more", trees)
+    assert len(learners._SCORERS) == learners.SCORERS_KEPT and "0" not in learners._SCORERS
+
+
+def test_work_side_by_side_gives_its_results_in_order_and_its_errors():
+    meet = Barrier(2)
+    assert session.side_by_side(lambda: meet.wait(20) >= 0, lambda: meet.wait(20) + 9 >= 9) == [
+        True, True]
+    with pytest.raises(ZeroDivisionError):
+        session.side_by_side(lambda: 1, lambda: 1 / 0)
