@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that are worked on at once, unless one text alone is longer.
-SLICE = 2_000_000
+SLICE = 1_000_000
 # Bytes that share one table of powers.
 SEGMENT = 1 << 20
 
@@ -67,6 +67,8 @@ def text_slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, np.
         last = min(max(last, first + 1), len(column))
         yield first, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
         first = last
+    # Arrow keeps freed batches for itself; a worker that lives on would hold the most it ever did.
+    pa.default_memory_pool().release_unused()
 
 
 def split_words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACES):

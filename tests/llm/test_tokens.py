@@ -155,3 +155,12 @@ def test_a_hot_id_is_dealt_over_tasks_and_texts_are_no_ids(lspark, tmp_path):
     assert all(x + n == y for (x, n), (y, _) in zip(starts, starts[1:]))
     with pytest.raises(ValueError):
         rans.write_coded(docs.withColumn("doc_id", docs.text), str(tmp_path), BYTE)
+
+
+def test_slices_of_texts_are_small_and_whole():
+    texts = pa.array(["ab" * 300_000, None, "c" * 700_000, "", "d" * 2_500_000, "e"])
+    found = [(row, bytes(data), offsets) for row, data, offsets in tokens.a.text_slices(texts)]
+    assert b"".join(data for _, data, _ in found).decode() == "".join(
+        t or "" for t in texts.to_pylist())
+    assert all(len(data) <= 1_000_000 or len(offsets) == 2 for _, data, offsets in found)
+    assert [row for row, _, _ in found] == [0, 2, 4, 5]
