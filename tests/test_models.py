@@ -223,6 +223,34 @@ def test_more_rows_than_a_task_may_hold_are_fitted_by_rounds(labelled, categorie
     assert near.trees == far.trees and len(near.trees) == 2
 
 
+def test_rounds_of_a_tree_follow_its_depth():
+    x, y, kinds = toy(3_000, 5, 6)
+    s = boosting.Settings(num_leaves=40, min_child_samples=5)
+    g, h = boosting.gradients(np.zeros(len(y)), y, 2.0 ** -30, True)
+    trees, rounds = [], []
+    for ahead in (False, True):
+        here = boosting._RowsHere(x, np.ascontiguousarray(x.T), g, h, np.arange(6), kinds,
+                                  2.0 ** -30, s)
+        asked = []
+        tree, place = boosting.grow(lambda p, known: asked.append(p) or here(p, known), s, ahead)
+        trees.append(tree)
+        rounds.append(len(asked))
+    assert trees[0] == trees[1] and len(place) == 40
+    assert rounds[1] <= max(map(len, place)) + 1 < rounds[0]
+
+
+def test_fit_by_rounds_keeps_its_state_in_bounded_pieces(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "ROWS_PER_STATE", 40)
+    monkeypatch.setattr(boosting, "TREES_PER_STAGE", 2)
+    monkeypatch.setattr(boosting, "TASKS_ADDED_AT_ONCE", 4)
+    x, y, kinds = toy(700, 5)
+    rows = spark.createDataFrame([(bytes(r), float(v)) for r, v in zip(x, y)],
+                                 "x binary, y double").repartition(3)
+    s = boosting.Settings(n_estimators=4, num_leaves=9, min_child_samples=5)
+    assert boosting.fit_by_rounds(rows, s, 0.2, 2.0 ** -30, kinds) == boosting.fit_rows(
+        x, y, kinds, 0.2, 2.0 ** -30, s)
+
+
 def test_no_rows_give_the_base_alone(labelled, categories):
     trees = learners.fit_default_trees(labelled.limit(0), categories, TINY)
     assert trees.trees == []
