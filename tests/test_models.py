@@ -5,6 +5,7 @@ from math import factorial
 from threading import Barrier
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from scales import SMALL
 from pyspark.sql import functions as F
@@ -346,6 +347,12 @@ def test_attribution_against_all_coalitions(monkeypatch, wide):
             assert phi[j] == pytest.approx(value, abs=1e-12)
 
 
+def test_batches_are_gathered_for_the_tables_of_a_tree():
+    batches = [pa.array([b"a"] * n, pa.binary()) for n in (3, 0, 4, 9, 1)]
+    assert [len(x) for x in attribution.gathered(iter(batches), 6)] == [7, 9, 1]
+    assert list(attribution.gathered(iter([]))) == []
+
+
 def test_contributions_add_up_to_the_log_odds(model, labelled):
     loans = labelled.where("split = 'oot'")
     attributed = attribution.with_contributions(loans, model.trees).select(
