@@ -252,6 +252,16 @@ def test_fit_by_rounds_keeps_its_state_in_bounded_pieces(spark, monkeypatch):
         x, y, kinds, 0.2, 2.0 ** -30, s)
 
 
+def test_exchanges_are_bounded_unless_the_session_says_otherwise(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.files.maxPartitionBytes", "3m")
+    session.tune(other)
+    assert other.conf.get("spark.sql.files.maxPartitionBytes") == "3m"
+    assert other.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == session.PARTITION
+    assert other.conf.get(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum") == session.PARTITIONS
+
+
 def test_no_rows_give_the_base_alone(labelled, categories):
     trees = learners.fit_default_trees(labelled.limit(0), categories, TINY)
     assert trees.trees == []
