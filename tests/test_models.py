@@ -252,14 +252,23 @@ def test_fit_by_rounds_keeps_its_state_in_bounded_pieces(spark, monkeypatch):
         x, y, kinds, 0.2, 2.0 ** -30, s)
 
 
-def test_exchanges_are_bounded_unless_the_session_says_otherwise(spark):
+def test_exchanges_of_large_inputs_are_bounded(spark, monkeypatch):
     other = spark.newSession()
-    other.conf.set("spark.sql.files.maxPartitionBytes", "3m")
-    session.tune(other)
-    assert other.conf.get("spark.sql.files.maxPartitionBytes") == "3m"
-    assert other.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == session.PARTITION
-    assert other.conf.get(
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum") == session.PARTITIONS
+    names = ["files.maxPartitionBytes", "adaptive.advisoryPartitionSizeInBytes",
+             "adaptive.coalescePartitions.initialPartitionNum"]
+
+    def told():
+        return [other.conf.get(f"spark.sql.{name}", None) for name in names]
+
+    other.conf.set("spark.sql.files.maxPartitionBytes", session.PARTITION)
+    own = [session.PARTITION, None, None]
+    session.bounded(other, SMALL)
+    assert told() == own
+    monkeypatch.setattr(session, "LARGE", 1_000)
+    session.bounded(other, SMALL)
+    assert told() == [session.PARTITION, session.PARTITION, session.PARTITIONS]
+    session.bounded(other, "/root/testdata/none")
+    assert told() == own
 
 
 def test_no_rows_give_the_base_alone(labelled, categories):
