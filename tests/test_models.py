@@ -216,6 +216,45 @@ def test_large_leaves_give_the_trees_of_small_ones(monkeypatch):
         monkeypatch.undo()
 
 
+def test_a_root_whose_rows_are_counted_and_leaves_far_apart_give_the_same_sums(monkeypatch):
+    x, y, kinds = toy(4_000, 8)
+    columns = np.ascontiguousarray(x.T)
+    counts = np.stack([np.bincount(c, minlength=boosting.BINS) for c in columns])
+    features = np.array([1, 3, 4])
+    monkeypatch.setattr(boosting, "ROWS_FOR_PAIRS", 20)
+    monkeypatch.setattr(boosting, "SPARSE", 2)
+    fetched = []
+    monkeypatch.setattr(boosting, "pairs_of", lambda c, f, of=boosting.pairs_of: fetched.append(
+        c.shape[1]) or of(c, f))
+    for binary in (True, False):
+        s = boosting.Settings(binary=binary)
+        g, h = boosting.gradients(np.zeros(len(y)), y, 2.0 ** -30, binary)
+        here = boosting._RowsHere(x, columns, g, h, features, kinds, 2.0 ** -30, s, counts)
+        here.rows[(0,)] = np.arange(0, 4_000, 40)
+        del fetched[:]
+        for path, rows in (((), np.arange(4_000)), ((0,), here.rows[(0,)])):
+            own = boosting.histogram(x[rows][:, features], g[rows], h[rows])
+            assert (here._histogram(path) == own).all()
+        assert fetched == [100]
+
+
+def test_rounds_take_only_the_turns_to_the_leaves_they_measure():
+    x, y, kinds = toy(2_000, 4)
+    columns, s = np.ascontiguousarray(x.T), boosting.Settings(num_leaves=6)
+    g, h = boosting.gradients(np.zeros(len(y)), y, 2.0 ** -30, True)
+    here = boosting._RowsHere(x, columns, g, h, np.arange(6), kinds, 2.0 ** -30, s)
+    splits = {}
+    tree, place = boosting.grow(lambda p, known: splits.update(known) or here(p, known), s, False)
+    for path in place:
+        splits.setdefault(path[:-1], boosting._split_of(tree, place[path]))
+    leaves = [p for p in sorted(place) if p in here.rows]
+    for some in (leaves, leaves[:1], leaves[-1:]):
+        reached = boosting._reach(columns, some, splits)
+        assert list(reached) == some
+        assert all((reached[p] == here.rows[p]).all() for p in some)
+    assert (boosting._reach(columns, [()], {})[()] == np.arange(2_000)).all()
+
+
 def test_more_rows_than_a_task_may_hold_are_fitted_by_rounds(labelled, categories):
     one = learners.training_set(labelled, categories, "default_flag", True)
     small = {**TINY, "n_estimators": 2, "num_leaves": 4}
