@@ -255,6 +255,33 @@ def test_rounds_take_only_the_turns_to_the_leaves_they_measure():
     assert (boosting._reach(columns, [()], {})[()] == np.arange(2_000)).all()
 
 
+def test_small_sets_are_fitted_beside_large_ones(spark, model, monkeypatch):
+    both = Barrier(2, timeout=60)
+
+    def in_tasks(rows, models, kinds):
+        both.wait()
+        return {m: [] for m in models}
+
+    def by_rounds(*_):
+        both.wait()
+        return []
+
+    monkeypatch.setattr(boosting, "fit_in_tasks", in_tasks)
+    monkeypatch.setattr(boosting, "fit_by_rounds", by_rounds)
+    rows = spark.createDataFrame([(b"", 0.0)], "x binary, y double")
+    sets = [learners.TrainingSet(model.trees.bins, 0.0, 2.0 ** -30, n, True, rows) for n in (5, 50)]
+    found = learners.fit_models(sets, [(0, TINY), (1, TINY)], rows_in_task=10)
+    assert [m.trees for m in found] == [[], []]
+
+
+def test_the_largest_fold_of_six_million_loans_is_fitted_in_a_task(spark, model, monkeypatch):
+    monkeypatch.setattr(boosting, "fit_in_tasks", lambda rows, models, kinds: {
+        m: [] for m in models})
+    rows = spark.createDataFrame([(b"", 0.0)], "x binary, y double")
+    one = learners.TrainingSet(model.trees.bins, 0.0, 2.0 ** -30, 5_037_800, True, rows)
+    assert learners.fit_models([one], [(0, TINY)])[0].trees == []
+
+
 def test_more_rows_than_a_task_may_hold_are_fitted_by_rounds(labelled, categories):
     one = learners.training_set(labelled, categories, "default_flag", True)
     small = {**TINY, "n_estimators": 2, "num_leaves": 4}
