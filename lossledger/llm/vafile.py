@@ -17,7 +17,9 @@ Components are scaled to whole numbers, so scores are exact and bounds hold exac
 5. Per query the best rows of all units, its own row left out.
 
 Rows travel packed in blocks of bounded size, units join by block numbers, and a unit sends
-``k + 1`` rows a query at most, however many tie. Only counts reach the driver.
+``k + 1`` rows a query at most, however many tie. Only counts reach the driver: joins of packed rows
+are merges, since these rows compress so well that many fit under the size up to which a table would
+be broadcast, and unpacked they would fill the driver.
 """
 
 from __future__ import annotations
@@ -80,20 +82,26 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
 
     cells, exact = blocks.drop("exact", "members"), blocks.drop("low", "width", "cells")
     numbers = blocks.groupBy("dim").agg(F.collect_list("block").alias("all"))
-    units = queries.join(numbers, "dim").withColumn("block", F.explode("all")).drop("all")
-    scan = stage(units.join(cells, ["dim", "block"]).mapInArrow(
+    units = queries.select("dim", "qb").join(numbers, "dim").select(
+        "dim", "qb", F.explode("all").alias("block"))
+    scan = stage(_merged(_merged(units, queries, "dim", "qb"), cells, "dim", "block").mapInArrow(
         lambda it: _scan(it, k), _SCAN_SQL), "scan")
-    wanted = scan.join(_floors(scan, k), "cls").where(F.col("best") >= F.col("floor")).groupBy(
+    wanted = _merged(scan, _floors(scan, k), "cls").where(F.col("best") >= F.col("floor")).groupBy(
         "dim", "qb", "block").agg(F.collect_list("place").alias("places"),
                                   F.collect_list("floor").alias("floors"))
-    read = (wanted.join(queries, ["dim", "qb"]).join(cells, ["dim", "block"])
-            .join(exact.drop("n"), ["dim", "block"]).mapInArrow(lambda it: _read(it, k), _READ_SQL))
+    read = _merged(_merged(_merged(wanted, queries, "dim", "qb"), cells, "dim", "block"),
+                   exact.drop("n"), "dim", "block").mapInArrow(lambda it: _read(it, k), _READ_SQL)
     found = _results(read, asking, k)
     ranks = rows.select(ROW, key) if again else None
     found = key_of_row(key_of_row(found, "query_id", key, ranks), "row", key, ranks)
     return found.select("query_id", "rank", F.col("row").alias(key), "score")
 
 
+def _merged(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
+    """A join that never broadcasts either side."""
+    return left.join(right.hint("merge"), list(keys))
+
+
 def _classes(usable: DataFrame, k: int) -> DataFrame:
     """(cls, v, hash, members): each distinct vector, its smallest row and its k + 1 smallest.
     A task keeps no more than those of a vector before it shuffles them."""
@@ -109,7 +117,7 @@ def _asking(usable: DataFrame, classes: DataFrame) -> DataFrame:
     stay apart by comparison."""
     by_hash = classes.groupBy("hash").agg(F.collect_list(F.struct("v", "cls")).alias("these"))
     asked = usable.where("asks").select("hash", "row", F.col("v").alias("own"))
-    joined = spread_join(asked, by_hash, "hash")
+    joined = spread_join(asked, by_hash.hint("merge"), "hash")
     same = F.filter("these", lambda c: c["v"] == F.col("own"))
     return stage(joined.select("row", same[0]["cls"].alias("cls")), "asking")
 

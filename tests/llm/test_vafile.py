@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -99,3 +100,17 @@ def test_hot_keys_are_dealt_over_tasks(lspark):
 def test_a_search_has_results(lspark):
     with pytest.raises(ValueError):
         vafile.top_k(lspark.createDataFrame([], SCHEMA), F.lit(True), k=0)
+
+
+def test_packed_rows_are_never_broadcast(lspark, monkeypatch, capsys):
+    def staged(df, label):
+        df.explain()
+        return own(df, label)
+
+    own = vafile.stage
+    monkeypatch.setattr(vafile, "stage", staged)
+    frame = lspark.createDataFrame(some(300, 8), SCHEMA)
+    vafile.top_k(frame, F.col("vec_id") % 5 == 0).explain()
+    joins = [line for line in capsys.readouterr().out.splitlines() if "Join" in line]
+    assert any("SortMergeJoin" in line for line in joins)
+    assert not [line for line in joins if re.search(r"HashJoin \[[^\]]*\b(qb|block|hash)#", line)]
