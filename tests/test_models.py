@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lossledger import session
 from lossledger.operators import attribution, backtest, boosting, isotonic, learners, search
 from lossledger.operators.binning import fit_bins
+from lossledger.operators.helpers import Helpers, shares
 from lossledger.operators.vocabulary import encoded, frequent, vocabulary
 from lossledger.plans import batch, governance, registry
 from lossledger.sources.columns import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
@@ -565,3 +566,62 @@ def test_work_side_by_side_gives_its_results_in_order_and_its_errors():
         True, True]
     with pytest.raises(ZeroDivisionError):
         session.side_by_side(lambda: 1, lambda: 1 / 0)
+
+
+def test_few_rows_are_summed_and_counted_at_once():
+    x, y, _ = toy(2_500, 4, 9)
+    for binary in (True, False):
+        for unit in (2.0 ** -30, 2.0 ** -45):
+            for n in (2_500, 3, 0):
+                g, h = boosting.gradients(np.zeros(n), y[:n], unit, binary)
+                got = boosting.small_histogram(x[:n], g, h, binary)
+                assert (got == boosting.histogram(x[:n], g, h)).all()
+
+
+def test_helpers_give_the_trees_of_one_process(spark):
+    x, y, kinds = toy(5_000, 7)
+    rows = spark.createDataFrame([(bytes(r), float(v)) for r, v in zip(x, y)],
+                                 "x binary, y double").repartition(3)
+    for binary in (True, False):
+        s = boosting.Settings(n_estimators=4, num_leaves=12, binary=binary, colsample_bytree=0.7)
+        one = boosting.fit_rows(x, y, kinds, 0.1, 2.0 ** -30, s)
+        both = boosting.fit_in_tasks(rows.selectExpr("explode(array(1, 2)) AS model", "x", "y"), {
+            1: (s, 0.1, 2.0 ** -30, 3), 2: (s, 0.1, 2.0 ** -30, 1)}, kinds)
+        assert both == {1: one, 2: one}
+
+
+def test_helpers_end_with_their_task():
+    helpers = Helpers(3, Tally, 4)
+    for i in range(3):
+        helpers.tell(i, "add", i + 1)
+    assert helpers.add_up(2, "put").tolist() == [6.0, 12.0]
+    helpers.close()
+    assert [p.exitcode for p in helpers.processes] == [0, 0, 0]
+
+
+class Tally:
+    n = 0
+
+    def add(self, n):
+        self.n += n
+
+    def put(self, out):
+        out[:] = self.n, 2 * self.n
+
+
+def test_cores_are_shared_by_work():
+    assert shares({0: 1.0, 1: 2.0, 2: 5.0}, {0: 9, 1: 9, 2: 9}, 8, 8) == {0: 1, 1: 2, 2: 5}
+    assert shares({0: 5.0}, {0: 9}, 12, 4) == {0: 4}
+    assert shares({0: 5.0}, {0: 0}, 12, 4) == {0: 1}
+    assert shares({i: 1.0 for i in range(10)}, {i: 9 for i in range(10)}, 8, 8)[3] == 1
+    assert shares({}, {}, 8, 8) == {}
+
+
+def test_a_large_fit_is_given_helpers(spark, model, monkeypatch):
+    told = {}
+    monkeypatch.setattr(boosting, "fit_in_tasks", lambda rows, models, kinds: told.update(models)
+                        or {m: [] for m in models})
+    rows = spark.createDataFrame([(b"", 0.0)], "x binary, y double")
+    one = learners.TrainingSet(model.trees.bins, 0.0, 2.0 ** -30, 3_855_120, True, rows)
+    learners.fit_models([one], [(0, TINY)])
+    assert told[0][3] == session.cores(spark)[0] == 8
