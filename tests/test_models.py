@@ -625,3 +625,22 @@ def test_a_large_fit_is_given_helpers(spark, model, monkeypatch):
     one = learners.TrainingSet(model.trees.bins, 0.0, 2.0 ** -30, 3_855_120, True, rows)
     learners.fit_models([one], [(0, TINY)])
     assert told[0][3] == session.cores(spark)[0] == 8
+
+
+def test_groups_of_leaves_pay_what_their_leaves_pay(monkeypatch):
+    x, y, kinds = toy(3_000, 11)
+    s = boosting.Settings(n_estimators=3, num_leaves=40, min_child_samples=5)
+    trees = boosting.fit_rows(x, y, kinds, 0.0, 2.0 ** -30, s)
+    columns = np.ascontiguousarray(x.T)
+    together = attribution.contributions(columns, trees, 6)
+    groups = [attribution.leaf_groups(tree) for tree in trees]
+    payers = [sum(1 for value, path in attribution.leaf_paths(tree) if path and value)
+              for tree in trees]
+    assert [sum(len(leaves) for leaves, _ in some) + len(wide) for some, wide in groups] == payers
+    assert 2 * sum(len(some) for some, _ in groups) < sum(payers)
+    monkeypatch.setattr(attribution, "CELLS", 1)
+    assert [len(some) + len(wide) for some, wide in map(attribution.leaf_groups, trees)] == payers
+    alone = attribution.contributions(columns, trees, 6)
+    assert np.abs(together - alone).max() < 1e-12
+    monkeypatch.setattr(attribution, "WIDE", 0)
+    assert np.abs(together - attribution.contributions(columns, trees, 6)).max() < 1e-12
