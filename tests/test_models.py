@@ -632,7 +632,10 @@ def test_groups_of_leaves_pay_what_their_leaves_pay(monkeypatch):
     s = boosting.Settings(n_estimators=3, num_leaves=40, min_child_samples=5)
     trees = boosting.fit_rows(x, y, kinds, 0.0, 2.0 ** -30, s)
     columns = np.ascontiguousarray(x.T)
+    each = attribution.contributions(columns, trees, 6)
+    monkeypatch.setattr(attribution, "FEW", 0)
     together = attribution.contributions(columns, trees, 6)
+    assert np.abs(together - each).max() < 1e-12
     groups = [attribution.leaf_groups(tree) for tree in trees]
     payers = [sum(1 for value, path in attribution.leaf_paths(tree) if path and value)
               for tree in trees]
